@@ -3,9 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from provgraph.llm import quality
-from provgraph.llm.common import prepare, read
+from provgraph.llm import langid, quality, secret_scan
+from provgraph.llm.common import fold, prepare, read
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = read(spark, sf_dir)
+    prototypes = langid.learn(docs.where(fold("doc_id", 5) != 0))
+    return langid.predict(docs, prototypes).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return secret_scan.secret_scan(read(spark, sf_dir))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +26,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op8_quality_rules,)}
+    return {f.__name__: f for f in (op2_language_id, op5_secret_scan, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
