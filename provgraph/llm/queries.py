@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provgraph.llm import langid, quality, secret_scan
+from provgraph.llm import langid, quality, secret_scan, toxicity
 from provgraph.llm.common import fold, prepare, read
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = read(spark, sf_dir)
+    labels = read(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    found = toxicity.score(docs, *toxicity.learn(docs, labels))
+    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", "clauses", "top_weight")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = read(spark, sf_dir)
@@ -26,7 +34,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_language_id, op5_secret_scan, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op5_secret_scan, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
