@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provgraph.llm import langid, quality, secret_scan, toxicity
+from provgraph.llm import langid, quality, secret_scan, toxicity, winnowing
 from provgraph.llm.common import fold, prepare, read
 
 
@@ -30,11 +30,16 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(read(spark, sf_dir)).drop("clean_text")
+    return quality.quality_rules(read(spark, sf_dir))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return winnowing.with_next(read(spark, sf_dir))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op5_secret_scan, op8_quality_rules)}
+    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op5_secret_scan, op8_quality_rules, op9_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
