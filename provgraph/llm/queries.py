@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provgraph.llm import langid, quality, secret_scan, toxicity, winnowing
+from provgraph.llm import langid, licenses, quality, raking, secret_scan, sp_codec, toxicity, winnowing
 from provgraph.llm.common import fold, prepare, read
 
 
@@ -24,13 +24,31 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, prototypes).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+#: Production targets of the mixture: one large source held to a tenth, the others level.
+MIXTURE = raking.Targets(
+    source={"src0": 0.10} | {f"src{i}": 0.90 / 19 for i in range(1, 20)},
+    lang={"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
+    topic={"prose": 0.90, "listing": 0.04, "reference": 0.03, "dialogue": 0.03},
+)
+#: Share of all tokens that the mixture keeps.
+MIXTURE_KEEP = 0.5
+
+
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raking.mix(read(spark, sf_dir), MIXTURE, MIXTURE_KEEP)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return secret_scan.secret_scan(read(spark, sf_dir))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read(spark, sf_dir))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(read(spark, sf_dir))
+    return quality.quality_rules(read(spark, sf_dir)).drop("clean_text")
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,9 +56,14 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.with_next(read(spark, sf_dir))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return sp_codec.encode(read(spark, sf_dir), sp_codec.Model.load())
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op5_secret_scan, op8_quality_rules, op9_fingerprints)}
+    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_source_mix, op5_secret_scan, op7_license_scan, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": quality.ORACLE_SQL}
+    return {"op7_license_scan": licenses.oracle_sql(), "op8_quality_rules": quality.ORACLE_SQL}
