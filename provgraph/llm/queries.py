@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provgraph.llm import langid, licenses, quality, raking, secret_scan, sp_codec, toxicity, winnowing
+from provgraph.llm import chosen_path, langid, licenses, quality, raking, secret_scan, sp_codec, toxicity, winnowing
 from provgraph.llm.common import fold, prepare, read
 
 
@@ -43,6 +43,11 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(read(spark, sf_dir))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return chosen_path.near_duplicates(read(spark, sf_dir))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read(spark, sf_dir))
 
@@ -62,7 +67,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_source_mix, op5_secret_scan, op7_license_scan, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_source_mix, op5_secret_scan, op6_ngram_jaccard_join, op7_license_scan, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
