@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provgraph.llm import chosen_path, langid, licenses, quality, raking, secret_scan, sp_codec, toxicity, winnowing
+from provgraph.llm import chosen_path, langid, licenses, maxent, quality, raking, secret_scan, sp_codec, toxicity, winnowing
 from provgraph.llm.common import fold, prepare, read
 
 
@@ -38,6 +38,12 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raking.mix(read(spark, sf_dir), MIXTURE, MIXTURE_KEEP)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = maxent.score(read(spark, sf_dir), fold("doc_id", 7) != 2)
+    return found.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return secret_scan.secret_scan(read(spark, sf_dir))
@@ -67,7 +73,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_source_mix, op5_secret_scan, op6_ngram_jaccard_join, op7_license_scan, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_source_mix, op4_lm_scoring, op5_secret_scan, op6_ngram_jaccard_join, op7_license_scan, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
