@@ -1,11 +1,287 @@
-"""Registered queries of the graph engine."""
+"""Registered queries of the graph engine: name -> (spark, sf_dir) -> DataFrame, with the SQL of those that have one.
+
+Times leave as microseconds and ids as text, so that two engines print them alike.
+"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from datetime import UTC, datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from provgraph.functions import ids
+from provgraph.functions import text as T
+from provgraph.operators import assemble as A
+from provgraph.operators import match as Q
+from provgraph.operators import merge as M
+from provgraph.plans import enrichment, lens
+from provgraph.plans import oracle as O
+from provgraph.plans.lens import GUARD
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+MONTH = datetime(2024, 1, 15, tzinfo=UTC)
+MONTH_SQL = "TIMESTAMP '2024-01-15 00:00:00'"
+
+
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        key = name or f.__name__
+        _QUERIES[key] = f
+        if sql:
+            _SQL[key] = sql
+        return f
+
+    return add
+
+
+def micros(column: str | Column) -> Column:
+    return F.unix_micros(column)
+
+
+def snake(name: str) -> str:
+    return re.sub(r"(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_", name).lower()
+
+
+# --- ids and scalar functions -------------------------------------------------
+
+
+@query(f"SELECT p_partkey, {O.PART_V} AS id, {O.PART_N} AS name_id, {O.QUALS} AS qualifiers FROM part")
+def pkg_version_ids(spark, d):
+    p = lens.part_package()
+    return lens.table(spark, d, "part").select("p_partkey", ids.package_version_id(p).alias("id"), ids.package_name_id(p).alias("name_id"), T.canon_qualifiers(p["qualifiers"]).alias("qualifiers"))
+
+
+@query("SELECT p_partkey, 'pkg:generic/' || url_encode(lower(p_brand)) || '/' || url_encode(p_name) || '@' || p_partkey || '?size=' || p_size || '&type=' || url_encode(p_type) AS purl FROM part")
+def pkg_purls_built(spark, d):
+    return lens.table(spark, d, "part").select("p_partkey", ids.package_purl(lens.part_package()).alias("purl"))
+
+
+@query(f"SELECT o_orderkey, {O.ORDER_V} AS id, {O.ORDER_N} AS name_id FROM orders")
+def pkg_name_ids(spark, d):
+    p = lens.order_package()
+    return lens.table(spark, d, "orders").select("o_orderkey", ids.package_version_id(p).alias("id"), ids.package_name_id(p).alias("name_id"))
+
+
+@query("SELECT s_suppkey, 'src:n:git/example.com/suppliers/s' || s_suppkey || '@@' AS id, 'bld:https://example.com/' || s_name AS builder_id FROM supplier")
+def src_ids(spark, d):
+    b = F.struct(F.concat(F.lit("https://example.com/"), F.col("s_name")).alias("uri"))
+    return lens.table(spark, d, "supplier").select("s_suppkey", ids.source_id(lens.source("git", F.lit("example.com/suppliers"), F.concat(F.lit("s"), F.col("s_suppkey")))).alias("id"), ids.builder_id(b).alias("builder_id"))
+
+
+@query(f"SELECT doc_id, {O.TEXT_ART} AS id, {O.TEXT_MD5} AS md5_id FROM documents")
+def artifact_ids(spark, d):
+    return lens.table(spark, d, "documents").select("doc_id", ids.artifact_id(lens.text_artifact()).alias("id"), ids.artifact_id(lens.text_artifact("md5")).alias("md5_id"))
+
+
+@query(f"SELECT event_id, CASE WHEN {O.K} % 10 = 0 THEN 'vuln:novuln' ELSE 'vuln:osv/' || {O.CVE} END AS id FROM events")
+def vuln_ids(spark, d):
+    k = F.get_json_object("props", "$.k").cast("int")
+    v = lens.vulnerability(F.when(k % 10 == 0, "NoVuln").otherwise("OSV"), F.concat(F.lit("CVE-2024-"), k))
+    return lens.table(spark, d, "events").select("event_id", ids.vulnerability_id(v).alias("id"))
+
+
+@query(f"SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'lic:' || sha256({O.frame(chr(39) + 'inline' + chr(39), 'text')}) ELSE 'lic:' || lang END AS id FROM documents")
+def license_ids(spark, d):
+    x = lens.license_(F.col("lang"), F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(""), F.lit(""))
+    return lens.table(spark, d, "documents").select("doc_id", ids.license_id(x).alias("id"))
+
+
+@query(f"SELECT doc_id, sha256({O.frame('lang', 'source', 'text')}) AS framed_hash, strlen(text)::BIGINT AS n_bytes FROM documents")
+def framed_hash(spark, d):
+    return lens.table(spark, d, "documents").select("doc_id", T.hash_parts(F.col("lang"), F.col("source"), F.col("text")).alias("framed_hash"), F.octet_length("text").cast("long").alias("n_bytes"))
+
+
+@query(f"SELECT c_custkey, CASE WHEN c_mktsegment <= c_name THEN {O.frame('c_mktsegment', chr(39) + 'b' + chr(39), 'c_name', chr(39) + 'a' + chr(39))} ELSE {O.frame('c_name', chr(39) + 'a' + chr(39), 'c_mktsegment', chr(39) + 'b' + chr(39))} END AS packed FROM customer")
+def encode_kv(spark, d):
+    pairs = F.array(F.struct(F.col("c_name").alias("key"), F.lit("a").alias("value")), F.struct(F.col("c_mktsegment").alias("key"), F.lit("b").alias("value")))
+    return lens.table(spark, d, "customer").select("c_custkey", T.encode_pairs(pairs).alias("packed"))
+
+
+@query(f"SELECT p_partkey, {O.frame_list('[p_name, p_brand, p_type]')} AS joined, array_to_string(list_sort([p_name, p_brand, p_type]), ',') AS in_order FROM part")
+def join_ids(spark, d):
+    each = F.array("p_name", "p_brand", "p_type")
+    return lens.table(spark, d, "part").select("p_partkey", T.join_ids(each).alias("joined"), F.array_join(T.sorted_ids(each), ",").alias("in_order"))
+
+
+@query(f"SELECT p_partkey, {O.edge_part('p_name || chr(124) || p_brand')} || '|' || 'a%25b' || '|' || {O.edge_part('p_type')} AS id FROM part")
+def edge_ids(spark, d):
+    return lens.table(spark, d, "part").select("p_partkey", ids.edge_id(F.concat("p_name", F.lit("|"), "p_brand"), F.lit("a%b"), F.col("p_type")).alias("id"))
+
+
+@query(f"SELECT event_id, {O.timed('ts')} AS at FROM events")
+def time_texts(spark, d):
+    return lens.table(spark, d, "events").select("event_id", T.required_time(F.col("ts")).alias("at"))
+
+
+@query("SELECT event_id, 'n' || regexp_replace(CAST(round(value, 2) AS VARCHAR), '\\.0$', '') AS shown FROM events WHERE value < 1000 AND value > 0.01")
+def float_texts(spark, d):
+    return lens.table(spark, d, "events").where("value < 1000 AND value > 0.01").select("event_id", F.concat(F.lit("n"), T.float_text(F.round("value", 2))).alias("shown"))
+
+
+# --- the seventeen kinds: evidence, edges -------------------------------------
+
+
+def _evidence(kind: str) -> Query:
+    def run(spark, d):
+        return A.evidence(lens.TABLES[kind](spark, d), kind, GUARD).groupBy("id").agg(micros(F.min("vf")).alias("valid_from_us"))
+
+    return run
+
+
+def _edges(kind: str) -> Query:
+    def run(spark, d):
+        edges = A.records(lens.TABLES[kind](spark, d), kind, GUARD).edges
+        return edges.groupBy("label", "src", "dst").agg(micros(F.min("valid_from")).alias("valid_from_us"))
+
+    return run
+
+
+for _kind in lens.TABLES:
+    query(f"SELECT id, epoch_us(min(vf)) AS valid_from_us FROM ({O.evidence(_kind)}) GROUP BY id", f"ev_{snake(_kind)}")(_evidence(_kind))
+    query(f"SELECT label, src, dst, epoch_us(min(vf)) AS valid_from_us FROM ({O.edges(_kind)}) GROUP BY ALL", f"edges_{snake(_kind)}")(_edges(_kind))
+
+
+# --- merge, tallies, valid time ------------------------------------------------
+
+SOME = ("IsDependency", "CertifyVuln", "IsOccurrence", "HasSBOM", "CertifyLegal", "HasSlsa")
+
+
+def _evidence_graph(spark: SparkSession, d: str, *names: str) -> A.EvidenceGraph:
+    return A.EvidenceGraph(lens.tables(spark, d, *names), GUARD)
+
+
+def _graph(spark: SparkSession, d: str, *names: str, prepass: bool = False) -> A.Graph:
+    return A.assemble(lens.tables(spark, d, *names), GUARD, prepass)
+
+
+@query(f"SELECT id, label, epoch_us(min(vf)) AS valid_from_us FROM ({O.all_nodes(*SOME)}) GROUP BY id, label")
+def merge_nodes(spark, d):
+    nodes = M.merge_records(_graph(spark, d, *SOME, prepass=True).nodes)
+    return nodes.select("id", F.get("labels", F.lit(0)).alias("label"), micros("valid_from").alias("valid_from_us"))
+
+
+@query(f"SELECT {O.edge_part('src')} || '|' || label || '|' || {O.edge_part('dst')} AS id, label, src, dst, epoch_us(min(vf)) AS valid_from_us FROM ({O.all_edges(*SOME)}) GROUP BY label, src, dst")
+def merge_edges(spark, d):
+    return M.merge_records(_graph(spark, d, *SOME, prepass=True).edges).select("id", "label", "src", "dst", micros("valid_from").alias("valid_from_us"))
+
+
+@query("SELECT 'lic:' || lang AS id, 'v' || (arg_min(doc_id, doc_id) % 3) AS list_version FROM documents GROUP BY lang")
+def license_first_wins(spark, d):
+    nodes = M.merge_records(_graph(spark, d, "CertifyLegal").nodes).where(F.array_contains("labels", "License") & F.col("id").rlike("^lic:[a-z]{2}$"))
+    version = F.get(F.filter("props", lambda p: p["key"] == "listVersion"), F.lit(0))["value"]["s"]
+    return nodes.select("id", version.alias("list_version"))
+
+
+@query(f"SELECT {O.self_id('HasSBOM')} AS id, any_value({O.frame_list('[' + chr(39) + 'order-' + chr(39) + ' || o_orderkey, o_orderstatus]')}) AS included FROM orders GROUP BY 1")
+def sbom_includes_first_wins(spark, d):
+    """The same SBOMs stated twice with other contents: ids agree, the first statement's contents stay."""
+    first = lens.has_sbom(spark, d)
+    again = first.withColumns({"includedSoftware": F.array(F.lit("other")), "item": F.col("item") + (1 << 40)})
+    nodes = M.merge(A.records(again, "HasSBOM", GUARD), A.records(first, "HasSBOM", GUARD)).nodes.where(F.array_contains("labels", "HasSBOM"))
+    return nodes.select("id", F.get(F.filter("props", lambda p: p["key"] == "includedSoftware"), F.lit(0))["value"]["s"].alias("included"))
+
+
+@query(f"SELECT label, count(DISTINCT id) AS n FROM ({O.all_nodes(*O.KINDS)}) GROUP BY label")
+def label_counts_nodes(spark, d):
+    return M.label_counts(_evidence_graph(spark, d).nodes())
+
+
+@query(f"SELECT label, count(*) AS n FROM (SELECT DISTINCT label, src, dst FROM ({O.all_edges(*O.KINDS)})) GROUP BY label")
+def label_counts_edges(spark, d):
+    return M.label_counts(_evidence_graph(spark, d).edges())
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS kind, count(*) AS assertions, coalesce(sum(fallback::INT), 0)::BIGINT AS fallbacks FROM ({O.evidence(k)})" for k in O.KINDS))
+def fallbacks_by_kind(spark, d):
+    return A.fallbacks(lens.tables(spark, d), GUARD)
+
+
+_DOCS = {"HasSBOM": "orders", "CertifyVuln": "events", "HasMetadata": "events", "CertifyGood": "labels", "PointOfContact": "customer"}
+
+
+@query("SELECT doc, epoch_us(coalesce(min(vf) FILTER (WHERE NOT fallback), TIMESTAMP '2026-01-01 00:00:00')) AS valid_from_us, bool_and(fallback) AS fallback FROM (" + " UNION ALL ".join(f"SELECT '{doc}' AS doc, vf, fallback FROM ({O.evidence(k)})" for k, doc in _DOCS.items()) + ") GROUP BY doc")
+def document_valid_time(spark, d):
+    found = A.document_valid_time(lens.tables(spark, d, *_DOCS), GUARD)
+    return found.select("doc", micros("valid_from").alias("valid_from_us"), "fallback")
+
+
+@query("SELECT 0::BIGINT AS only_batched, 0::BIGINT AS only_by_document")
+def per_doc_merge_equals_batched(spark, d):
+    """Merging each document's records and then those gives what one merge gives; rows that only one has are counted."""
+    records = _graph(spark, d, "CertifyVuln", "Vex", "HasMetadata", "HasSourceAt").nodes
+    batched = M.keys(records)
+    apart = records.groupBy("doc", "id").agg(F.min("valid_from").alias("valid_from")).groupBy("id").agg(F.min("valid_from").alias("valid_from"))
+    both = batched.select("id", "valid_from", F.lit(1).alias("x")).unionByName(apart.select("id", "valid_from", F.lit(2).alias("x")))
+    sums = both.groupBy("id", "valid_from").agg(F.sum("x").alias("x"))
+    return sums.agg(F.count(F.when(F.col("x") == 1, 1)).alias("only_batched"), F.count(F.when(F.col("x") == 2, 1)).alias("only_by_document"))
+
+
+# --- pattern queries -------------------------------------------------------------
+
+
+@query(f"SELECT DISTINCT {O.PART_N} AS name_id, {O.PART_V} AS version_id FROM part")
+def traverse_pkg_has_version(spark, d):
+    graph = _evidence_graph(spark, d, "HasSourceAt")
+    return Q.path(graph, "name_id", "PkgName").out("PkgHasVersion", "version_id").rows
+
+
+POINT = "vuln:osv/cve-2024-7"
+
+
+@query(f"SELECT DISTINCT 'vuln:osv/' || {O.CVE} AS id FROM {O.EVENTS.format('error')} AND {O.K} = 7")
+def vuln_point_lookup(spark, d):
+    return Q.path(_evidence_graph(spark, d, "CertifyVuln"), "id", "Vulnerability", F.col("id") == POINT).rows
+
+
+@query(O.blast_radius("a.dst <> 'vuln:novuln'"))
+def blast_radius(spark, d):
+    return Q.blast_radius(_evidence_graph(spark, d, *O.BLAST), F.col("id") != ids.NO_VULNERABILITY)
+
+
+@query(O.blast_radius(f"a.dst = '{POINT}'"))
+def blast_radius_one(spark, d):
+    return Q.blast_radius(_evidence_graph(spark, d, *O.BLAST), F.col("id") == POINT)
+
+
+@query(O.blast_radius("a.dst <> 'vuln:novuln'", "TIMESTAMP '2026-01-01 00:00:00'"))
+def blast_radius_as_of(spark, d):
+    return Q.blast_radius(_evidence_graph(spark, d, *O.BLAST), F.col("id") != ids.NO_VULNERABILITY, Q.Instant(lens.NOW))
+
+
+@query(f"SELECT label, count(*) AS n FROM (SELECT label, id, min(vf) AS vf FROM ({O.all_nodes('CertifyVuln', 'Vex', 'HasSBOM')}) GROUP BY ALL) WHERE vf <= {MONTH_SQL} GROUP BY label")
+def as_of_counts(spark, d):
+    return M.label_counts(Q.Instant(MONTH).holds(_evidence_graph(spark, d, "CertifyVuln", "Vex", "HasSBOM").nodes()))
+
+
+@query(f"SELECT label, count(*) FILTER (WHERE vf < {MONTH_SQL}) AS from_to, count(*) FILTER (WHERE vf <= {MONTH_SQL}) AS between_and, count(*) AS every FROM (SELECT label, id, min(vf) AS vf FROM ({O.all_nodes('CertifyVuln', 'Vex')}) GROUP BY ALL) GROUP BY label")
+def valid_range_counts(spark, d):
+    nodes = _evidence_graph(spark, d, "CertifyVuln", "Vex").nodes()
+    start = datetime(2024, 1, 1, tzinfo=UTC)
+    half, closed = Q.overlapping(nodes, start, MONTH), Q.overlapping(nodes, start, MONTH, closed=True)
+    tally = lambda df, n: df.groupBy("label").agg(F.count("*").alias(n))
+    found = tally(nodes, "every").join(tally(half, "from_to"), "label", "left").join(tally(closed, "between_and"), "label", "left")
+    return found.select("label", F.coalesce("from_to", F.lit(0)).alias("from_to"), F.coalesce("between_and", F.lit(0)).alias("between_and"), "every")
+
+
+@query(f"SELECT count(DISTINCT id) AS current_versions, count(DISTINCT id) AS all_versions FROM ({O.nodes('HasSBOM')})")
+def upsert_idempotent(spark, d):
+    """The same batch twice leaves as many versions as once."""
+    from provgraph.operators.store import upsert
+
+    nodes = M.merge_records(_graph(spark, d, "HasSBOM").nodes).drop("ord")
+    twice = upsert(upsert(None, nodes, lens.NOW), nodes, datetime(2026, 2, 1, tzinfo=UTC))
+    return twice.agg(F.count(F.when(F.col("system_to").isNull(), 1)).alias("current_versions"), F.count("*").alias("all_versions"))
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES) | enrichment.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL) | enrichment.oracle_sql()
