@@ -11,6 +11,9 @@ rejected. Repeated rows give repeated results; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +22,8 @@ from provgraph.llm.common import SPACE, let, text_of, words_of
 LEAST_WORDS = 50
 MOST_REPEATED = 0.5
 MOST_LOST = 0.5
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
+SEPARATORS = "[|>»›·•]"
 #: Fixed phrases of page furniture.
 BOILERPLATE = (
     "javascript",
@@ -39,26 +43,29 @@ BOILERPLATE = (
 WORD = r"[^\x20\x09-\x0D]"
 
 
-def _times(text: Column, chars: str) -> Column:
-    """How many characters of `text` are among `chars`."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _times(text: Column, marks: str) -> Column:
+    """How many characters of `text` are in the class `marks`; texts without any are only searched."""
+    return F.when(text.rlike(marks), F.length(text) - F.length(F.regexp_replace(text, marks, ""))).otherwise(F.lit(0))
 
 
 def _solid(text: Column) -> Column:
-    return F.length(F.translate(text, " \t\n\x0b\x0c\r", ""))
+    return F.length(F.regexp_replace(text, SPACE, ""))
 
 
 def line_fails(line: Column) -> Column:
     """Punctuation: a long line without any mark, shouting marks, or mostly symbols.
     Navigation: three or more separators, one for every 30 characters at least.
-    Boilerplate: a fixed phrase in a line of up to 200 characters. Lines without a word never fail."""
+    Boilerplate: a fixed phrase in a line of up to 200 characters. Lines without a word never fail.
+
+    Counting is left to the few lines that hold a mark at all."""
     size = F.length(line)
     unmarked = (size >= 80) & ~line.rlike(r"[.!?:;,\x22')\]|]")
-    shouted = ((size - F.length(F.replace(line, F.lit("!!"), F.lit("!")))) * 20 >= size) | (~line.rlike("[a-z]") & line.rlike("[A-Z]{4}.*[A-Z]{4}.*[A-Z]{4}"))
-    symbols = _times(line, SYMBOLS) * 8 >= _solid(line)
-    separators = _times(line, "|>»›·•")
-    navigation = (separators >= 3) & (separators * 30 >= size)
-    boilerplate = (size <= 200) & F.lower(line).rlike("|".join(BOILERPLATE))
+    doubled = (size - F.length(F.replace(line, F.lit("!!"), F.lit("!")))) * 20 >= size
+    shouted = (line.contains("!!") & doubled) | (~line.rlike("[a-z]") & line.rlike("[A-Z]{4}.*[A-Z]{4}.*[A-Z]{4}"))
+    symbols = line.rlike(SYMBOLS) & (_times(line, SYMBOLS) * 8 >= _solid(line))
+    separators = _times(line, SEPARATORS)
+    navigation = line.rlike(SEPARATORS) & (separators >= 3) & (separators * 30 >= size)
+    boilerplate = (size <= 200) & let(F.lower(line), lambda low: reduce(or_, (low.contains(x) for x in BOILERPLATE)))
     return line.rlike(WORD) & (unmarked | shouted | symbols | navigation | boilerplate)
 
 
@@ -89,40 +96,45 @@ def _repeated(words: Column) -> Column:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with a struct column `quality`: the base counts, the verdicts and the cleaned text."""
+    """`docs` with a struct column `quality`: the base counts and the verdicts."""
     t = text_of(text)
     lines = F.split(t, "\n", -1)
-    worded = F.filter(lines, lambda x: x.rlike(WORD))
-    kept_lines = F.filter(lines, lambda x: ~line_fails(x))
     base = F.struct(
-        let(words_of(t), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("r"))).alias("w"),
-        _solid(t).alias("word_chars"),
+        let(words_of(t), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("r"), F.length(F.array_join(w, "")).alias("chars"))).alias("w"),
         _times(t, SYMBOLS).alias("n_symbols"),
-        let(worded, lambda x: F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines"),
-        F.array_join(kept_lines, "\n").alias("clean"),
+        let(
+            lines,
+            lambda x: F.struct(
+                let(F.filter(x, lambda y: y.rlike(WORD)), lambda y: F.size(y) - F.size(F.array_distinct(y))).alias("dup"),
+                let(F.filter(x, line_fails), lambda y: F.when(F.size(y) == 0, F.lit(0)).otherwise(_solid(F.array_join(y, "")))).alias("lost"),
+            ),
+        ).alias("l"),
     )
 
     def verdict(b: Column) -> Column:
-        n, r, total, clean = b["w"]["n"], b["w"]["r"], b["word_chars"], _solid(b["clean"])
+        n, r, total, lost = b["w"]["n"], b["w"]["r"], b["w"]["chars"], b["l"]["lost"]
         failed = (n < LEAST_WORDS) | (r > MOST_REPEATED * n)
-        lost = (total - clean) > MOST_LOST * total
         return F.struct(
             n.cast("long").alias("n_words"),
             total.cast("long").alias("word_chars"),
             b["n_symbols"].cast("long").alias("n_symbols"),
-            b["n_dup_lines"].cast("long").alias("n_dup_lines"),
+            b["l"]["dup"].cast("long").alias("n_dup_lines"),
             r.cast("long").alias("n_repeat_words"),
             failed.alias("base_failed"),
-            (~failed & ~lost).alias("kept"),
-            b["clean"].alias("clean_text"),
-            (total - clean).cast("long").alias("lost_chars"),
+            (~failed & (lost <= MOST_LOST * total)).alias("kept"),
+            lost.cast("long").alias("lost_chars"),
         )
 
     return docs.withColumn("quality", let(base, verdict))
 
 
+def cleaned(text: Column) -> Column:
+    """`text` without the lines that fail."""
+    return F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~line_fails(x)), "\n")
+
+
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, base counts, base_failed, kept, lost_chars (word characters of removed lines) and clean_text."""
+    """doc_id, base counts, base_failed, kept and lost_chars (word characters of removed lines)."""
     return measure(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "quality.*")
 
 
