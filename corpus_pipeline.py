@@ -1,8 +1,73 @@
-"""Corpus pipeline (filled in below)."""
+"""Corpus pipeline: quality rules, near duplicates, secrets, mixture, token ids.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes it
+as Parquet to the shared folder and reads it again as the next stage's docs. All
+stages but the last return the columns of documents; n_chars follows the text.
+Documents whose doc_id is null can't be told apart, so they are kept as they are
+by the join. SQL can't express the join, the lexer, the draw or the encoding.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from provgraph.llm import chosen_path, quality, raking, secret_scan, sp_codec
+from provgraph.llm.common import prepare, read, stored
+from provgraph.llm.queries import MIXTURE, MIXTURE_KEEP
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the lines that failed leave the others' texts."""
+    kept = quality.measure(docs).where("quality.kept")
+    text = F.when(F.col("quality.lost_chars") > 0, quality.cleaned(F.col("text"))).otherwise(F.col("text"))
+    return kept.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class stays, the one whose id names it; of rows that repeat it, one."""
+    prepare(spark)
+    classes = stored(chosen_path.near_duplicates(docs).select("doc_id", "class_id"), "classes")
+    gone = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
+    again = classes.where(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").count().where("count > 1").select("doc_id")
+    left = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return left.join(again, "doc_id", "left_anti").unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*COLUMNS)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every span the scan finds is masked; all documents stay."""
+    prepare(spark)
+    masked = secret_scan.masked(docs.select(*COLUMNS))
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def mixture_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are drawn by the probabilities that meet the targets."""
+    return raking.drawn(docs, MIXTURE, MIXTURE_KEEP).select(*COLUMNS)
+
+
+def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, their number, and whether they decode to the text."""
+    prepare(spark)
+    return sp_codec.encode(docs, sp_codec.Model.load())
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("ngram_jaccard_join", duplicates_stage),
+    ("secret_scan", secrets_stage),
+    ("source_mix", mixture_stage),
+    ("sentencepiece", tokens_stage),
+]
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
+    docs = read(spark, sf_dir)
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return docs

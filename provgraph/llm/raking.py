@@ -52,11 +52,11 @@ def _grouped(column: Column, target: dict[str, float]) -> Column:
     return F.when(column.isin(list(target)), column).otherwise(F.lit(OTHER))
 
 
-def classified(docs: DataFrame, targets: Targets, doc_id: str, text: str, source: str, lang: str, topic: Column | None) -> DataFrame:
-    """doc_id, tokens and the cell of every document."""
+def classified(targets: Targets, doc_id: str, text: str, source: str, lang: str, topic: Column | None) -> list[Column]:
+    """Columns for the id, the tokens and the cell of a document."""
     t = text_of(text)
     parts = {"source": F.col(source).cast("string"), "lang": F.col(lang).cast("string"), "topic": topic if topic is not None else default_topic(t)}
-    return docs.select(F.col(doc_id).alias("doc_id"), F.size(words_of(t)).cast("long").alias("tokens"), *[_grouped(parts[d], getattr(targets, d)).alias(d) for d in DIMENSIONS])
+    return [F.col(doc_id).alias("mix_id"), F.size(words_of(t)).cast("long").alias("tokens"), *[_grouped(parts[d], getattr(targets, d)).alias(f"mix_{d}") for d in DIMENSIONS]]
 
 
 def rake(cells: np.ndarray, shares: list[np.ndarray], tolerance: float = 1e-10, rounds: int = 500) -> np.ndarray:
@@ -120,13 +120,27 @@ def cell_probabilities(totals: list, targets: Targets, keep: float) -> list[tupl
     return found
 
 
+def _drawn(rows: DataFrame, targets: Targets, keep: float, seed: int) -> DataFrame:
+    """`rows` (with doc_id, tokens and the cell's columns, prefixed) with weight, probability and selected."""
+    names = [f"mix_{d}" for d in DIMENSIONS]
+    totals = [dict(zip([*DIMENSIONS, "tokens"], r, strict=True)) for r in rows.groupBy(*names).agg(F.sum("tokens")).orderBy(*names).collect()]
+    cells = _table(rows, cell_probabilities(totals, targets, keep) if totals else [])
+    draw = F.xxhash64(F.lit(seed), F.col("mix_id")) / F.lit(2.0**64) + 0.5
+    # Cells are bounded by the targets, so this side is always small.
+    return rows.join(F.broadcast(cells), names).withColumn("selected", draw < F.col("probability"))
+
+
+def _table(rows: DataFrame, cells: list[tuple]) -> DataFrame:
+    return rows.sparkSession.createDataFrame(cells, "mix_source string, mix_lang string, mix_topic string, weight double, probability double")
+
+
 def mix(docs: DataFrame, targets: Targets, keep: float, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: Column | None = None) -> DataFrame:
     """doc_id, tokens, source, lang and topic group, weight (the cell's share of the mixture), probability, selected."""
-    rows = classified(docs, targets, doc_id, text, source, lang, topic)
-    totals = rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")).orderBy(*DIMENSIONS).collect()
-    if not totals:
-        return rows.select("*", F.lit(0.0).alias("weight"), F.lit(1.0).alias("probability"), F.lit(True).alias("selected"))
-    cells = docs.sparkSession.createDataFrame(cell_probabilities(totals, targets, keep), "source string, lang string, topic string, weight double, probability double")
-    draw = F.xxhash64(F.lit(seed), F.col("doc_id")) / F.lit(2.0**64) + 0.5
-    # Cells are bounded by the targets, so this side is always small.
-    return rows.join(F.broadcast(cells), list(DIMENSIONS)).select("doc_id", "tokens", *DIMENSIONS, "weight", "probability", (draw < F.col("probability")).alias("selected"))
+    rows = docs.select(*classified(targets, doc_id, text, source, lang, topic))
+    return _drawn(rows, targets, keep, seed).select(F.col("mix_id").alias("doc_id"), "tokens", *[F.col(f"mix_{d}").alias(d) for d in DIMENSIONS], "weight", "probability", "selected")
+
+
+def drawn(docs: DataFrame, targets: Targets, keep: float, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: Column | None = None) -> DataFrame:
+    """The rows of `docs` that the mixture keeps, with all their columns."""
+    inner = [F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), *classified(targets, doc_id, text, source, lang, topic)]
+    return _drawn(docs.select(*inner), targets, keep, seed).where("selected").select("doc.*")
