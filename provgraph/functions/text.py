@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -92,6 +93,11 @@ def canonical_time(raw: Column) -> Column:
     return F.concat(F.date_format(seconds, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction == "", "").otherwise(F.concat(F.lit("."), fraction)), F.lit("Z"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _digits(value: Column) -> tuple[Column, Column, Column]:
     """(sign, significant digits, decimal exponent) of the shortest text of a double."""
     raw = F.abs(value).cast("string")
@@ -121,10 +127,17 @@ def _scientific(digits: Column, exponent: Column, least: int) -> Column:
 
 def float_text(value: Column, style: str = "g") -> Column:
     """Shortest text of a double: `g` turns to exponents below 1e-4 and from 1e6 on, `f` never, `json` below 1e-6 and from 1e21 on."""
-    sign, digits, exponent = _digits(value)
     low, high, least = {"g": (-4, 6, 2), "f": (-400, 400, 2), "json": (-6, 21, 1)}[style]
-    far = (exponent < low) | (exponent >= high)
-    return F.concat(sign, F.when(far, _scientific(digits, exponent, least)).otherwise(_plain(digits, exponent)))
+
+    def shown(x: Column) -> Column:
+        far = (x["e"] < low) | (x["e"] >= high)
+        return F.concat(x["s"], F.when(far, _scientific(x["d"], x["e"], least)).otherwise(_plain(x["d"], x["e"])))
+
+    def split(x: Column) -> Column:
+        sign, digits, exponent = _digits(x)
+        return F.struct(sign.alias("s"), digits.alias("d"), exponent.alias("e"))
+
+    return let(let(value, split), shown)
 
 
 def json_text(value: Column) -> Column:

@@ -290,6 +290,13 @@ class EvidenceGraph:
         return reduce(DataFrame.unionByName, [self.edges_of(label).select(F.lit(label).alias("label"), "src", "dst", "valid_from") for label in labels])
 
 
+def evidence_nodes(ir: DataFrame, kind_name: str, guard: Guard) -> DataFrame:
+    """Only the evidence nodes of a kind: one for each row, no identity nodes and nothing to explode."""
+    kind = KINDS[kind_name]
+    own = [prop(n, c, "f" if TYPES.get(n) == "double" else "s") for n, c in _values(kind, kind.props)]
+    return evidence(ir, kind_name, guard).select(node(F.col("id"), kind.name, own).alias("n"), F.col("vf").alias("valid_from"), _ordinal(kind.phase, F.lit(0)).alias("ord")).select("n.*", "valid_from", "ord")
+
+
 def package_pass(tables: dict[str, DataFrame], guard: Guard) -> Graph:
     """Identity records of every package that any table names, stamped now; they don't count as fallbacks."""
     named = []
