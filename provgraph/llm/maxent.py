@@ -1,8 +1,8 @@
 """Language-model scoring with a hashed maximum-entropy model.
 
 P(word | history) = P(class | history) x P(word | class). The class factor is a
-softmax over hashed features of the history: the last word, the last two, skips
-over one and two words, and the classes of the last three. Frequent words and
+softmax over hashed features of the history: the last word, the last two, a skip
+to the one before, and the classes of the last three. Frequent words and
 the end of a text are classes of their own; other words fall into classes by
 their last two characters, and P(word | class) takes add-one counts, with one
 place for unknown words, so that all probabilities sum to 1.
@@ -10,7 +10,7 @@ place for unknown words, so that all probabilities sum to 1.
 Training passes over the training texts once, in rounds. In a round every task
 runs gradient steps (AdaGrad) on its own texts, from the weights of the round
 before; Spark averages the tasks' weights, feature by feature. The weights are a
-fixed 2^14 x 64 matrix. Counts cover all training texts. Words of the `FREQUENT`
+fixed 2^14 x 48 matrix. Counts cover all training texts. Words of the `FREQUENT`
 most frequent travel with the tasks; rarer ones, which have no hot keys, are
 joined to the table of counts.
 
@@ -35,15 +35,15 @@ from pyspark.sql import functions as F
 from provgraph.llm.common import stored, text_of
 
 #: Words that travel with the tasks; words of over LONGEST characters never do.
-FREQUENT = 200_000
+FREQUENT = 100_000
 LONGEST = 40
-CLASSES, HEADS, ENDINGS = 64, 31, 32
+CLASSES, HEADS, ENDINGS = 48, 31, 16
+#: Rows of weights; features take the top 14 bits of their hashes, and row 0 is the constant's.
 ROWS = 1 << 14
-FEATURES = 6
 ROUNDS = 3
-RATE = 0.3
+RATE = 1.0
 #: Tokens of a gradient step and of a scored batch.
-STEP = 4096
+STEP = 2048
 #: Words that a worker remembers.
 REMEMBERED = 1 << 19
 END = "\n"
@@ -98,7 +98,7 @@ def _mixed(seed: int, *parts: np.ndarray) -> np.ndarray:
     for p in parts:
         h = (h ^ p) * np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
-    return (h >> np.uint64(11)).astype(np.int64) % ROWS
+    return np.maximum((h >> np.uint64(50)).view(np.int64), 1)
 
 
 def batch_features(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
@@ -114,20 +114,22 @@ def batch_features(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarr
     hashes, groups = np.zeros(total, np.uint64), np.full(total, CLASSES, np.int64)
     hashes[at], groups[at] = words.hash[index], words.group[index]
     ends = starts + sizes
-    place = np.sort(np.concatenate([at, ends]))
+    kept, last = np.ones(total, bool), np.zeros(total, bool)
+    kept[np.concatenate([starts - 1, starts - 2, starts - 3])] = False
+    last[ends] = True
+    place = np.flatnonzero(kept)
     owner = np.repeat(np.arange(len(texts)), sizes + 1)
     g = groups.astype(np.uint64)
     one, two, three = place - 1, place - 2, place - 3
     feats = np.stack([
-        np.zeros(len(place), np.int64),
+        np.zeros(len(place), np.int64),  # row 0 is left to the constant
         _mixed(1, hashes[one]),
         _mixed(2, hashes[one], hashes[two]),
         _mixed(3, hashes[two]),
-        _mixed(4, hashes[three]),
         _mixed(5, g[one], g[two], g[three]),
     ])
     target = groups[place]
-    is_end = np.isin(place, ends, assume_unique=True)
+    is_end = last[place]
     target[is_end] = 0
     found = np.full(len(place), -1, np.int64)
     found[~is_end] = index
@@ -144,19 +146,25 @@ def log_softmax(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
 
 
 def descend(weights: np.ndarray, squares: np.ndarray, feats: np.ndarray, target: np.ndarray) -> None:
-    """AdaGrad steps over tokens, STEP at a time, in place."""
+    """AdaGrad steps over tokens, STEP at a time, in place; each feature has one rate for all classes."""
     for i in range(0, len(target), STEP):
         f, y = feats[:, i : i + STEP], target[i : i + STEP]
         error = np.exp(log_softmax(weights, f))
         error[np.arange(len(y)), y] -= 1
         error /= np.float32(math.sqrt(len(y)))
-        rows = f.ravel()
-        order = np.argsort(rows, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], rows[order][1:] != rows[order][:-1]]))
-        gradient = np.add.reduceat(error[order % len(y)], first, axis=0)
-        own = rows[order][first]
-        squares[own] += gradient * gradient
-        weights[own] -= np.float32(RATE) * gradient / np.sqrt(squares[own])
+        weights[0] -= np.float32(RATE * 0.1) * error.mean(0)  # the constant feature has its own small, fixed rate
+        for rows in f[1:]:
+            # Sums over equal rows are differences of running sums in the rows' order.
+            order = np.argsort(rows.astype(np.uint16), kind="stable")
+            own = rows[order]
+            last = np.flatnonzero(np.concatenate([own[1:] != own[:-1], [True]]))
+            gradient = np.cumsum(error[order], axis=0)[last]
+            gradient[1:] -= gradient[:-1].copy()
+            own = own[last]
+            square = squares[own] + np.einsum("ij,ij->i", gradient, gradient)
+            squares[own] = square
+            gradient *= (np.float32(-RATE) / np.sqrt(square))[:, None]
+            weights[own] += gradient
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -180,17 +188,18 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, heads: list[str], fold: Column) -> np.ndarray:
-    """Weights after ROUNDS rounds, each over its own share of the texts; `fold` numbers the shares."""
+def train(docs: DataFrame, heads: list[str], fold: Column, shares: np.ndarray) -> np.ndarray:
+    """Weights after ROUNDS rounds, each over its own part of the texts; `fold` numbers the parts, `shares` of the classes are the start."""
     spark = docs.sparkSession
     weights = np.zeros((ROWS, CLASSES), np.float32)
+    weights[0] = np.log(np.maximum(shares, 1e-9))
     names = [f"c{i}" for i in range(CLASSES)]
     schema = "row int, tasks long, " + ", ".join(f"{n} double" for n in names)
     for k in range(ROUNDS):
         start = spark.sparkContext.broadcast(weights)
 
         def run(batches: Iterator[pd.DataFrame], start=start) -> Iterator[pd.DataFrame]:
-            own, squares = start.value.copy(), np.full((ROWS, CLASSES), 1e-2, np.float32)
+            own, squares = start.value.copy(), np.full(ROWS, 1e-2, np.float32)
             words, seen = Words({}, heads), 0
             touched = np.zeros(ROWS, bool)
             for pdf in batches:
@@ -230,9 +239,12 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
     # log10 of what a word's count + 1 is divided by; a head is certain in its class.
     below = np.log10(np.maximum(size, 1))
     below[1 : 1 + len(heads)] = [math.log10(frequent[w] + 1) for w in heads]
-    weights = spark.sparkContext.broadcast(train(teaching, heads, F.col("fold")) if total else np.zeros((ROWS, CLASSES), np.float32))
-    known = spark.sparkContext.broadcast(frequent)
     end = counts.where(F.col("word") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shares = size / max(total, 1)
+    shares[0] = end / max(total, 1)
+    shares[1 : 1 + len(heads)] = [frequent[w] / total for w in heads]
+    weights = spark.sparkContext.broadcast(train(teaching, heads, F.col("fold"), shares) if total else np.zeros((ROWS, CLASSES), np.float32))
+    known = spark.sparkContext.broadcast(frequent)
     end_log = math.log10(end + 1)
     base_below = math.log10(total + kinds + 1)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
