@@ -78,18 +78,22 @@ def segments(text: Column) -> Column:
     return let(F.regexp_replace(F.lower(text), "[^a-z0-9\n]+", " "), lambda t: F.array_distinct(F.transform(parts(t), lambda s: F.trim(s))))
 
 
+def _templates() -> Column:
+    """All templates as one constant: licence, bigram hashes."""
+    each = [F.struct(F.lit(name).alias("license"), F.lit([bigram_hash(a, b) for a, b in template_bigrams(text)]).cast("array<bigint>").alias("grams")) for name, text in TEMPLATES]
+    return F.array(*each)
+
+
 def _matches(grams: Column, threshold: float) -> Column:
     """(dice, licence) structs of one segment's bigrams with every template that the sizes allow."""
-    found = []
-    n = F.size(grams)
-    for name, text in TEMPLATES:
-        pairs = template_bigrams(text)
-        m = len(pairs)
-        own = F.lit([bigram_hash(a, b) for a, b in pairs]).cast("array<bigint>")
+
+    def compared(t: Column) -> Column:
+        n, m = F.size(grams), F.size(t["grams"])
         possible = (n * (2 - threshold) >= m * threshold) & (n * threshold <= m * (2 - threshold))
-        dice = F.when(possible, F.size(F.array_intersect(grams, own)) * F.lit(2.0) / (n + m)).otherwise(F.lit(0.0))
-        found.append(F.struct(dice.alias("dice"), F.lit(name).alias("license")))
-    return F.filter(F.array(*found), lambda x: x["dice"] >= threshold)
+        dice = F.when(possible, F.size(F.array_intersect(grams, t["grams"])) * F.lit(2.0) / (n + m)).otherwise(F.lit(0.0))
+        return F.struct(dice.alias("dice"), t["license"].alias("license"))
+
+    return F.filter(F.transform(_templates(), compared), lambda x: x["dice"] >= threshold)
 
 
 def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
