@@ -9,13 +9,15 @@ pair. Large ones are split again on further sampled tokens: each bucket draws
 together in one child on average while others part. Runs are repeated until the
 target recall: `runs_for` takes their number from the survival of such a path.
 
-A large bucket of near copies would never part. There a few pivots, others in
-every bucket, are compared with all members: those that resemble one are linked
-to the nearest and leave, all others go on. Nothing is dropped, and no group's
-pairs are all written out.
+A large bucket of near copies never parts. What is still large after the last
+level is cut into blocks, and every two blocks are compared: no member leaves and
+none is passed over. Pairs of similar sketches only join texts into groups; then
+all pairs of a group are compared exactly, on all shingles, again block by block.
+A block comparison returns each text's number of links and one text that it is
+connected to, so that no group's pairs are written out and degrees are exact.
 
-Candidates are verified exactly on whole texts. Equal texts (equal word lists)
-are one vertex from the start. Classes are the connected components of links.
+Classes are the connected components of verified links. Equal texts (equal word
+lists) are one vertex from the start.
 
 Defined results: words are lower-case runs of anything but ASCII white space; a
 text of fewer words than a shingle is one shingle; null or blank texts have
@@ -27,9 +29,9 @@ text hashes: among 10^9 different texts the chance of one clash is 3 in 100.
 from __future__ import annotations
 
 import math
-from collections import OrderedDict
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -46,14 +48,16 @@ RECALL = 0.995
 SKETCH = 32
 #: Largest bucket that is compared pair by pair.
 SMALL = 16
-#: Levels of splitting that the number of runs allows for.
+#: Levels of splitting; what is large after the last is compared as it is.
 DEPTH = 2
 #: Tokens that one split samples: a child bucket shares them all.
 TOKENS = 3
-#: Share of equal coordinates from which a pair is verified, and from which a member leaves with its pivot.
-LIKELY, SURE = 0.6, 0.8
-#: Pivots of a large bucket.
-PIVOTS = 8
+#: Share of equal coordinates from which two texts join a group.
+LIKELY = 0.6
+#: Texts of a block whose sketches are compared, and whose shingles are; shingles that a block of long texts holds.
+SKETCHES, TEXTS, GRAMS = 1024, 256, 1 << 20
+#: Shingles that one matrix product counts.
+COLUMNS = 4096
 
 _A, _B = (np.random.default_rng(7).integers(1, 1 << 63, size=(2, SKETCH), dtype=np.uint64) | np.uint64(1))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -121,6 +125,10 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return common / max(1, len(a) + len(b) - common)
 
 
+def _vertex(name: str) -> np.int64:
+    return np.uint64(xxhash.xxh64_intdigest(name, seed=11)).astype(np.int64)
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
     """doc_id, vertex, shingles and sketch of every document; the sketch is null for blank texts."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -132,7 +140,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
                 words = words_list(text)
                 name = " ".join(words) if words else f" {doc_id}"
                 grams = shingles(words)
-                out.append((np.int64(np.uint64(xxhash.xxh64_intdigest(name, seed=11)).astype(np.int64)), len(grams), sketch(grams) if words else None))
+                out.append((_vertex(name), len(grams), sketch(grams) if words else None))
             got = pd.DataFrame(out, columns=["v", "size", "mins"])
             got.insert(0, "doc_id", pdf["doc_id"].to_numpy())
             yield got
@@ -152,67 +160,172 @@ def _child(number: int) -> Column:
     return F.xxhash64("b", F.lit(number), *[F.get(F.col("mins"), c) for c in at])
 
 
+def _dealt(members: DataFrame, name: str) -> DataFrame:
+    """Members once for each pair of blocks they meet in: `k` is the number of blocks of their `name`; `other` tells the second block's."""
+    x = F.pmod(F.xxhash64("v", F.lit("block")), F.col("k"))
+    each = members.withColumn("x", x).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+    return each.withColumns({"block": F.xxhash64(name, F.least("x", "y"), F.greatest("x", "y")), "other": F.col("x") > F.col("y")}).drop("x", "y", "k", name)
+
+
+def _sorted(dealt: DataFrame) -> DataFrame:
+    return dealt.repartition("block").sortWithinPartitions("block", "v")
+
+
+def _by_block(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of one block pair at a time; rows come in the order of blocks."""
+    held: list[dict] = []
+
+    def whole() -> dict[str, np.ndarray]:
+        return {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+
+    for pdf in batches:
+        columns = {c: pdf[c].to_numpy() for c in pdf}
+        block = columns["block"]
+        for start, end in pairwise([0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]):
+            if held and start < end and held[0]["block"][0] != block[start]:
+                yield whole()
+                held = []
+            if start < end:
+                held.append({c: x[start:end] for c, x in columns.items()})
+    if held:
+        yield whole()
+
+
+def _sides(other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the two blocks that are compared; a block by itself is both."""
+    first, second = np.flatnonzero(~other), np.flatnonzero(other)
+    return first, second if len(second) else first
+
+
+def _roots(linked: np.ndarray, first: np.ndarray, second: np.ndarray, n: int) -> np.ndarray:
+    """For each of n places one place of its component; `linked` is the matrix of links between the two sides."""
+    near = np.zeros((n, n), bool)
+    near[np.ix_(first, second)] = linked
+    near |= near.T
+    root, fresh = np.arange(n), near.any(1)
+    while fresh.any():
+        seed = int(fresh.argmax())
+        edge = np.array([seed])
+        fresh[seed] = False
+        while len(edge):
+            root[edge] = seed
+            edge = np.flatnonzero(near[edge].any(0) & fresh)
+            fresh[edge] = False
+    return root
+
+
+def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common shingles of every set of the one list and every set of the other."""
+    both = np.intersect1d(np.concatenate(first), np.concatenate(second))
+
+    def placed(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(both, flat), max(0, len(both) - 1))
+        kept = both[at] == flat if len(both) else np.zeros(len(flat), bool)
+        at, owner = at[kept], owner[kept]
+        order = np.argsort(at, kind="stable")
+        return at[order], owner[order]
+
+    sides = [(*placed(first), len(first)), (*placed(second), len(second))]
+    counts = np.zeros((len(first), len(second)), np.float64)
+    for low in range(0, len(both), COLUMNS):
+        parts = []
+        for at, owner, n in sides:
+            s, e = np.searchsorted(at, [low, low + COLUMNS])
+            part = np.zeros((n, min(COLUMNS, len(both) - low)), np.float32)
+            part[owner[s:e], at[s:e] - low] = 1
+            parts.append(part)
+        counts += parts[0] @ parts[1].T
+    return counts
+
+
 def _candidates(texts: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """(a, b) pairs of vertices that share a small bucket or a pivot's; texts has v, size, mins."""
+    """(a, b) edges that connect all vertices which share a bucket and have similar sketches; texts has v, size, mins."""
     runs = runs_for(threshold, recall)
     own = F.transform(F.sequence(F.lit(0), F.lit(runs - 1)), lambda r: F.xxhash64(r, F.get(F.col("mins"), r)))
     level = texts.select("v", F.explode(own).alias("b"))
-    found, small = [], []
+    few, crowded = None, []
     extra = 1 / threshold**TOKENS - 1
-    for _ in range(64):
+    for depth in range(DEPTH + 1):
         sizes = level.groupBy("b").agg(F.count("*").alias("n")).where("n > 1")
         level = stored(level.join(sizes, "b"), "paths")
-        small.append(level.where(F.col("n") <= SMALL).select("b", "v"))
         large = level.where(F.col("n") > SMALL)
-        if large.isEmpty():
+        few = level.where(F.col("n") <= SMALL).select("b", "v") if depth == 0 else few
+        # What a large bucket parted into may still be one dense group, so its small parts aren't joined pair by pair either.
+        if depth == DEPTH or large.isEmpty():
+            crowded.append(level if depth else large)
             break
-        members = large.join(texts.select("v", "mins"), "v").select("b", "v", "mins")
-        drawn = members.groupBy("b", F.pmod(F.xxhash64("v"), F.lit(PIVOTS)).alias("s")).agg(F.min(F.struct(F.xxhash64("b", "v").alias("h"), "v", "mins")).alias("p"))
-        pivots = drawn.groupBy("b").agg(F.collect_list(F.struct("p.v", "p.mins")).alias("pivots"))
-        like = F.transform("pivots", lambda p: F.struct(F.when(p["v"] == F.col("v"), -1.0).otherwise(_agreement(F.col("mins"), p["mins"])).alias("like"), p["v"].alias("v")))
-        seen = members.join(pivots, "b").withColumn("like", like).select("b", "v", "mins", "like", F.array_max("like").alias("best"), F.exists("like", lambda x: x["like"] < 0).alias("pivot"))
-        seen = stored(seen, "pivots")
-        # A member is linked to the pivot it resembles most, a pivot to every other.
-        linked = F.filter("like", lambda x: (x["like"] >= LIKELY) & (F.col("pivot") | (x["v"] == F.col("best.v"))))
-        found.append(seen.select("v", F.explode(linked).alias("x")).select(F.least("v", "x.v").alias("a"), F.greatest("v", "x.v").alias("b")))
+        if depth:
+            crowded.append(level.where(F.col("n") <= SMALL))
         # By the bucket's name: one child, and a second one so often that a pair at the threshold stays together in one on average.
         twice = F.pmod(F.xxhash64("b", F.lit("twice")), F.lit(10_000)) < int(extra * 10_000)
-        level = seen.where((F.col("best.like") < SURE) & ~F.col("pivot")).select("v", F.explode(F.when(twice, F.array(_child(0), _child(1))).otherwise(F.array(_child(0)))).alias("b"))
-    # Names of buckets differ between levels, so one join compares the small ones of all.
-    few = reduce(DataFrame.unionByName, small)
-    within = few.select("b", F.col("v").alias("a")).join(few.select("b", F.col("v").alias("c")), "b").where("a < c").select("a", F.col("c").alias("b"))
-    return reduce(DataFrame.unionByName, [*found, within]).distinct()
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, similarity) of the pairs that reach the threshold on whole texts."""
+        level = large.join(texts.select("v", "mins"), "v").select("v", F.explode(F.when(twice, F.array(_child(0), _child(1))).otherwise(F.array(_child(0)))).alias("b"))
+    within = few.select("b", F.col("v").alias("a")).join(few.select("b", F.col("v").alias("c")), "b").where("a < c").select("a", F.col("c").alias("b")).distinct()
     side = texts.select("v", "size", "mins")
     likely = (
-        pairs.join(side.toDF("a", "size_a", "mins_a"), "a").join(side.toDF("b", "size_b", "mins_b"), "b")
+        within.join(side.toDF("a", "size_a", "mins_a"), "a").join(side.toDF("b", "size_b", "mins_b"), "b")
         .where((F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")) & (_agreement(F.col("mins_a"), F.col("mins_b")) >= LIKELY))
         .select("a", "b")
     )
-    likely = stored(likely, "pairs")
-    needed = likely.select(F.col("a").alias("v")).union(likely.select("b")).distinct()
-    chosen = texts.join(needed, "v").select("v", "rep")
-    whole = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("rep"))).select("v", "text").dropDuplicates(["v"])
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: OrderedDict[int, np.ndarray] = OrderedDict()
+        for rows in _by_block(batches):
+            first, second = _sides(rows["other"])
+            # In the order of vertices a component's root is its smallest, so that many buckets name the same one.
+            mins, size, v = np.stack(rows["mins"]), rows["size"], rows["v"]
+            equal = np.zeros((len(first), len(second)), np.uint8)
+            for c in range(SKETCH):
+                equal += mins[first, c, None] == mins[None, second, c]
+            x, y = size[first, None], size[None, second]
+            root = _roots((equal >= LIKELY * SKETCH) & (np.minimum(x, y) >= threshold * np.maximum(x, y)) & (v[first, None] != v[None, second]), first, second, len(v))
+            moved = root != np.arange(len(v))
+            yield pd.DataFrame({"a": v[moved], "b": v[root[moved]]})
+
+    blocks = F.ceil(F.col("n") / SKETCHES).cast("long")
+    dealt = _dealt(reduce(DataFrame.unionByName, crowded).select("b", "v", blocks.alias("k")), "b").join(side, "v")
+    return likely.unionByName(_sorted(dealt).mapInPandas(compare, "a long, b long").distinct())
 
-        def grams(v: int, text: str) -> np.ndarray:
-            if v not in known:
-                known[v] = shingles(words_list(text))
-                if len(known) > 512:
-                    known.popitem(last=False)
-            return known[v]
 
+def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """(v, near, n): v has n links, counted in one pair of blocks, and is connected by links to near (or is it); the rows' n add up to its degree.
+
+    Groups are the components of the pairs; all pairs of a group are compared.
+    """
+    groups = components(pairs).join(texts.select("v", "rep", "size"), "v")
+    sizes = groups.groupBy("label").agg(F.count("*").alias("n"), F.max("size").alias("most"))
+    per = F.least(F.lit(TEXTS), F.greatest(F.lit(8), (F.lit(GRAMS) / F.col("most")).cast("long")))
+    groups = stored(groups.join(sizes.select("label", F.ceil(F.col("n") / per).cast("long").alias("k")), "label"), "groups")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            value = [jaccard(grams(a, s), grams(b, t)) for a, b, s, t in zip(pdf["a"], pdf["b"], pdf["text_a"], pdf["text_b"], strict=True)]
-            yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "similarity": value})[np.array(value, float) >= threshold]
+            words = [words_list(t) for t in pdf["text"]]
+            # Rows of one id may differ in their texts.
+            own = np.array([_vertex(" ".join(w)) for w in words], np.int64) == pdf["v"].to_numpy()
+            yield pd.DataFrame({"v": pdf["v"].to_numpy(), "grams": [shingles(w).tobytes() for w in words]})[own]
+
+    chosen = groups.select("v", "rep")
+    whole = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("rep"))).select("v", "text").mapInPandas(cut, "v long, grams binary").dropDuplicates(["v"])
 
-    both = likely.join(whole.toDF("a", "text_a"), "a").join(whole.toDF("b", "text_b"), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInPandas(compare, "a long, b long, similarity double")
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _by_block(batches):
+            first, second = _sides(rows["other"])
+            grams, v = [np.frombuffer(x, np.uint64) for x in rows["grams"]], rows["v"]
+            size = np.array([len(x) for x in grams])
+            if len(first) == 2 and second is first:
+                value = np.array([[0.0, x := jaccard(grams[0], grams[1])], [x, 0.0]])
+            else:
+                common = _common([grams[i] for i in first], [grams[i] for i in second])
+                value = common / np.maximum(1, size[first, None] + size[None, second] - common)
+            linked = (value >= threshold) & (v[first, None] != v[None, second])
+            root = _roots(linked, first, second, len(v))
+            n = np.zeros(len(v), np.int64)
+            n[first] += linked.sum(1)
+            if second is not first:
+                n[second] += linked.sum(0)
+            yield pd.DataFrame({"v": v, "near": v[root], "n": n})[n > 0]
+
+    dealt = _dealt(groups.select("label", "v", "k"), "label").join(whole, "v")
+    return _sorted(dealt).mapInPandas(compare, "v long, near long, n long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -236,7 +349,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
-    """(members, links): doc_id and vertex of every document; verified (a, b, similarity) between different texts."""
+    """(members, links): doc_id and vertex of every document; counted links between different texts as `_verified` returns them."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     members = stored(_sketches(rows), "sketches")
     texts = members.where("mins IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("mins").alias("mins"))
@@ -248,8 +361,8 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row for each document: doc_id, class_id, class_size, n_copies (documents of its text) and n_links (different texts linked to its text)."""
     members, found = links(docs, doc_id, text, threshold, recall)
-    labels = components(found)
-    degree = found.select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.count("*").alias("n_links"))
+    labels = components(found.where("v <> near").select(F.col("v").alias("a"), F.col("near").alias("b")))
+    degree = found.groupBy("v").agg(F.sum("n").alias("n_links"))
     copies = members.groupBy("v").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("low"))
     vertices = checkpointed(copies.join(labels, "v", "left").join(degree, "v", "left").select("v", "n_copies", "low", F.coalesce("label", "v").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
     classes = vertices.groupBy("label").agg(F.min("low").alias("class_id"), F.sum("n_copies").alias("class_size"))
