@@ -1,6 +1,7 @@
 """Near duplicates in dense groups: no link is lost, degrees are exact, and the number of runs counts every miss."""
 
 import numpy as np
+import pytest
 
 from provgraph.llm import chosen_path
 
@@ -34,6 +35,22 @@ def test_chains_at_a_dense_group_stay_whole(spark):
     assert {r["class_id"] for r in got.values()} == {0}
 
 
+@pytest.mark.parametrize("blocks", [False, True])
+def test_degrees_in_a_dense_group_are_exact(spark, monkeypatch, blocks):
+    if blocks:  # as in groups of many blocks; with spark's workers the constants of the driver only deal the blocks
+        monkeypatch.setattr(chosen_path, "TEXTS", 16)
+        monkeypatch.setattr(chosen_path, "SKETCHES", 32)
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(_changed(base, set(rng.integers(0, 200, rng.integers(1, 4)).tolist()), f"t{i}")) for i in range(120)]
+    texts += texts[:3] + ["alone in the world of texts here"]
+    sets = _sets(texts[:120])
+    want = [sum(_linked(a, b) for j, b in enumerate(sets) if i != j) for i, a in enumerate(sets)]
+    assert max(want) > 16 and len(set(want)) > 5
+    got = _rows(spark, texts)
+    assert [got[i]["n_links"] for i in range(124)] == [*want, *want[:3], 0]
+
+
 def test_common_shingles_agree_with_sets(monkeypatch):
     monkeypatch.setattr(chosen_path, "COLUMNS", 7)
     rng = np.random.default_rng(2)
