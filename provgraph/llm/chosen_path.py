@@ -7,7 +7,8 @@ order (a coordinate of the set's sketch). Small buckets are compared pair by
 pair. Large ones are split again on further sampled tokens: each bucket draws
 1 / threshold coordinates on average, by its own name, so that similar sets stay
 together in one child on average while others part. Runs are repeated until the
-target recall: `runs_for` takes their number from the survival of such a path.
+target recall: `runs_for` takes their number from the survival of such a path
+and from what the comparison of sketches passes.
 
 A large bucket of near copies never parts. What is still large after the last
 level is cut into blocks, and every two blocks are compared: no member leaves and
@@ -53,7 +54,7 @@ DEPTH = 2
 #: Tokens that one split samples: a child bucket shares them all.
 TOKENS = 3
 #: Share of equal coordinates from which two texts join a group.
-LIKELY = 0.6
+LIKELY = 0.5625
 #: Texts of a block whose sketches are compared, and whose shingles are; shingles that a block of long texts holds.
 SKETCHES, TEXTS, GRAMS = 1024, 256, 1 << 20
 #: Shingles that one matrix product counts.
@@ -64,18 +65,27 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def survival(threshold: float, depth: int) -> float:
+def survival(similarity: float, depth: int, threshold: float = THRESHOLD) -> float:
     """Chance that a pair of that similarity still shares a bucket after a root token and `depth` splits."""
-    stay = threshold**TOKENS
-    extra, alive = 1 / stay - 1, 1.0
+    stay = similarity**TOKENS
+    extra, alive = 1 / threshold**TOKENS - 1, 1.0
     for _ in range(depth):
         alive = 1 - (1 - stay * alive) * (1 - extra * stay * alive)
-    return threshold * alive
+    return similarity * alive
 
 
 def runs_for(threshold: float = THRESHOLD, recall: float = RECALL, depth: int = DEPTH) -> int:
-    """Runs until a pair at the threshold is found with the target probability."""
-    return min(SKETCH, math.ceil(math.log(1 - recall) / math.log(1 - survival(threshold, depth))))
+    """Runs until a pair at the threshold is found with the target probability after all splits.
+
+    All runs draw from one sketch, so the miss is a mean over the numbers of
+    coordinates that agree; a pair below LIKELY of them counts as missed.
+    """
+    chance = [math.comb(SKETCH, k) * threshold**k * (1 - threshold) ** (SKETCH - k) for k in range(SKETCH + 1)]
+    seen = [(c, survival(k / SKETCH, depth, threshold)) for k, c in enumerate(chance) if k >= LIKELY * SKETCH]
+    for runs in range(1, SKETCH):
+        if sum(c * (1 - (1 - s) ** runs) for c, s in seen) >= recall:
+            return runs
+    return SKETCH
 
 
 class _Hashes(dict):

@@ -1,5 +1,7 @@
 """Near duplicates in dense groups: no link is lost, degrees are exact, and the number of runs counts every miss."""
 
+from math import comb
+
 import numpy as np
 import pytest
 
@@ -58,3 +60,11 @@ def test_common_shingles_agree_with_sets(monkeypatch):
     a, b = draw(9), draw(5)
     assert chosen_path._common(a, b).tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in b] for x in a]
     assert chosen_path._common(a, [np.array([99], np.uint64)]).sum() == 0
+
+
+def test_runs_count_every_miss():
+    n, p = chosen_path.SKETCH, chosen_path.THRESHOLD
+    chance = [comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)]
+    least = int(np.ceil(chosen_path.LIKELY * n))
+    miss = sum(chance[:least]) + sum(c * (1 - chosen_path.survival(k / n, chosen_path.DEPTH)) ** chosen_path.runs_for() for k, c in enumerate(chance) if k >= least)
+    assert miss <= 1 - chosen_path.RECALL
