@@ -10,16 +10,9 @@ from provgraph.functions.text import text
 
 _REF = "array<struct<referenceType:string,referenceLocator:string>>"
 SPDX = f"struct<spdxVersion:string,name:string,documentNamespace:string,creationInfo:struct<created:string>,documentDescribes:array<string>,packages:array<struct<SPDXID:string,name:string,versionInfo:string,supplier:string,externalRefs:{_REF}>>,relationships:array<struct<spdxElementId:string,relationshipType:string,relatedSpdxElement:string>>>"
-_COMPONENT = "`bom-ref`:string,purl:string,name:string,version:string,supplier:struct<name:string>"
-
-
-def _nested(depth: int) -> str:
-    return f"struct<{_COMPONENT}" + (f",components:array<{_nested(depth - 1)}>" if depth else "") + ">"
-
-
-#: Levels of nested components that are read.
-DEPTH = 6
-CYCLONEDX = f"struct<bomFormat:string,metadata:struct<timestamp:string>,components:array<{_nested(DEPTH)}>,vulnerabilities:array<struct<id:string,analysis:struct<state:string,detail:string>,affects:array<struct<ref:string>>>>>"
+#: Nested components stay JSON texts, which are read level by level.
+COMPONENT = "struct<`bom-ref`:string,purl:string,name:string,version:string,supplier:struct<name:string>,components:array<string>>"
+CYCLONEDX = "struct<bomFormat:string,metadata:struct<timestamp:string>,components:array<string>,vulnerabilities:array<struct<id:string,analysis:struct<state:string,detail:string>,affects:array<struct<ref:string>>>>>"
 STATEMENT = "struct<predicateType:string,subject:array<struct<uri:string,name:string>>,predicate:struct<scanner:struct<uri:string,version:string,db:struct<uri:string,version:string>,result:array<struct<vulnerability_id:string,id:string>>>,metadata:struct<scannedOn:string,scanFinishedOn:string>>>"
 OPENVEX = "struct<`@context`:string,timestamp:string,statements:array<struct<vulnerability:struct<name:string>,products:array<struct<`@id`:string>>,status:string,justification:string>>>"
 
@@ -96,15 +89,19 @@ def spdx_packages(docs: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame) -> DataFrame:
-    """CycloneDX components at any depth up to DEPTH, parents before children: path, digest, at, ref, purl, name, version, supplier, pkg."""
+    """CycloneDX components at any depth, parents before children: path, digest, at, depth, ref, purl, name, version, supplier, pkg.
+
+    Levels are read until one is empty, each with a job of its own.
+    """
     d = docs.where("format = 'cyclonedx' AND error IS NULL").withColumn("d", F.from_json("raw", CYCLONEDX))
     level = d.select("path", "digest", F.try_to_timestamp("d.metadata.timestamp").alias("at"), F.explode("d.components").alias("c"))
-    out = None
-    for depth in range(DEPTH + 1):
+    out, depth = None, 0
+    while out is None or not level.isEmpty():
+        level = level.withColumn("c", F.from_json("c", COMPONENT))
         rows = level.select("path", "digest", "at", F.lit(depth).alias("depth"), F.col("c.bom-ref").alias("ref"), "c.purl", "c.name", "c.version", F.col("c.supplier.name").alias("supplier"))
         out = rows if out is None else out.unionByName(rows)
-        if depth < DEPTH:
-            level = level.select("path", "digest", "at", F.explode("c.components").alias("c"))
+        level = level.select("path", "digest", "at", F.explode("c.components").alias("c"))
+        depth += 1
     return out.withColumn("pkg", F.coalesce(parsed_purl(F.col("purl")), _guac_package(F.col("name"), F.col("version"))))
 
 
