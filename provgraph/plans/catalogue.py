@@ -124,6 +124,13 @@ def float_texts(spark, d):
     return lens.table(spark, d, "events").where("value < 1000 AND value > 0.01").select("event_id", F.concat(F.lit("n"), T.float_text(F.round("value", 2))).alias("shown"))
 
 
+@query()
+def float_texts_all(spark, d):
+    """All events, zeros, exponents and nulls too, in three styles; DuckDB has no text of that form, so brute force tests it."""
+    value = F.col("value")
+    return lens.table(spark, d, "events").select("event_id", T.float_text(F.round(value, 2)).alias("rounded"), T.float_text(value).alias("g"), T.float_text(value, "f").alias("f"), T.float_text(value, "json").alias("js"))
+
+
 # --- the seventeen kinds: evidence, edges -------------------------------------
 
 
