@@ -18,11 +18,14 @@ A block comparison returns each text's number of links and one text that it is
 connected to, so that no group's pairs are written out and degrees are exact.
 
 Classes are the connected components of verified links. Equal texts (equal word
-lists) are one vertex from the start.
+lists) are one vertex from the start. Joins whose keys may be hot (a frequent
+shingle's bucket, a component, a group of exact copies) move rows of a few
+numbers only and have plain exchanges on both sides, so that adaptive execution
+splits their hot partitions.
 
 Defined results: words are lower-case runs of anything but ASCII white space; a
 text of fewer words than a shingle is one shingle; null or blank texts have
-none and stand alone, by id; class ids are the smallest doc_id of a class
+none and stand alone, by id (rows without an id together); class ids are the smallest doc_id of a class
 (nulls aside); repeated rows are members like any other. Vertices are 64-bit
 text hashes: among 10^9 different texts the chance of one clash is 3 in 100.
 """
@@ -30,7 +33,7 @@ text hashes: among 10^9 different texts the chance of one clash is 3 in 100.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import pairwise
 
@@ -40,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import checkpointed, stored, text_of
+from provgraph.llm.common import checkpointed, map_texts, stored, text_of
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -139,23 +142,26 @@ def _vertex(name: str) -> np.int64:
     return np.uint64(xxhash.xxh64_intdigest(name, seed=11)).astype(np.int64)
 
 
-def _sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, vertex, shingles and sketch of every document; the sketch is null for blank texts."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _measured() -> Callable[[list[str]], dict]:
+    """Vertex, number of shingles and sketch of texts; all null for blank ones."""
+
+    def work(texts: list[str]) -> dict:
+        v, size, mins = [], [], []
+        for text in texts:
+            words = words_list(text)
+            grams = shingles(words)
+            v.append(int(_vertex(" ".join(words))) if words else None)
+            size.append(len(grams))
+            mins.append(sketch(grams) if words else None)
+        return {"v": v, "size": size, "mins": mins}
+
+    return work
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                words = words_list(text)
-                name = " ".join(words) if words else f" {doc_id}"
-                grams = shingles(words)
-                out.append((_vertex(name), len(grams), sketch(grams) if words else None))
-            got = pd.DataFrame(out, columns=["v", "size", "mins"])
-            got.insert(0, "doc_id", pdf["doc_id"].to_numpy())
-            yield got
 
-    return docs.mapInPandas(run, f"doc_id {kind}, v long, size long, mins array<long>")
+def _sketches(rows: DataFrame) -> DataFrame:
+    """`rows` (with doc_id and text) with vertex, shingles and sketch in place of the text; blank texts have no sketch and stand for their id."""
+    found = map_texts(rows, "v long, size long, mins array<long>", _measured)
+    return found.withColumn("v", F.coalesce("v", F.xxhash64(F.lit("blank"), F.col("doc_id"))))
 
 
 def _agreement(a: Column, b: Column) -> Column:
@@ -257,7 +263,8 @@ def _candidates(texts: DataFrame, threshold: float, recall: float) -> DataFrame:
     few, crowded = None, []
     extra = 1 / threshold**TOKENS - 1
     for depth in range(DEPTH + 1):
-        sizes = level.groupBy("b").agg(F.count("*").alias("n")).where("n > 1")
+        # Counted with partial sums and stored, so that both sides of the join are plain exchanges, whose hot buckets Spark splits at run time.
+        sizes = stored(level.groupBy("b").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
         level = stored(level.join(sizes, "b"), "paths")
         large = level.where(F.col("n") > SMALL)
         few = level.where(F.col("n") <= SMALL).select("b", "v") if depth == 0 else few
@@ -358,23 +365,43 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
-    """(members, links): doc_id and vertex of every document; counted links between different texts as `_verified` returns them."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
+def links(rows: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
+    """(members, links) of rows with doc_id and text: the rows with their vertex for the text; counted links between different texts as `_verified` returns them."""
     members = stored(_sketches(rows), "sketches")
     texts = members.where("mins IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("mins").alias("mins"))
     texts = stored(texts, "texts")
-    found = stored(_verified(_candidates(texts, threshold, recall), texts, rows, threshold), "links")
-    return members.select("doc_id", "v"), found
+    found = stored(_verified(_candidates(texts, threshold, recall), texts, rows.select("doc_id", "text"), threshold), "links")
+    return members.drop("size", "mins"), found
+
+
+def _labels(found: DataFrame) -> DataFrame:
+    return components(found.where("v <> near").select(F.col("v").alias("a"), F.col("near").alias("b")))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row for each document: doc_id, class_id, class_size, n_copies (documents of its text) and n_links (different texts linked to its text)."""
-    members, found = links(docs, doc_id, text, threshold, recall)
-    labels = components(found.where("v <> near").select(F.col("v").alias("a"), F.col("near").alias("b")))
+    members, found = links(docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")), threshold, recall)
     degree = found.groupBy("v").agg(F.sum("n").alias("n_links"))
     copies = members.groupBy("v").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("low"))
-    vertices = checkpointed(copies.join(labels, "v", "left").join(degree, "v", "left").select("v", "n_copies", "low", F.coalesce("label", "v").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    vertices = checkpointed(copies.join(_labels(found), "v", "left").join(degree, "v", "left").select("v", "n_copies", "low", F.coalesce("label", "v").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
     classes = vertices.groupBy("label").agg(F.min("low").alias("class_id"), F.sum("n_copies").alias("class_size"))
-    named = vertices.join(classes, "label").select("v", "class_id", "class_size", "n_copies", "n_links")
+    # Stored before the last join, so that one group of exact copies with many rows is a skewed side that Spark can split.
+    named = checkpointed(vertices.join(classes, "label").select("v", "class_id", "class_size", "n_copies", "n_links"))
     return members.join(named, "v").select("doc_id", "class_id", "class_size", "n_copies", "n_links")
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """`docs` with one row of each class, that of the smallest id (nulls last); of rows that share it, the one whose text's hash is smallest.
+
+    Ids need not be unique: a row's key is a 128-bit hash of its id and text.
+    The decision is made on narrow rows, and texts are dealt out by their keys
+    once. Rows of one key are united before they are dealt; of those, which
+    differ in other columns at most, any one may stay.
+    """
+    key = [F.xxhash64(F.lit(i), F.col(doc_id).isNull(), F.col(doc_id), F.col(text).isNull(), F.col(text)).alias(f"key{i}") for i in range(2)]
+    names = ["key0", "key1"]
+    members, found = links(docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"), *key), threshold, recall)
+    first = members.groupBy("v").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *names)).alias("row"))
+    left = first.join(_labels(found), "v", "left").groupBy(F.coalesce("label", "v").alias("label")).agg(F.min("row").alias("row")).select("row.key0", "row.key1")
+    once = docs.select(*key, F.struct(*[F.col(c) for c in docs.columns]).alias("doc")).groupBy(*names).agg(F.first("doc").alias("doc"))
+    return once.join(left, names).select("doc.*")

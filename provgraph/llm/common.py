@@ -5,21 +5,49 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Words are runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 
-#: Rows that go to a Python worker at once; texts may be long.
+#: Rows and bytes that go to a Python worker at once: rows of short texts, bytes of long ones.
 ARROW_ROWS = 512
+ARROW_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches bound the memory of Python workers whatever the length of a text."""
+    """Small Arrow batches bound the memory of Python workers; a batch of long texts ends sooner, a text of its own size at the latest."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
+def map_texts(rows: DataFrame, added: str, begin: Callable[[], Callable[[list[str]], dict]]) -> DataFrame:
+    """`rows` with its column `text` replaced by the columns `added` (as DDL).
+
+    Each task calls `begin` once; what it returns takes the texts of a batch to
+    the values of the new columns (Arrow arrays or what makes them). Other
+    columns pass through Arrow untouched, so that nulls don't turn ids into floats.
+    """
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+    schema = StructType([*kept, *StructType.fromDDL(added).fields])
+    types = to_arrow_schema(schema)
+    new = types.names[len(kept) :]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = begin()
+        for batch in batches:
+            found = work(batch.column("text").to_pylist())
+            made = [x if isinstance(x := found[n], pa.Array) else pa.array(x, types.field(n).type) for n in new]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], *made], names=types.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -44,27 +72,53 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the folder that driver and executors share.
+_OWN: list[str] = []
 
-    The cluster names it in spark.checkpoint.dir; only where that is unset (one
-    machine, tests) a temporary folder takes its place.
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it in spark.checkpoint.dir.
+
+    Only one machine (local mode, tests) may take a temporary folder of its own instead.
     """
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="provgraph-"))
+    return _OWN[0]
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage through the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="provgraph-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder for a table that several jobs read."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="provgraph-")
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+#: Paths of the tables stored since the outermost `scratch` began.
+_STORED: list[str] = []
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: lineage is cut, and a lost executor costs nothing."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are removed at the end; results that read them must be written by then."""
+    known = len(_STORED)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        while len(_STORED) > known:
+            path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+            path.getFileSystem(conf).delete(path, True)

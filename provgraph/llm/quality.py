@@ -95,20 +95,27 @@ def _repeated(words: Column) -> Column:
     return let(let(words, windows), count)
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with a struct column `quality`: the base counts and the verdicts."""
+def measure(docs: DataFrame, text: str = "text", rest: bool = False) -> DataFrame:
+    """`docs` with a struct column `quality`: the base counts and the verdicts; with `rest`, also the text without its failing lines."""
     t = text_of(text)
-    lines = F.split(t, "\n", -1)
+
+    def judged(x: Column) -> Column:
+        def counted(flags: Column) -> Column:
+            some = F.array_contains(flags, True)
+            parts = [
+                let(F.filter(x, lambda y: y.rlike(WORD)), lambda y: F.size(y) - F.size(F.array_distinct(y))).alias("dup"),
+                F.when(some, _solid(F.array_join(F.filter(x, lambda y, i: F.get(flags, i)), ""))).otherwise(F.lit(0)).alias("lost"),
+            ]
+            if rest:
+                parts.append(F.when(some, F.array_join(F.filter(x, lambda y, i: ~F.get(flags, i)), "\n")).alias("rest"))
+            return F.struct(*parts)
+
+        return let(F.transform(x, line_fails), counted)
+
     base = F.struct(
         let(words_of(t), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("r"), F.length(F.array_join(w, "")).alias("chars"))).alias("w"),
         _times(t, SYMBOLS).alias("n_symbols"),
-        let(
-            lines,
-            lambda x: F.struct(
-                let(F.filter(x, lambda y: y.rlike(WORD)), lambda y: F.size(y) - F.size(F.array_distinct(y))).alias("dup"),
-                let(F.filter(x, line_fails), lambda y: F.when(F.size(y) == 0, F.lit(0)).otherwise(_solid(F.array_join(y, "")))).alias("lost"),
-            ),
-        ).alias("l"),
+        let(F.split(t, "\n", -1), judged).alias("l"),
     )
 
     def verdict(b: Column) -> Column:
@@ -123,14 +130,20 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             failed.alias("base_failed"),
             (~failed & (lost <= MOST_LOST * total)).alias("kept"),
             lost.cast("long").alias("lost_chars"),
+            *([b["l"]["rest"].alias("rest")] if rest else []),
         )
 
     return docs.withColumn("quality", let(base, verdict))
 
 
-def cleaned(text: Column) -> Column:
-    """`text` without the lines that fail."""
-    return F.array_join(F.filter(F.split(text, "\n", -1), lambda x: ~line_fails(x)), "\n")
+def cleaned(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The documents that the rules keep, without their failing lines; other columns as they are.
+
+    The verdict passes through a generator of one row, so that the filter on it
+    doesn't evaluate the rules a second time.
+    """
+    measured = measure(docs, text, rest=True).withColumn("quality", F.explode(F.array("quality")))
+    return measured.where("quality.kept").withColumn(text, F.coalesce("quality.rest", F.col(text))).drop("quality")
 
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -68,3 +68,29 @@ def test_runs_count_every_miss():
     least = int(np.ceil(chosen_path.LIKELY * n))
     miss = sum(chance[:least]) + sum(c * (1 - chosen_path.survival(k / n, chosen_path.DEPTH)) ** chosen_path.runs_for() for k, c in enumerate(chance) if k >= least)
     assert miss <= 1 - chosen_path.RECALL
+
+
+def test_siblings_in_a_dense_group_are_found(spark):
+    rng = np.random.default_rng(1)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for k in range(150):  # families lie at about 0.75, the two of a family at about 0.81
+        family = _changed(base, set(rng.choice(200, 3, replace=False).tolist()), f"f{k}")
+        texts += [" ".join(family), " ".join(_changed(family, set(rng.choice(200, 4, replace=False).tolist()), f"s{k}"))]
+    sets = _sets(texts)
+    want = [(i, j) for i in range(300) for j in range(i) if _linked(sets[i], sets[j])]
+    degree = [sum(i in pair for pair in want) for i in range(300)]
+    got = _rows(spark, texts)
+    assert sum(got[i]["class_id"] == got[j]["class_id"] for i, j in want) >= 0.99 * len(want) > 0
+    assert sum(got[i]["n_links"] for i in range(300)) >= 0.99 * sum(degree)
+
+
+def test_one_row_of_each_class_stays(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [(5, text("p"), "x"), (5, text("q"), "x"), (3, text("q"), "y"), (7, text("z"), "x"), (7, text("z"), "x"), (None, text("n"), "x"), (None, text("z") + " end", "x"), (8, "", "x"), (9, None, "x"), (None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, doc string")
+    got = sorted(((r["doc_id"], r["text"]) for r in chosen_path.deduplicated(docs).collect()), key=repr)
+    assert got == sorted([(5, text("p")), (3, text("q")), (7, text("z")), (None, text("n")), (8, ""), (9, None), (None, None)], key=repr)
+    assert chosen_path.deduplicated(docs.limit(0)).collect() == []
+    big = 2**62 + 1  # ids pass through unharmed beside nulls
+    assert {r["doc_id"] for r in chosen_path.near_duplicates(spark.createDataFrame([(big, "a b"), (None, "c")], "doc_id long, text string")).collect()} == {big, None}
