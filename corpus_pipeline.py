@@ -3,17 +3,25 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes it
 as Parquet to the shared folder and reads it again as the next stage's docs. All
 stages but the last return the columns of documents; n_chars follows the text.
-Documents whose doc_id is null can't be told apart, so they are kept as they are
-by the join. SQL can't express the join, the lexer, the draw or the encoding.
+SQL can't express the join, the lexer, the draw or the encoding.
+
+Defined results: other columns of documents are ignored; null and empty texts
+fail the quality rules; rows that share an id are rows of their own everywhere,
+and the join keeps one row of each class whatever its id; rows without an id
+share one draw of the mixture, and rows without a source or language are in the
+group of other values.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provgraph.llm import chosen_path, quality, raking, secret_scan, sp_codec
-from provgraph.llm.common import prepare, read, stored
+from provgraph.llm.common import prepare, read, scratch, shared_folder
 from provgraph.llm.queries import MIXTURE, MIXTURE_KEEP
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -21,19 +29,14 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the lines that failed leave the others' texts."""
-    kept = quality.measure(docs).where("quality.kept")
-    text = F.when(F.col("quality.lost_chars") > 0, quality.cleaned(F.col("text"))).otherwise(F.col("text"))
-    return kept.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    kept = quality.cleaned(docs)
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays, the one whose id names it; of rows that repeat it, one."""
+    """One document of each class stays: the row of the smallest id, and of rows with that id the one whose text's hash is smallest."""
     prepare(spark)
-    classes = stored(chosen_path.near_duplicates(docs).select("doc_id", "class_id"), "classes")
-    gone = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
-    again = classes.where(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").count().where("count > 1").select("doc_id")
-    left = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    return left.join(again, "doc_id", "left_anti").unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(*COLUMNS)
+    return chosen_path.deduplicated(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,8 +69,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents; what a stage stored for itself goes when its result is written."""
     docs = read(spark, sf_dir)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+        with scratch(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
     return docs
