@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,38 @@ def map_texts(rows: DataFrame, added: str, begin: Callable[[], Callable[[list[st
     return rows.mapInArrow(run, schema)
 
 
+HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
+HASH_MIX = np.uint64(0xD6E8FEB86659FD93)
+#: Items that are hashed or gathered at once.
+GATHERED = 1 << 20
+
+
+def span_keys(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of codes[begin:end] of ascending spans: differences of running sums, taken over parts, moved to a common power."""
+    keys = np.empty(len(begins), np.uint64)
+    first = 0
+    up = down = np.ones(1, np.uint64)
+    while first < len(begins):
+        low = begins[first]
+        last = max(first + 1, int(np.searchsorted(ends, low + GATHERED, side="right")))
+        part = codes[low : ends[last - 1]].astype(np.uint64) + np.uint64(1)
+        if len(up) < len(part):
+            up = np.full(max(len(part), min(GATHERED, len(codes))), HASH_BASE)
+            down = np.full(len(up), np.uint64(pow(int(HASH_BASE), -1, 1 << 64)))
+            up[0] = down[0] = 1
+            np.multiply.accumulate(up, out=up)
+            np.multiply.accumulate(down, out=down)
+        run = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * up[: len(part)], out=run[1:])
+        s, e = begins[first:last] - low, ends[first:last] - low
+        keys[first:last] = (run[e] - run[s]) * down[s] + (e - s).astype(np.uint64)
+        first = last
+    keys ^= keys >> np.uint64(32)
+    keys *= HASH_MIX
+    keys ^= keys >> np.uint64(29)
+    return keys
+
+
 def read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

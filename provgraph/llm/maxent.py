@@ -1,18 +1,26 @@
 """Language-model scoring with a hashed maximum-entropy model.
 
-P(word | history) = P(class | history) x P(word | class). The class factor is a
-softmax over hashed features of the history: the last word, the last two, a skip
-to the one before, and the classes of the last three. Frequent words and
-the end of a text are classes of their own; other words fall into classes by
-their last two characters, and P(word | class) takes add-one counts, with one
-place for unknown words, so that all probabilities sum to 1.
+P(word | history) = P(class | history) x P(part | class, history) x P(word | part).
+Both first factors are softmaxes over hashed features of the history: n-grams
+(the last word, the last two), skips over one and two words, and the classes of
+the last three; those of the second factor are hashed together with the class.
+The most frequent words and the end of a text are classes of their own; other
+words fall into classes by their last two characters, and those into parts by a
+hash. P(word | part) takes add-one counts of the words of a part, a hundredth of
+a thousandth of the vocabulary or so, with one place for unknown words: all
+probabilities sum to 1.
 
 Training passes over the training texts once, in rounds. In a round every task
 runs gradient steps (AdaGrad) on its own texts, from the weights of the round
-before; Spark averages the tasks' weights, feature by feature. The weights are a
-fixed 2^14 x 48 matrix. Counts cover all training texts. Words of the `FREQUENT`
-most frequent travel with the tasks; rarer ones, which have no hot keys, are
-joined to the table of counts.
+before; the changes are summed by blocks of rows and averaged over the tasks
+that met a feature. The number of hashed rows grows with the counted vocabulary
+between bounds. Counts cover all training texts and all words, by 64-bit hashes
+(among 10^8 words the chance of one clash is 3 in 10,000). Those of the
+`FREQUENT` most frequent travel with the tasks; rarer ones, which have no hot
+keys, are joined to the table of counts.
+
+Texts are handled as arrays of UTF-8 bytes: words are found, lower-cased and
+hashed a batch at a time.
 
 Defined results: null text counts as empty and has its end token only; without
 training texts every token is unknown; repeated rows give repeated results.
@@ -21,204 +29,351 @@ training texts every token is unknown; repeated rows give repeated results.
 from __future__ import annotations
 
 import math
-import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import stored, text_of
+from provgraph.llm.common import map_texts, span_keys, stored, text_of
 
-#: Words that travel with the tasks; words of over LONGEST characters never do.
-FREQUENT = 100_000
-LONGEST = 40
-CLASSES, HEADS, ENDINGS = 48, 31, 16
-#: Rows of weights; features take the top 14 bits of their hashes, and row 0 is the constant's.
-ROWS = 1 << 14
+#: Words that travel with the tasks.
+FREQUENT = 200_000
+CLASSES, HEADS, ENDINGS = 64, 31, 32
+#: Parts of a class; heads and the end have one word and need none.
+PARTS = 64
+LEAVES = CLASSES * PARTS
+#: Hashed rows of weights: one for about 512 words, within these powers of two.
+LEAST_BITS, MOST_BITS = 14, 16
 ROUNDS = 3
-RATE = 1.0
+RATE = 0.2
+#: Classes drawn for the gradient of a token.
+DRAWS = 2
+GROUP = 8
 #: Tokens of a gradient step and of a scored batch.
 STEP = 2048
-#: Words that a worker remembers.
-REMEMBERED = 1 << 19
-END = "\n"
-
-
-def tokens_of(text: str) -> list[bytes]:
-    """Words between ASCII white space, A to Z lowered."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+#: Rows of weights whose changes are sent and summed together.
+BLOCK = 256
+#: Words that a task counts before it merges equal ones.
+COUNTED = 1 << 21
+#: The key of a text's end.
+END = 0
 
 
-def ending_class(word: bytes) -> int:
-    """Class by the last two characters."""
-    return 1 + HEADS + zlib.crc32(word.decode("utf-8", "replace")[-2:].encode()) % ENDINGS
-
+@dataclass
+class Words:
+    """Words of a batch of texts in their order: hashes, leaves (class x PARTS + part) by the ending and the hash, and the number of each text's."""
 
-def ending_class_of(word: str) -> Column:
-    """The same in Spark."""
-    return (F.lit(1 + HEADS) + F.crc32(F.encode(F.substring(word, -2, 2), "utf-8")) % ENDINGS).cast("int")
+    keys: np.ndarray
+    leaves: np.ndarray
+    sizes: np.ndarray
 
 
-class Words:
-    """Hash, class and log10(count + 1) of words, NaN for those that aren't frequent; each computed once."""
-
-    def __init__(self, frequent: dict[str, int], heads: list[str]):
-        self.frequent, self.heads = frequent, {w.encode(): 1 + i for i, w in enumerate(heads)}
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.hash, self.group, self.logs = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.int64), np.zeros(1 << 12)
-
-    def add(self, word: bytes) -> int:
-        i = self.place[word] = len(self.place)
-        if i == len(self.hash):
-            self.hash, self.group, self.logs = (np.concatenate([a, np.zeros_like(a)]) for a in (self.hash, self.group, self.logs))
-        self.hash[i] = xxhash.xxh64_intdigest(word)
-        self.group[i] = self.heads.get(word) or ending_class(word)
-        count = self.frequent.get(word.decode("utf-8", "replace"))
-        self.logs[i] = math.nan if count is None else math.log10(count + 1)
-        return i
-
-    def indices(self, words: list[bytes]) -> np.ndarray:
-        if len(self.place) > REMEMBERED:
-            self.forget()
-        for word in set(words) - self.place.keys():
-            self.add(word)
-        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-
-
-def _mixed(seed: int, *parts: np.ndarray) -> np.ndarray:
+def words_in(texts: list[str]) -> Words:
+    """Words between ASCII white space, A to Z lowered."""
+    parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    codes = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
+    codes = codes + (codes - np.uint8(65) < 26) * np.uint8(32)
+    blank = np.concatenate([[True], (codes == 32) | (codes - np.uint8(9) < 5)])
+    begins = np.flatnonzero(blank[:-1] & ~blank[1:])
+    ends = np.flatnonzero(~blank[:-1] & blank[1:])
+    offsets = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
+    keys = np.maximum(span_keys(codes, begins, ends), np.uint64(1))
+    # The last two characters: back from the end to the second byte that starts one.
+    lead = np.maximum.accumulate(np.where((codes & 0xC0) != 0x80, np.arange(len(codes), dtype=np.int64), 0))
+    one = lead[ends - 1]
+    two = np.where(one > begins, lead[np.maximum(one - 1, 0)], begins)
+    ending = np.zeros(len(ends), np.uint64)
+    for back in range(1, 9):
+        at = ends - back
+        ending = np.where(at >= two, (ending ^ codes[np.maximum(at, 0)]) * np.uint64(0x100000001B3), ending)
+    groups = 1 + HEADS + (_stirred(ending) % np.uint64(ENDINGS)).view(np.int64)
+    return Words(keys, groups * PARTS + (keys % np.uint64(PARTS)).view(np.int64), np.diff(np.searchsorted(begins, offsets)))
+
+
+def _stirred(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+class Known:
+    """Places of hashes in a list: a table of slots finds most, the others are searched."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.shift = np.uint64(64 - max(8, (4 * len(keys)).bit_length()))
+        self.slots = np.full(1 << (64 - int(self.shift)), -1, np.int64)
+        slot = (keys >> self.shift).view(np.int64)
+        self.slots[slot[::-1]] = np.arange(len(keys))[::-1]
+        lost = np.flatnonzero(self.slots[slot] != np.arange(len(keys)))
+        self.lost = lost[np.argsort(keys[lost])]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each, -1 for what isn't in the list."""
+        found = self.slots[(keys >> self.shift).view(np.int64)]
+        if not len(self.keys):
+            return found
+        found[self.keys[found] != keys] = -1
+        if len(self.lost):
+            rest = np.flatnonzero(found < 0)
+            sorted_keys = self.keys[self.lost]
+            at = np.minimum(np.searchsorted(sorted_keys, keys[rest]), len(self.lost) - 1)
+            found[rest] = np.where(sorted_keys[at] == keys[rest], self.lost[at], -1)
+        return found
+
+
+def _mixed(rows: int, reserved: int, seed: int, *parts: np.ndarray) -> np.ndarray:
+    """Row of a feature among `rows`, a power of two; the first `reserved` rows are left to the constants."""
     h = np.full(len(parts[0]), seed * 0x9E3779B97F4A7C15 % 2**64, np.uint64)
     for p in parts:
         h = (h ^ p) * np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
-    return np.maximum((h >> np.uint64(50)).view(np.int64), 1)
-
-
-def batch_features(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """(features, classes, owners, word indices or -1 for ends, tokens) of all tokens of texts, each text's end included."""
-    cut = [tokens_of(t) for t in texts]
-    flat = [w for c in cut for w in c]
-    sizes = np.array([len(c) for c in cut])
-    index = words.indices(flat)
+    return np.maximum((h >> np.uint64(65 - rows.bit_length())).view(np.int64), reserved)
+
+
+@dataclass
+class Tokens:
+    """All tokens of a batch, each text's end included: features of both softmaxes, classes, parts, owners, places in the list of known words; `inner` are the tokens with a part."""
+
+    first: np.ndarray
+    second: np.ndarray
+    classes: np.ndarray
+    leaves: np.ndarray
+    owner: np.ndarray
+    inner: np.ndarray
+    word: np.ndarray
+    keys: np.ndarray
+    place: np.ndarray
+
+
+def batch_tokens(texts: list[str], known: Known, heads: int, rows: int) -> Tokens:
+    """The first `heads` of the known words are classes of their own."""
+    words = words_in(texts)
+    place = known.find(words.keys)
+    sizes = words.sizes
+    is_head = (place >= 0) & (place < heads)
+    leaves = np.where(is_head, (1 + place) * PARTS, words.leaves)
     # Every text stands behind three empty places, which are its history at the start, and before its end.
     starts = np.concatenate([[0], np.cumsum(sizes + 4)])[:-1] + 3
-    at = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)])[:-1], sizes) + np.arange(len(flat))
+    at = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)])[:-1], sizes) + np.arange(len(place))
     total = int((sizes + 4).sum())
-    hashes, groups = np.zeros(total, np.uint64), np.full(total, CLASSES, np.int64)
-    hashes[at], groups[at] = words.hash[index], words.group[index]
-    ends = starts + sizes
-    kept, last = np.ones(total, bool), np.zeros(total, bool)
+    hashes, groups, leaf = np.zeros(total, np.uint64), np.full(total, CLASSES, np.uint64), np.zeros(total, np.int64)
+    hashes[at], groups[at], leaf[at] = words.keys, (leaves // PARTS).view(np.uint64), leaves
+    kept, word = np.ones(total, bool), np.zeros(total, bool)
     kept[np.concatenate([starts - 1, starts - 2, starts - 3])] = False
-    last[ends] = True
-    place = np.flatnonzero(kept)
-    owner = np.repeat(np.arange(len(texts)), sizes + 1)
-    g = groups.astype(np.uint64)
-    one, two, three = place - 1, place - 2, place - 3
-    feats = np.stack([
-        np.zeros(len(place), np.int64),  # row 0 is left to the constant
-        _mixed(1, hashes[one]),
-        _mixed(2, hashes[one], hashes[two]),
-        _mixed(3, hashes[two]),
-        _mixed(5, g[one], g[two], g[three]),
-    ])
-    target = groups[place]
-    is_end = last[place]
-    target[is_end] = 0
-    found = np.full(len(place), -1, np.int64)
-    found[~is_end] = index
-    return feats, target, owner, found, flat
-
-
-def log_softmax(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
-    z = weights[feats[0]]
+    word[at] = True
+    now = np.flatnonzero(kept)
+    h1, h2, h3 = hashes[now - 1], hashes[now - 2], hashes[now - 3]
+    g = [groups[now - i] for i in (1, 2, 3)]
+    classes = leaf[now] // PARTS
+    inner = np.flatnonzero(classes > HEADS)
+    c = classes[inner].view(np.uint64)
+    first = np.stack([np.zeros(len(now), np.int64), _mixed(rows, 1, 1, h1), _mixed(rows, 1, 2, h1, h2), _mixed(rows, 1, 3, h2), _mixed(rows, 1, 4, h3), _mixed(rows, 1, 5, *g)])
+    h1, h2 = h1[inner], h2[inner]
+    second = np.stack([classes[inner], _mixed(rows, CLASSES, 6, c, h1), _mixed(rows, CLASSES, 7, c, h1, h2), _mixed(rows, CLASSES, 8, c, h2)])
+    return Tokens(first, second, classes, leaf[now], np.repeat(np.arange(len(texts)), sizes + 1), inner, word[now], words.keys, place)
+
+
+def raw_scores(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
+    """Sums of the features' weights, class by class; held below where their exponentials would overflow."""
+    z = np.take(weights, feats[0], axis=0)
+    part = np.empty_like(z)
     for f in feats[1:]:
-        z += weights[f]
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
-    return z
+        z += np.take(weights, f, axis=0, out=part, mode="clip")
+    return np.minimum(z, np.float32(80), out=z)
 
 
-def descend(weights: np.ndarray, squares: np.ndarray, feats: np.ndarray, target: np.ndarray) -> None:
-    """AdaGrad steps over tokens, STEP at a time, in place; each feature has one rate for all classes."""
+def chosen_logs(weights: np.ndarray, feats: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the softmax's probability of each target, STEP tokens at a time."""
+    out = np.empty(len(target))
+    ones = np.ones(weights.shape[1], np.float32)
     for i in range(0, len(target), STEP):
-        f, y = feats[:, i : i + STEP], target[i : i + STEP]
-        error = np.exp(log_softmax(weights, f))
-        error[np.arange(len(y)), y] -= 1
-        error /= np.float32(math.sqrt(len(y)))
-        weights[0] -= np.float32(RATE * 0.1) * error.mean(0)  # the constant feature has its own small, fixed rate
-        for rows in f[1:]:
-            # Sums over equal rows are differences of running sums in the rows' order.
-            order = np.argsort(rows.astype(np.uint16), kind="stable")
-            own = rows[order]
-            last = np.flatnonzero(np.concatenate([own[1:] != own[:-1], [True]]))
-            gradient = np.cumsum(error[order], axis=0)[last]
-            gradient[1:] -= gradient[:-1].copy()
-            own = own[last]
-            square = squares[own] + np.einsum("ij,ij->i", gradient, gradient)
-            squares[own] = square
-            gradient *= (np.float32(-RATE) / np.sqrt(square))[:, None]
-            weights[own] += gradient
+        y = target[i : i + STEP]
+        z = raw_scores(weights, feats[:, i : i + STEP])
+        own = z[np.arange(len(y)), y]
+        out[i : i + STEP] = own - np.log(np.exp(z, out=z) @ ones + np.float32(1e-30))
+    return out
+
+
+def drawn_classes(mass: np.ndarray, draws: np.random.Generator) -> np.ndarray:
+    """A class for each row, by the row's masses: first a group of GROUP classes, then one of its classes."""
+    n, rows = len(mass), np.arange(len(mass))
+    groups = mass.reshape(n, -1, GROUP)
+    before = np.cumsum(groups @ np.ones(GROUP, np.float32), axis=1)
+    at = draws.random(n, np.float32) * before[:, -1]
+    group = np.minimum((before <= at[:, None]).sum(1), groups.shape[1] - 1)
+    inner = np.cumsum(groups[rows, group], axis=1)
+    at = draws.random(n, np.float32) * inner[:, -1]
+    return group * GROUP + np.minimum((inner <= at[:, None]).sum(1), GROUP - 1)
+
+
+class Descent:
+    """AdaGrad steps on one softmax, STEP tokens at a time, in place. The first feature's rows hold logarithms of shares and stay.
+
+    The gradient's part at the target class is exact; the parts of the other
+    classes are drawn: DRAWS classes by their probabilities stand for all, which
+    is right on average and leaves a few cells a feature to change.
+    """
+
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
+        # A cell's sum and its squares are one complex number, so that memory is visited once for both.
+        self.cells = np.full(weights.size, 1e-2j, np.complex64)
+        self.draws = np.random.default_rng(20)
+
+    def over(self, feats: np.ndarray, target: np.ndarray) -> None:
+        flat, classes = self.weights.reshape(-1), self.weights.shape[1]
+        ones = np.ones(classes, np.float32)
+        for i in range(0, len(target), STEP):
+            f, y = feats[:, i : i + STEP], target[i : i + STEP]
+            mass = raw_scores(self.weights, f)
+            np.exp(mass, out=mass)
+            cells, parts = [y], [mass[np.arange(len(y)), y] / (mass @ ones + np.float32(1e-30)) - 1]
+            for _ in range(DRAWS):
+                cells.append(drawn_classes(mass, self.draws))
+                parts.append((cells[-1] != y).astype(np.float32) / DRAWS)
+            at = (f[1:, None, :] * classes + np.stack(cells)).ravel()
+            np.add.at(self.cells, at, np.tile(np.stack(parts).astype(np.complex64).ravel(), len(f) - 1))
+            # Equal cells have equal sums, so that it doesn't matter which of them is written last.
+            found = self.cells[at]
+            gradient = found.real
+            square = found.imag + gradient * gradient
+            flat[at] -= np.float32(RATE) * gradient / np.sqrt(square)
+            found.real, found.imag = 0, square
+            self.cells[at] = found
+
+
+def _merged(keys: np.ndarray, leaves: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], leaves[order][first], np.add.reduceat(n[order], first) if len(first) else n
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """(word, n) over all texts; tasks count before they send."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
-
-        def sent() -> pd.DataFrame:
-            return pd.DataFrame({"word": pd.Series([w.decode("utf-8", "replace") for w in counts], dtype=object), "n": list(counts.values())})
-
-        for pdf in batches:
-            for text in pdf["text"]:
-                counts.update(tokens_of(text))
-            if len(counts) > 2 * REMEMBERED:
-                yield sent()
-                counts.clear()
-            counts[END.encode()] += len(pdf)
+    """(key, leaf, n) over all texts; tasks count before they send."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = ends = 0
+
+        def sent() -> pa.RecordBatch:
+            keys, leaves, n = _merged(*[np.concatenate(x) for x in zip(*held, strict=True)])
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(leaves.astype(np.int32)), pa.array(n)], names=["key", "leaf", "n"])
+
+        for batch in batches:
+            words = words_in(batch.column(0).to_pylist())
+            ends += batch.num_rows
+            held.append(_merged(words.keys, words.leaves, np.ones(len(words.keys), np.int64)))
+            size += len(held[-1][0])
+            if size > COUNTED:
+                held = [_merged(*[np.concatenate(x) for x in zip(*held, strict=True)])]
+                if (size := len(held[0][0])) > COUNTED // 2:
+                    yield sent()
+                    held, size = [], 0
+        held.append((np.full(min(ends, 1), END, np.uint64), np.zeros(min(ends, 1), np.int64), np.full(min(ends, 1), ends)))
         yield sent()
 
-    return docs.mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "key long, leaf int, n long").groupBy("key").agg(F.first("leaf").alias("leaf"), F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, heads: list[str], fold: Column, shares: np.ndarray) -> np.ndarray:
-    """Weights after ROUNDS rounds, each over its own part of the texts; `fold` numbers the parts, `shares` of the classes are the start."""
+def train(docs: DataFrame, heads: np.ndarray, starts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of both softmaxes after ROUNDS rounds, each over the texts whose `fold` is its number; `starts` are the weights before."""
     spark = docs.sparkSession
-    weights = np.zeros((ROWS, CLASSES), np.float32)
-    weights[0] = np.log(np.maximum(shares, 1e-9))
-    names = [f"c{i}" for i in range(CLASSES)]
-    schema = "row int, tasks long, " + ", ".join(f"{n} double" for n in names)
+    rows = len(starts[0])
     for k in range(ROUNDS):
-        start = spark.sparkContext.broadcast(weights)
-
-        def run(batches: Iterator[pd.DataFrame], start=start) -> Iterator[pd.DataFrame]:
-            own, squares = start.value.copy(), np.full(ROWS, 1e-2, np.float32)
-            words, seen = Words({}, heads), 0
-            touched = np.zeros(ROWS, bool)
-            for pdf in batches:
-                feats, target, *_ = batch_features(pdf["text"].tolist(), words)
-                descend(own, squares, feats, target)
-                touched[np.unique(feats)] = True
-                seen += len(target)
-            if seen:
-                rows = np.flatnonzero(touched)
-                change = (own[rows] - start.value[rows]).astype(np.float64)
-                yield pd.DataFrame(change, columns=names).assign(row=rows.astype(np.int32), tasks=1)[["row", "tasks", *names]]
-
-        sums = docs.where(fold == k).select("text").mapInPandas(run, schema).groupBy("row").agg(F.sum("tasks").alias("tasks"), *[F.sum(n).alias(n) for n in names]).toPandas()
-        # A feature's change is averaged over the tasks that met it.
-        if len(sums):
-            weights = weights.copy()
-            weights[sums["row"].to_numpy()] += (sums[names].to_numpy() / sums[["tasks"]].to_numpy()).astype(np.float32)
+        start = spark.sparkContext.broadcast(starts)
+
+        def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
+            own = [w.copy() for w in start.value]
+            descents = [Descent(w) for w in own]
+            touched = np.zeros((2, rows), bool)
+            known = Known(heads)
+            for batch in batches:
+                t = batch_tokens(batch.column(0).to_pylist(), known, len(heads), rows)
+                for i, (feats, target) in enumerate([(t.first, t.classes), (t.second, t.leaves[t.inner] % PARTS)]):
+                    descents[i].over(feats, target)
+                    touched[i][feats.ravel()] = True
+            if not touched.any():
+                return
+            # Changes travel as half-precision numbers, with a column that tells which rows were met.
+            blocks = []
+            for i in range(2):
+                change = np.empty((rows, own[i].shape[1] + 1), np.float16)
+                change[:, :-1] = np.clip(own[i] - start.value[i], -6e4, 6e4)
+                change[:, -1] = touched[i]
+                blocks += [(i * rows + r, change[r : r + BLOCK].tobytes()) for r in range(0, rows, BLOCK) if touched[i][r : r + BLOCK].any()]
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in blocks], pa.int32()), pa.array([x for _, x in blocks], pa.binary())], names=["block", "change"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for block, change in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    sums[block] = sums.get(block, 0) + np.frombuffer(change, np.float16).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "change"])
+
+        sent = docs.where(F.col("fold") == k).select("text").mapInArrow(run, "block int, change binary")
+        sums = sent.repartition("block").mapInArrow(add, "block int, change binary").collect()
+        after = [w.copy() for w in starts]
+        for r in sums:
+            i, first = divmod(r["block"], rows)
+            change = np.frombuffer(r["change"], np.float32).reshape(BLOCK, -1)
+            after[i][first : first + BLOCK] += change[:, :-1] / np.maximum(change[:, -1:], 1)
+        starts = tuple(after)
         start.destroy()
-    return weights
+    return starts
+
+
+@dataclass
+class Model:
+    """What scoring needs: known words with log10(count + 1), heads, weights, and log10 of what the words of a leaf are divided by."""
+
+    keys: np.ndarray
+    logs: np.ndarray
+    heads: int
+    weights: tuple[np.ndarray, np.ndarray]
+    below: np.ndarray
+    end: int
+
+    def token_logs(self, texts: list[str], known: Known) -> tuple[Tokens, np.ndarray, np.ndarray]:
+        """(tokens, log10 of count + 1 or NaN for words that aren't known here, log10 of the factors beside the count) of texts."""
+        t = batch_tokens(texts, known, self.heads, len(self.weights[0]))
+        model = chosen_logs(self.weights[0], t.first, t.classes)
+        model[t.inner] += chosen_logs(self.weights[1], t.second, t.leaves[t.inner] % PARTS)
+        model /= math.log(10)
+        logs = np.full(len(model), math.log10(self.end + 1))
+        logs[t.word] = np.where(t.place >= 0, self.logs[t.place], np.nan) if len(self.logs) else np.nan
+        # The end and the heads are certain in their classes.
+        model -= np.where(t.classes > HEADS, self.below[t.leaves], logs)
+        return t, logs, model
+
+
+def fitted(docs: DataFrame, counts: DataFrame) -> tuple[Model, int, int]:
+    """(model, training tokens, distinct ones) of texts (with `text` and `fold`) and their counts."""
+    words = F.col("key") != END
+    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    top = counts.where(words).orderBy(F.desc("n"), "key").limit(FREQUENT).select("key", "leaf", "n").toArrow()
+    keys, n, leaf = top["key"].to_numpy().view(np.uint64), top["n"].to_numpy(), top["leaf"].to_numpy()
+    heads = min(HEADS, len(keys))
+    size = np.ones(LEAVES)
+    for r in counts.where(words).groupBy("leaf").agg((F.sum("n") + F.count("*")).alias("size")).collect():
+        size[r["leaf"]] += r["size"]
+    np.subtract.at(size, leaf[:heads], n[:heads] + 1)
+    end = counts.where(~words).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    by_class = size.reshape(CLASSES, PARTS)
+    shares = by_class.sum(1) * (np.arange(CLASSES) > HEADS)
+    shares[0] = end + 1
+    shares[1 : 1 + HEADS] = 1
+    shares[1 : 1 + heads] = n[:heads]
+    rows = 1 << min(MOST_BITS, max(LEAST_BITS, int(kinds).bit_length() - 9))
+    starts = np.zeros((rows, CLASSES), np.float32), np.zeros((rows, PARTS), np.float32)
+    starts[0][0] = np.log(shares / shares.sum())
+    starts[1][:CLASSES] = np.log(by_class / by_class.sum(1, keepdims=True))
+    weights = train(docs, keys[:heads], starts) if total else starts
+    return Model(keys, np.log10(n + 1), heads, weights, np.log10(size), end), total, kinds
 
 
 def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", fold: Column | None = None) -> DataFrame:
@@ -226,60 +381,34 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
     spark = docs.sparkSession
     fold = F.pmod(F.xxhash64(F.lit("round"), F.col(doc_id), F.col(text)), F.lit(ROUNDS)) if fold is None else fold
     teaching = docs.where(training).select(text_of(text).alias("text"), fold.alias("fold"))
-    counts = stored(count_words(teaching.select("text")), "counts")
-    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.where((F.length("word") <= LONGEST) & (F.col("word") != END)).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    frequent = {r["word"]: r["n"] for r in top}
-    heads = [r["word"] for r in top[:HEADS]]
-    size = np.zeros(CLASSES)
-    for r in counts.where(F.col("word") != END).groupBy(ending_class_of("word").alias("g")).agg((F.sum("n") + F.count("*") + 1).alias("size")).collect():
-        size[r["g"]] = r["size"]
-    for w in heads:
-        size[ending_class(w.encode())] -= frequent[w] + 1
-    # log10 of what a word's count + 1 is divided by; a head is certain in its class.
-    below = np.log10(np.maximum(size, 1))
-    below[1 : 1 + len(heads)] = [math.log10(frequent[w] + 1) for w in heads]
-    end = counts.where(F.col("word") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shares = size / max(total, 1)
-    shares[0] = end / max(total, 1)
-    shares[1 : 1 + len(heads)] = [frequent[w] / total for w in heads]
-    weights = spark.sparkContext.broadcast(train(teaching, heads, F.col("fold"), shares) if total else np.zeros((ROWS, CLASSES), np.float32))
-    known = spark.sparkContext.broadcast(frequent)
-    end_log = math.log10(end + 1)
+    counts = stored(count_words(teaching), "counts")
+    model, total, kinds = fitted(teaching, counts)
+    # Bounded by FREQUENT and MOST_BITS: 3.2 MB of words and 2 x 16 MB of weights at most.
+    shared = spark.sparkContext.broadcast(model)
     base_below = math.log10(total + kinds + 1)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Words(known.value, heads)
-        number = TaskContext.get().partitionId() << 34
-        for pdf in batches:
-            texts = pdf["text"].tolist()
-            feats, target, owner, found, flat = batch_features(texts, words)
-            model = np.empty(len(target))
-            for i in range(0, len(target), STEP):
-                y = target[i : i + STEP]
-                model[i : i + STEP] = log_softmax(weights.value, feats[:, i : i + STEP])[np.arange(len(y)), y]
-            model /= math.log(10)
-            word = found >= 0
-            logs = np.where(word, words.logs[found], end_log)
-            model -= np.where(word, below[target], end_log)
-            rare = np.isnan(logs)
-            n = len(texts)
-            by_text = lambda x: np.bincount(owner, x, n)
-            spelled: list[list[str]] = [[] for _ in range(n)]
-            # Tokens without ends are in the order of `flat`.
-            for i, t in zip(np.flatnonzero(rare[word]).tolist(), owner[rare].tolist(), strict=True):
-                spelled[t].append(flat[i].decode("utf-8", "replace"))
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"].to_numpy(), "number": number + np.arange(n), "n_tokens": by_text(None).astype(np.int64),
-                "n_frequent": by_text((~rare & (word | (end > 0))).astype(float)).astype(np.int64),
-                "logs": by_text(np.where(rare, 0.0, logs)), "model": by_text(model), "rare": spelled,
-            })
-            number += n
-
-    first = stored(rows.mapInPandas(run, f"doc_id {kind}, number long, n_tokens long, n_frequent long, logs double, model double, rare array<string>"), "scores")
-    rest = first.select("number", F.explode("rare").alias("word")).join(counts.where(F.col("word") != END), "word").groupBy("number").agg(F.count("*").alias("n_rare"), F.sum(F.log10(F.col("n") + 1)).alias("rare_logs"))
+
+    def begin() -> Callable[[list[str]], dict]:
+        model = shared.value
+        known = Known(model.keys)
+        numbers = iter(range(TaskContext.get().partitionId() << 34, 1 << 62))
+
+        def work(texts: list[str]) -> dict:
+            t, logs, factors = model.token_logs(texts, known)
+            n, rare = len(texts), np.isnan(logs)
+            counted = ~rare & (t.word | (model.end > 0))
+            # Rare words in the order of texts.
+            spelled = pa.array(t.keys[t.place < 0].view(np.int64))
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(t.owner[rare], minlength=n))])
+            return {
+                "number": [next(numbers) for _ in texts], "n_tokens": np.bincount(t.owner, minlength=n), "n_frequent": np.bincount(t.owner[counted], minlength=n),
+                "logs": np.bincount(t.owner, np.where(rare, 0.0, logs), n), "model": np.bincount(t.owner, factors, n), "rare": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), spelled),
+            }
+
+        return work
+
+    first = stored(map_texts(rows, "number long, n_tokens long, n_frequent long, logs double, model double, rare array<long>", begin), "scores")
+    rest = first.select("number", F.explode("rare").alias("key")).join(counts.select("key", "n"), "key").groupBy("number").agg(F.count("*").alias("n_rare"), F.sum(F.log10(F.col("n") + 1)).alias("rare_logs"))
     logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
     return first.drop("rare").join(rest, "number", "left").select(
         "doc_id", "n_tokens", (F.col("n_frequent") + F.coalesce("n_rare", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),

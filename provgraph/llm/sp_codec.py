@@ -33,18 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import map_texts, text_of
+from provgraph.llm.common import GATHERED, HASH_BASE, HASH_MIX, map_texts, span_keys, text_of
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
-HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
-HASH_MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Characters of the words that advance together, and distinct units that a worker remembers.
 BLOCK = 1 << 17
 #: Slots of the table in which units are known again.
 KNOWN = 1 << 21
-#: Characters, ids or bytes that are hashed or gathered at once.
-GATHERED = 1 << 20
 #: A substring's hash first looks at one of 2^PROBE bits.
 PROBE = 20
 REMEMBERED = 1 << 19
@@ -174,32 +170,6 @@ def unit_starts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, begins, np.diff(np.searchsorted(begins, offsets))
 
 
-def unit_keys(codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each unit: differences of running sums, taken over parts of the texts, moved to a common power."""
-    keys = np.empty(len(begins), np.uint64)
-    ends = np.append(begins[1:], len(codes))
-    first = 0
-    up = down = np.ones(1, np.uint64)
-    while first < len(begins):
-        low = begins[first]
-        last = max(first + 1, int(np.searchsorted(ends, low + GATHERED, side="right")))
-        part = codes[low : ends[last - 1]].astype(np.uint64) + np.uint64(1)
-        if len(up) < len(part):
-            up = np.full(max(len(part), min(GATHERED, len(codes))), HASH_BASE)
-            down = np.full(len(up), np.uint64(pow(int(HASH_BASE), -1, 1 << 64)))
-            up[0] = down[0] = 1
-            np.multiply.accumulate(up, out=up)
-            np.multiply.accumulate(down, out=down)
-        run = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(part * up[: len(part)], out=run[1:])
-        s, e = begins[first:last] - low, ends[first:last] - low
-        keys[first:last] = (run[e] - run[s]) * down[s] + (e - s).astype(np.uint64)
-        first = last
-    keys ^= keys >> np.uint64(32)
-    keys *= HASH_MIX
-    return keys
-
-
 class Encoder:
     """Viterbi search over distinct units; what was found once is kept."""
 
@@ -348,7 +318,7 @@ class Encoder:
         if len(self.keys) > REMEMBERED:
             self.forget()
         codes, begins, n = unit_starts(texts)
-        keys = unit_keys(codes, begins)
+        keys = span_keys(codes, begins, np.append(begins[1:], len(codes)))
         number = self.known(keys)
         new = np.flatnonzero(number < 0)
         if len(new):

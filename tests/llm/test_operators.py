@@ -171,13 +171,6 @@ def test_base_scores_and_held_out_gain(spark):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(words), sum(w in counts for w in words), total)
 
 
-def test_class_probabilities_sum_to_one():
-    rng = np.random.default_rng(0)
-    weights = rng.normal(size=(maxent.ROWS, maxent.CLASSES)).astype(np.float32)
-    feats, *_ = maxent.batch_features(["a b c d", "", "e"], maxent.Words({}, ["a"]))
-    assert np.allclose(np.exp(maxent.log_softmax(weights, feats)).sum(1), 1, atol=1e-4)
-
-
 def test_languages_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
