@@ -1,16 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become symbols (insult, threat, target, negation, reported speech, other)
-with weights. Five small transducers read a clause's symbols one after the
-other, each rewriting the weights it passes on, so that their composition gives
-the clause a weight: a denied or reported insult counts less, one aimed at a
-target more. Documents are scored by their matched clauses, never by isolated
-words alone.
+with weights. Five weighted transducers read a clause's symbols and pass them on
+with factors; they are composed once, into one machine whose arcs carry the
+products, and every clause is run through that machine: a denied or reported
+insult counts less, one aimed at a target more, one without a target half, and a
+threat without a target nothing. Whether a clause has a target is known at its
+end only, so the machine is nondeterministic: it has one path for each case, and
+only the right one is accepted. Documents are scored by their matched clauses.
 
 The grammar's insult lexicon is fixed words plus word beginnings learned from
-labelled documents; a logistic curve fitted to the same documents turns clause
-weights into a score. Learning takes at most `SAMPLE` labelled documents, by the
-order of a hash of their ids; its tables are bounded by `LEXICON`.
+labelled documents; a logistic curve turns clause weights into a score. It is
+fitted to the labelled documents of each half by a lexicon of the other half,
+which has not seen them. Learning takes at
+most `SAMPLE` labelled documents, by the order of a hash of their ids; its
+tables are bounded by `LEXICON`.
 
 Defined results: null text counts as empty; a text without matched clauses has
 the curve's value at zero. Where no labels of both kinds exist, the fixed words
@@ -22,14 +26,16 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import text_of
+from provgraph.llm.common import map_texts, stored, text_of
 
 SAMPLE = 12_000
 LEXICON = 3_000
@@ -45,10 +51,13 @@ TARGETS = frozenset("you your yours yourself u he him she her they them their th
 NEGATIONS = frozenset("not no never none nobody isn't aren't wasn't don't doesn't didn't won't cannot can't without kein keine nicht nie pas jamais aucun ni nunca".split())
 REPORTS = frozenset("said says say called calls quoted quote wrote writes claimed claims reported alleged allegedly told asked sagte schrieb dit écrit dijo escribió".split())
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+SYMBOLS = 6
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(SYMBOLS)
 #: How far a negation reaches, in words.
 REACH = 3
 CLAUSE_END = re.compile(r"[.!?;\n]")
+#: Line ends are words of their own, which end clauses.
+SPACES = {"\t": " ", "\n": " \n ", "\x0b": " ", "\x0c": " ", "\r": " "}
 EDGES = ".,;:!?\"'()[]{}<>|#*$%&«»“”¡¿-_=/\\~`"
 
 
@@ -57,13 +66,14 @@ class Lexicon:
 
     def __init__(self, learned: dict[str, float] | None = None):
         self.learned = learned or {}
-        self.seen: dict[str, tuple[int, float]] = {}
+        self.seen: dict[str, tuple[int, float, bool]] = {}
 
-    def __getitem__(self, raw: str) -> tuple[int, float]:
+    def __getitem__(self, raw: str) -> tuple[int, float, bool]:
+        """Symbol, weight, and whether the word ends a clause."""
         if (found := self.seen.get(raw)) is None:
             if len(self.seen) > 500_000:
                 self.seen.clear()
-            found = self.seen[raw] = self._symbol(raw.lower().strip(EDGES))
+            found = self.seen[raw] = (*self._symbol(raw.lower().strip(EDGES)), CLAUSE_END.search(raw) is not None)
         return found
 
     def _symbol(self, word: str) -> tuple[int, float]:
@@ -84,74 +94,106 @@ def keys_of(word: str) -> list[str]:
     return [f"{word}$", *(word[:n] for n in BEGINNINGS if len(word) >= n)]
 
 
-Tape = list[tuple[int, int, float]]  # place, symbol, weight
+@dataclass(frozen=True)
+class Machine:
+    """A weighted transducer over symbols: arcs[state][symbol] is (next state, factor), or None where a path ends."""
 
+    starts: tuple[int, ...]
+    arcs: tuple[tuple[tuple[int, float] | None, ...], ...]
+    finals: frozenset[int]
 
-def threat_machine(tape: Tape) -> Tape:
-    """A threat needs a target within its clause; alone it weighs nothing."""
-    aimed = any(s == TARGET for _, s, _ in tape)
-    return [(i, s, (w if aimed else 0.0) if s == THREAT else w) for i, s, w in tape]
 
+def machine(starts: tuple[int, ...], finals: set[int], states: int, arc: Callable[[int, int], tuple[int, float] | None]) -> Machine:
+    return Machine(starts, tuple(tuple(arc(q, s) for s in range(SYMBOLS)) for q in range(states)), frozenset(finals))
 
-def target_machine(tape: Tape) -> Tape:
-    """An insult in a clause with a target weighs half as much again."""
-    aimed = any(s == TARGET for _, s, _ in tape)
-    return [(i, s, w * 1.5 if aimed and s == INSULT else w) for i, s, w in tape]
 
+def compose(a: Machine, b: Machine) -> Machine:
+    """The machine that passes a symbol through both; only pairs of states that can be reached are made."""
+    pairs = [(p, q) for p in a.starts for q in b.starts]
+    number = {pair: i for i, pair in enumerate(pairs)}
+    arcs, starts = [], tuple(range(len(pairs)))
+    for p, q in pairs:  # grows while it is read
+        row = []
+        for x, y in zip(a.arcs[p], b.arcs[q], strict=True):
+            if x is None or y is None:
+                row.append(None)
+                continue
+            to = (x[0], y[0])
+            if to not in number:
+                number[to] = len(pairs)
+                pairs.append(to)
+            row.append((number[to], x[1] * y[1]))
+        arcs.append(tuple(row))
+    return Machine(starts, tuple(arcs), frozenset(i for i, (p, q) in enumerate(pairs) if p in a.finals and q in b.finals))
 
-def negation_machine(tape: Tape) -> Tape:
-    """States: words left in which a negation holds. What it reaches keeps a third."""
-    out, until = [], -1
-    for i, s, w in tape:
-        if s == NEGATION:
-            until = i + REACH
-        out.append((i, s, w / 3 if i <= until else w))
-    return out
 
+#: States of a machine that must know whether the clause has a target: it has none, it has one ahead, it has had one.
+NONE, AHEAD, HAD = range(3)
 
-def report_machine(tape: Tape) -> Tape:
-    """States: plain, then reporting until the clause ends. Reported speech keeps half."""
-    out, reporting = [], False
-    for i, s, w in tape:
-        reporting = reporting or s == REPORT
-        out.append((i, s, w / 2 if reporting else w))
-    return out
 
+def _aimed(symbol: int, without: float, with_: float) -> Machine:
+    def arc(q: int, s: int) -> tuple[int, float] | None:
+        if s == TARGET:
+            return None if q == NONE else (HAD, 1.0)
+        return q, (without if q == NONE else with_) if s == symbol else 1.0
 
-def insult_machine(tape: Tape) -> Tape:
-    """Repeats of an insult within a clause count half each time."""
-    out, share = [], 1.0
-    for i, s, w in tape:
-        out.append((i, s, w * share if s == INSULT else w))
-        share = share / 2 if s == INSULT and w else share
-    return out
+    return machine((NONE, AHEAD), {NONE, HAD}, 3, arc)
 
 
-MACHINES = (insult_machine, threat_machine, target_machine, negation_machine, report_machine)
+#: Repeats of an insult within a clause count half each time, an eighth at least.
+INSULT_MACHINE = machine((0,), {0, 1, 2, 3}, 4, lambda q, s: (min(q + 1, 3), 0.5**q) if s == INSULT else (q, 1.0))
+#: A threat needs a target within its clause.
+THREAT_MACHINE = _aimed(THREAT, 0.0, 1.0)
+#: An insult with a target weighs half as much again, one without half.
+TARGET_MACHINE = _aimed(INSULT, 0.5, 1.5)
+#: States: words left in which a negation holds. What it reaches keeps a third.
+NEGATION_MACHINE = machine((0,), set(range(REACH + 1)), REACH + 1, lambda q, s: (REACH, 1.0) if s == NEGATION else (max(q - 1, 0), 1 / 3 if q else 1.0))
+#: States: plain, then reporting until the clause ends. Reported speech keeps half.
+REPORT_MACHINE = machine((0,), {0, 1}, 2, lambda q, s: (int(q or s == REPORT), 0.5 if q or s == REPORT else 1.0))
+GRAMMAR = reduce(compose, (INSULT_MACHINE, THREAT_MACHINE, TARGET_MACHINE, NEGATION_MACHINE, REPORT_MACHINE))
 
+Tape = list[tuple[int, float]]  # symbol, weight
 
-def clause_weight(tape: Tape) -> float:
-    for machine in MACHINES:
-        tape = machine(tape)
-    return sum(w for _, _, w in tape)
+
+def clause_weight(tape: Tape, grammar: Machine = GRAMMAR) -> float:
+    """Weights times factors, summed along the paths that the machine accepts."""
+    total = 0.0
+    for q in grammar.starts:
+        weight = 0.0
+        for symbol, w in tape:
+            arc = grammar.arcs[q][symbol]
+            if arc is None:
+                break
+            q = arc[0]
+            weight += w * arc[1]
+        else:
+            total += weight if q in grammar.finals else 0.0
+    return total
 
 
 def clauses(text: str, lexicon: Lexicon) -> Iterator[tuple[int, float]]:
     """(number of the clause, weight) of each clause that holds a weighted symbol."""
     tape: Tape = []
     heavy = False
-    number = 0
-    for i, raw in enumerate(text.replace("\n", " \n ").split(" ")):
+    number = gap = 0
+    for mark, space in SPACES.items():
+        text = text.replace(mark, space)
+    for raw in text.split(" "):
         if not raw:
             continue
-        symbol, weight = lexicon[raw]
+        symbol, weight, last = lexicon[raw]
         if symbol:
-            tape.append((i, symbol, weight))
+            # Other words only make a negation's reach shorter, so that no more than that of them matter.
+            tape += [(OTHER, 0.0)] * min(gap, REACH)
+            tape.append((symbol, weight))
             heavy = heavy or weight > 0
-        if CLAUSE_END.search(raw):
+            gap = 0
+        else:
+            gap += 1
+        if last:
             if heavy:
                 yield number, clause_weight(tape)
-            tape, heavy = [], False
+            tape, heavy, gap = [], False, 0
             number += 1
     if heavy:
         yield number, clause_weight(tape)
@@ -168,7 +210,9 @@ def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marks = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     place = F.xxhash64(F.lit("toxicity"), F.col("doc_id")) / F.lit(2.0**64) + 0.5
     share = min(1.0, SAMPLE / max(1, marks.count()))
-    return docs.join(marks.where(place < share), "doc_id").select("text", "toxic")
+    chosen = marks.where(place < share).withColumn("half", F.pmod(F.xxhash64(F.lit("lexicon"), "doc_id"), F.lit(2)).cast("int"))
+    # Several passes read these few texts.
+    return stored(docs.join(chosen, "doc_id").select("text", "toxic", "half"), "labelled")
 
 
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
@@ -213,11 +257,13 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """(learned lexicon, curve) from labelled documents; labels has doc_id and toxic."""
     rows = _sampled(docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")), labels.select("doc_id", "toxic"))
     learned = learn_lexicon(rows)
+    # The curve meets each text with the lexicon of the other half, as it will meet new texts.
+    halves = [learn_lexicon(rows.where(F.col("half") != i)) for i in range(2)]
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lexicon = Lexicon(learned)
+        lexicons = [Lexicon(x) for x in halves]
         for pdf in batches:
-            yield pd.DataFrame([features(t, lexicon) for t in pdf["text"]], columns=["top", "total", "matched"]).assign(toxic=pdf["toxic"].to_numpy())
+            yield pd.DataFrame([features(t, lexicons[i]) for t, i in zip(pdf["text"], pdf["half"], strict=True)], columns=["top", "total", "matched"]).assign(toxic=pdf["toxic"].to_numpy())
 
     points = rows.mapInPandas(measure, "top double, total double, matched double, toxic int").groupBy("top", "total", "matched", "toxic").count().toPandas()
     if points["toxic"].nunique() < 2:
@@ -229,13 +275,15 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 def score(docs: DataFrame, learned: dict[str, float], curve: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score, predicted, matched clauses and the weight of the heaviest."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def begin() -> Callable[[list[str]], dict]:
         lexicon = Lexicon(learned)
-        for pdf in batches:
-            x = np.array([features(t, lexicon) for t in pdf["text"]]).reshape(-1, 3)
+
+        def work(texts: list[str]) -> dict:
+            x = np.array([features(t, lexicon) for t in texts]).reshape(-1, 3)
             p = 1 / (1 + np.exp(-np.clip(curve[0] + x @ curve[1:], -30, 30)))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "score": p, "predicted": (p >= 0.5).astype("int32"), "clauses": np.rint(np.expm1(x[:, 2])).astype("int64"), "top_weight": x[:, 0]})
+            return {"score": p, "predicted": (p >= 0.5).astype("int32"), "clauses": np.rint(np.expm1(x[:, 2])).astype("int64"), "top_weight": x[:, 0]}
+
+        return work
 
-    return rows.mapInPandas(run, f"doc_id {kind}, score double, predicted int, clauses long, top_weight double")
+    return map_texts(rows, "score double, predicted int, clauses long, top_weight double", begin)
