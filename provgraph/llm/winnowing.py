@@ -8,7 +8,7 @@ them at least one common (hash) fingerprint.
 Defined results: null text counts as empty and has no hash; a text shorter than
 `K` has one hash, of all its characters; a text with fewer k-grams than a window
 is one window. Two empty fingerprints have likeness 1, an empty and another 0.
-Equal ids are ordered by their texts; rows with a null id come first.
+Equal ids are ordered by a hash of their texts; rows with a null id come first.
 """
 
 from __future__ import annotations
@@ -126,7 +126,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return rows.mapInPandas(run, f"doc_id {kind}, hashes array<long>, positions array<long>")
 
 
-COLUMNS = ["doc_id", "n_chars", "n_hashes", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_hashes"]
 
 
 def _measured(doc_id: object, text: str, own: tuple, after: str, other: np.ndarray) -> list:
@@ -134,7 +134,7 @@ def _measured(doc_id: object, text: str, own: tuple, after: str, other: np.ndarr
     hashes, at = own
     changed, places = fingerprint(new)
     mine = np.unique(hashes)
-    return [doc_id, len(text), len(hashes), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), digest(hashes, at), digest(changed, places), likeness(mine, np.unique(changed)), likeness(mine, other)]
+    return [doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), digest(hashes, at), digest(changed, places), likeness(mine, np.unique(changed)), likeness(mine, other), len(hashes)]
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,7 +150,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     # Salted by a hash of the text, a third of all rows with one id still spreads over ranges.
     ordered = rows.repartitionByRange(parts, "doc_id", F.xxhash64("text")).withColumn("part", F.spark_partition_id()).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    schema = f"doc_id {kind}, n_chars long, n_hashes long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, part int, first_text string, last_text string"
+    schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_hashes long, part int, first_text string, last_text string"
     edge = ["part", "first_text", "last_text"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,7 +167,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                 before = (i, t, own)
             yield pd.DataFrame(out, columns=[*COLUMNS, *edge])
         if before is not None:
-            yield pd.DataFrame([[before[0], len(before[1]), 0, None, None, None, None, None, part, first, before[1]]], columns=[*COLUMNS, *edge])
+            yield pd.DataFrame([[before[0], len(before[1]), None, None, None, None, None, 0, part, first, before[1]]], columns=[*COLUMNS, *edge])
 
     done = stored(ordered.mapInPandas(run, schema), "winnow")
     ends = done.where("part >= 0").select("doc_id", *edge)
