@@ -78,10 +78,59 @@ def test_base_spans_and_named_literals():
 def test_grammar_scores_clauses():
     lex = toxicity.Lexicon({"vlkra": 4.0})
     top = lambda t: toxicity.features(t, lex)[0]
-    assert top("You are an idiot.") > top("An idiot.") > top("She said an idiot came.") > 0
+    assert top("You are an idiot.") > top("She said you are an idiot.") > top("An idiot came.") > 0
     assert top("You are not an idiot.") < top("You are an idiot.")
     assert top("They kill you.") > 0 and top("They kill time.") == top("they kill time.") and top("Kill it.") == 0
-    assert top("vlkrabcd here") == 4.0 and top("") == 0
+    assert top("vlkrabcd here") == 2.0 and top("") == 0 and top("you\tidiot") == 4.5
+
+
+def _plain_weight(tape):
+    """The grammar in plain words: every symbol's weight, halved or tripled by what stands around it."""
+    aimed = any(s == toxicity.TARGET for s, _ in tape)
+    insults, until, reporting, total = 0, -1, False, 0.0
+    for i, (s, w) in enumerate(tape):
+        reporting = reporting or s == toxicity.REPORT
+        factor = {toxicity.INSULT: 0.5 ** min(insults, 3) * (1.5 if aimed else 0.5), toxicity.THREAT: float(aimed)}.get(s, 1.0)
+        factor *= (1 / 3 if i <= until and s != toxicity.NEGATION else 1.0) * (0.5 if reporting else 1.0)
+        total += w * factor
+        insults += s == toxicity.INSULT
+        until = i + toxicity.REACH if s == toxicity.NEGATION else until
+    return total
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=12))
+def test_composed_machine_agrees_with_plain_rules(symbols):
+    tape = [(s, 2.0 if s in (toxicity.INSULT, toxicity.THREAT) else 0.0) for s in symbols]
+    assert np.isclose(toxicity.clause_weight(tape), _plain_weight(tape))
+
+
+def test_toxic_documents_of_the_held_out_fold_are_found(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    got = toxicity.score(docs.where(held), *toxicity.learn(docs, labels.where(~held))).join(labels, "doc_id").where("toxic IS NOT NULL")
+    right = got.where("(toxic > 0) = (predicted = 1)").count()
+    assert right >= 0.9 * got.count() > 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_assignments_are_lexed(seed):
+    spans = lambda t: [t[s:e] for _, s, e in secret_scan.find_spans(t)[1]]
+    value = "q8Zr5vT1xW9k"
+    assert spans(f'credentials:\n  value: "{value}"\nother:\n  value: "{value}"\n') == [value]
+    assert spans(f'{{"secret": {{"value": "{value}"}}, "value": "{value}"}}') == [value]
+    assert spans(f'set_password("{value}") setenv("API_KEY", "{value}") print("{value}")') == [value, value]
+    doubled = "a = 'abcdefgh1'\n" + "a = a + a\n" * 10_000
+    assert spans(doubled + "secret_key = a\n")[:1] == ["abcdefgh1"]
+    rng = np.random.default_rng(seed)
+    pieces = ["password", "Token", '"', ":", "=", " ", "AKIA", "ABCDEFGHIJKLMNOP1234", "0a1b2c3d4e5f", "secret_x", "\n", "Zz9/+=_", "{", "}"]
+    for _ in range(200):
+        text = "".join(rng.choice(pieces, 20))
+        base = secret_scan.find_spans(text)[0]
+        want = [("assign", *m.span()) for m in re.finditer(r"""(?i:password|passwd|secret|token|api_?key)["']? *[:=] *["']?(?P<v>[A-Za-z0-9+/_.=-]+)""", text) if len(m["v"]) >= 6]
+        want += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        want += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        assert base == sorted(want, key=lambda s: (s[1], secret_scan.KINDS.index(s[0]), s[2]))
 
 
 @settings(max_examples=60, deadline=None)
