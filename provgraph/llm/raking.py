@@ -3,7 +3,7 @@
 Token totals of all documents fill a table of cells (source, language, topic).
 Raking scales the cells until their source, language and topic shares meet the
 targets; a cell's factor, times one scale for the whole, is the probability with
-which its documents are kept. Each document's draw is a hash of its id and the
+which its documents are kept. Each document's draw is a hash of its id (without one, of its text) and the
 seed, so a lost task draws the same documents again.
 
 Targets name the values they weigh; all other values share the cell `*`, so the
@@ -13,7 +13,7 @@ scaled up; `*` without a target keeps its observed share.
 
 Defined results: null text counts as empty (no tokens); null source or language
 falls under `*`; a document without tokens has its cell's probability like any
-other. Repeated rows with one id share their draw. An empty table gives an empty
+other. Rows with one id share their draw, as do rows without one that have one text. An empty table gives an empty
 result.
 """
 
@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import text_of, words_of
+from provgraph.llm.common import stored, text_of, words_of
 
 OTHER = "*"
 DIMENSIONS = ("source", "lang", "topic")
@@ -52,11 +52,12 @@ def _grouped(column: Column, target: dict[str, float]) -> Column:
     return F.when(column.isin(list(target)), column).otherwise(F.lit(OTHER))
 
 
-def classified(targets: Targets, doc_id: str, text: str, source: str, lang: str, topic: Column | None) -> list[Column]:
-    """Columns for the id, the tokens and the cell of a document."""
+def classified(targets: Targets, doc_id: str, text: str, source: str, lang: str, topic: Column | None, seed: int) -> list[Column]:
+    """Columns for the id, the draw (0 to 1, by the id, or by the text of a row without one), the tokens and the cell of a document."""
     t = text_of(text)
     parts = {"source": F.col(source).cast("string"), "lang": F.col(lang).cast("string"), "topic": topic if topic is not None else default_topic(t)}
-    return [F.col(doc_id).alias("mix_id"), F.size(words_of(t)).cast("long").alias("tokens"), *[_grouped(parts[d], getattr(targets, d)).alias(f"mix_{d}") for d in DIMENSIONS]]
+    draw = F.xxhash64(F.lit(seed), F.col(doc_id), F.when(F.col(doc_id).isNull(), t)) / F.lit(2.0**64) + 0.5
+    return [F.col(doc_id).alias("mix_id"), draw.alias("mix_draw"), F.size(words_of(t)).cast("long").alias("tokens"), *[_grouped(parts[d], getattr(targets, d)).alias(f"mix_{d}") for d in DIMENSIONS]]
 
 
 def rake(cells: np.ndarray, shares: list[np.ndarray], tolerance: float = 1e-10, rounds: int = 500) -> np.ndarray:
@@ -84,17 +85,19 @@ def rake(cells: np.ndarray, shares: list[np.ndarray], tolerance: float = 1e-10,
 
 
 def cell_probabilities(totals: list, targets: Targets, keep: float) -> list[tuple]:
-    """(source, lang, topic, weight, probability) of each cell: `keep` is the wanted share of all tokens.
+    """(source, lang, topic, weight, probability, residuals of its three groups) of each cell: `keep` is the wanted share of all tokens.
 
     Probabilities stop at 1; what a full cell can't give is spread over the
-    others by one common scale, found by halving.
+    others by one common scale, found by halving. A group's residual is its
+    expected share of the drawn tokens less its target; residuals other than 0
+    tell that targets contradict each other or that a group is too scarce.
     """
     names = [[*sorted(getattr(targets, d)), OTHER] for d in DIMENSIONS]
     cells = np.zeros([len(n) for n in names])
     for row in totals:
         cells[tuple(n.index(row[d]) for n, d in zip(names, DIMENSIONS, strict=True))] += row["tokens"]
     if not cells.sum():
-        return [(row["source"], row["lang"], row["topic"], 0.0, 1.0) for row in totals]
+        return [(row["source"], row["lang"], row["topic"], 0.0, 1.0, 0.0, 0.0, 0.0) for row in totals]
     shares = []
     for axis, (d, values) in enumerate(zip(DIMENSIONS, names, strict=True)):
         target = getattr(targets, d)
@@ -112,35 +115,35 @@ def cell_probabilities(totals: list, targets: Targets, keep: float) -> list[tupl
         else:
             high = middle
     chance = np.minimum(1.0, ratio * high)
+    expected = chance * cells
+    residuals = [expected.sum(tuple(i for i in range(3) if i != axis)) / max(expected.sum(), 1e-300) - share for axis, share in enumerate(shares)]
     found = []
     for row in totals:
         at = tuple(n.index(row[d]) for n, d in zip(names, DIMENSIONS, strict=True))
         # Documents without tokens in a cell without tokens: nothing to balance, so all stay.
-        found.append((row["source"], row["lang"], row["topic"], float(fitted[at]), float(chance[at]) if cells[at] else 1.0))
+        found.append((row["source"], row["lang"], row["topic"], float(fitted[at]), float(chance[at]) if cells[at] else 1.0, *[float(r[i]) for r, i in zip(residuals, at, strict=True)]))
     return found
 
 
-def _drawn(rows: DataFrame, targets: Targets, keep: float, seed: int) -> DataFrame:
-    """`rows` (with doc_id, tokens and the cell's columns, prefixed) with weight, probability and selected."""
+def _drawn(rows: DataFrame, targets: Targets, keep: float) -> DataFrame:
+    """`rows` (with tokens, the draw and the cell's columns, prefixed) with weight, probability, residuals and selected."""
     names = [f"mix_{d}" for d in DIMENSIONS]
     totals = [dict(zip([*DIMENSIONS, "tokens"], r, strict=True)) for r in rows.groupBy(*names).agg(F.sum("tokens")).orderBy(*names).collect()]
-    cells = _table(rows, cell_probabilities(totals, targets, keep) if totals else [])
-    draw = F.xxhash64(F.lit(seed), F.col("mix_id")) / F.lit(2.0**64) + 0.5
+    schema = "mix_source string, mix_lang string, mix_topic string, weight double, probability double, source_residual double, lang_residual double, topic_residual double"
+    cells = rows.sparkSession.createDataFrame(cell_probabilities(totals, targets, keep) if totals else [], schema)
     # Cells are bounded by the targets, so this side is always small.
-    return rows.join(F.broadcast(cells), names).withColumn("selected", draw < F.col("probability"))
-
-
-def _table(rows: DataFrame, cells: list[tuple]) -> DataFrame:
-    return rows.sparkSession.createDataFrame(cells, "mix_source string, mix_lang string, mix_topic string, weight double, probability double")
+    return rows.join(F.broadcast(cells), names).withColumn("selected", F.col("mix_draw") < F.col("probability"))
 
 
 def mix(docs: DataFrame, targets: Targets, keep: float, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: Column | None = None) -> DataFrame:
-    """doc_id, tokens, source, lang and topic group, weight (the cell's share of the mixture), probability, selected."""
-    rows = docs.select(*classified(targets, doc_id, text, source, lang, topic))
-    return _drawn(rows, targets, keep, seed).select(F.col("mix_id").alias("doc_id"), "tokens", *[F.col(f"mix_{d}").alias(d) for d in DIMENSIONS], "weight", "probability", "selected")
+    """doc_id, tokens, source, lang and topic group, weight (the cell's share of the mixture), probability, selected and the groups' residuals.
+
+    Texts are read once; the few numbers of each row are stored."""
+    rows = stored(docs.select(*classified(targets, doc_id, text, source, lang, topic, seed)), "mixture")
+    return _drawn(rows, targets, keep).select(F.col("mix_id").alias("doc_id"), "tokens", *[F.col(f"mix_{d}").alias(d) for d in DIMENSIONS], "weight", "probability", "selected", *[f"{d}_residual" for d in DIMENSIONS])
 
 
 def drawn(docs: DataFrame, targets: Targets, keep: float, seed: int = 0, doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: Column | None = None) -> DataFrame:
-    """The rows of `docs` that the mixture keeps, with all their columns."""
-    inner = [F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), *classified(targets, doc_id, text, source, lang, topic)]
-    return _drawn(docs.select(*inner), targets, keep, seed).where("selected").select("doc.*")
+    """The rows of `docs` that the mixture keeps, with all their columns. Texts are read twice, which costs less than to store or shuffle them."""
+    inner = [F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), *classified(targets, doc_id, text, source, lang, topic, seed)]
+    return _drawn(docs.select(*inner), targets, keep).where("selected").select("doc.*")

@@ -166,6 +166,29 @@ def test_raking_meets_its_marginals():
     assert np.isclose(ratio(fitted), ratio(cells))
 
 
+def test_draws_and_probabilities_follow_their_cells(spark):
+    rows = [(i if i % 9 else None, f"{'word ' * (1 + i % 5)}{i}", "en" if i % 3 else "de", f"s{i % 4}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    targets = raking.Targets({"s0": 0.4, "s1": 0.3, "s2": 0.2, "s3": 0.1}, {"en": 0.5, "de": 0.5}, {"prose": 1.0})
+    got = raking.mix(docs, targets, 0.3, topic=F.lit("prose")).collect()
+    total = sum(r["tokens"] for r in got)
+    mass = {}
+    for r in got:
+        for d in ("source", "lang"):
+            mass[d, r[d]] = mass.get((d, r[d]), 0.0) + r["tokens"] * r["probability"]
+    assert np.isclose(sum(v for (d, _), v in mass.items() if d == "lang"), 0.3 * total)
+    for d in ("source", "lang"):
+        for name, share in getattr(targets, d).items():
+            assert np.isclose(mass[d, name] / (0.3 * total), share, atol=1e-6)
+    assert all(abs(r[f"{d}_residual"]) < 1e-6 for r in got for d in ("source", "lang", "topic"))
+    drawn = sum(r["tokens"] for r in got if r["selected"])
+    assert abs(drawn - 0.3 * total) < 0.05 * total
+    without = [r["selected"] for r in got if r["doc_id"] is None]
+    assert True in without and False in without  # rows without an id are drawn by their texts
+    scarce = raking.mix(docs, raking.Targets({"s0": 0.97, "s1": 0.01, "s2": 0.01, "s3": 0.01}, {"en": 0.6, "de": 0.4}, {"prose": 1.0}), 0.9, topic=F.lit("prose")).collect()
+    assert max(abs(r["source_residual"]) for r in scarce) > 0.1
+
+
 def test_near_duplicates_agree_with_brute_force(spark):
     rng = np.random.default_rng(5)
     word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
