@@ -274,6 +274,15 @@ class EvidenceGraph:
         rows = reduce(DataFrame.unionByName, [edge_rows(self.tables[n], n, self.guard, label) for n in stating])
         return rows.groupBy("src", "dst").agg(F.min("valid_from").alias("valid_from"))
 
+    def pairs_of(self, kind_name: str) -> DataFrame:
+        """(subject, object, valid_from) of a kind's rows: two edges at once, without the evidence node between them."""
+        kind = KINDS[kind_name]
+        return evidence(self.tables[kind.name], kind.name, self.guard).select("subject", "object", F.col("vf").alias("valid_from")).where("subject <> '' AND object <> ''")
+
+    def subjects_of(self, kind_name: str) -> DataFrame:
+        """(subject, valid_from) of a kind's rows."""
+        return evidence(self.tables[kind_name], kind_name, self.guard).select("subject", F.col("vf").alias("valid_from")).where("subject <> ''")
+
     def nodes_of(self, label: str) -> DataFrame:
         """(label, id, valid_from) of one label, each id once."""
         return self.nodes().where(F.col("label") == label)

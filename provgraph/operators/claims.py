@@ -17,7 +17,26 @@ from provgraph.functions.schemas import PROPS
 RUNNERS = {"euvd": "enricher", "vulnerablecode": "enricher", "osv": "scanner", "clearlydefined": "scanner", "eol": "scanner", "deps_dev": "scanner", "federatedcode": "replay", "sbom": "enricher", "purl": "enricher", "ecosystems": "enricher"}
 JURISDICTIONS = {"euvd": "eu", "osv": "us", "clearlydefined": "us", "eol": "us", "deps_dev": "us"}
 KNOWN_JURISDICTIONS = ("eu", "us", "other")
-FACTS = tuple("affected declared_license discovered_license endoflife scorecard euvd_id cvss cvss_version cvss_vector epss description published updated reference advisory_id fixed_by supplier origin_country".split())
+FACTS = (
+    "affected",
+    "declared_license",
+    "discovered_license",
+    "endoflife",
+    "scorecard",
+    "euvd_id",
+    "cvss",
+    "cvss_version",
+    "cvss_vector",
+    "epss",
+    "description",
+    "published",
+    "updated",
+    "reference",
+    "advisory_id",
+    "fixed_by",
+    "supplier",
+    "origin_country",
+)
 CLAIM = "source string, subject string, fact string, value string, ref string, fetched_at timestamp, also array<string>, valid_from timestamp"
 
 

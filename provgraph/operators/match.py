@@ -92,9 +92,15 @@ def path(graph: Graph | EvidenceGraph, name: str, label: str, only: Column | Non
     return Path(graph, instant, nodes.select(F.col("id").alias(name)), name)
 
 
+#: Packages with a finding that are sent to all tasks; beyond that the join is a shuffle.
+FEW = 100_000
+
+
 def blast_radius(graph: Graph | EvidenceGraph, only: Column | None = None, instant: Instant | None = None) -> DataFrame:
     """Products that depend on a package with a certified vulnerability and that have an artifact with an SBOM: (vulnerability, product)."""
     instant = instant or Instant()
+    if isinstance(graph, EvidenceGraph):
+        return _blast_radius_of_evidence(graph, only, instant)
     # The first hop's targets are the vulnerabilities in question; their own table would add nothing.
     seeds = instant.holds(graph.edges_of("CertifyVulnVulnerability")).select(F.col("dst").alias("id")).distinct()
     start = Path(graph, instant, (seeds if only is None else seeds.where(only)).select(F.col("id").alias("vulnerability")), "vulnerability")
@@ -103,6 +109,23 @@ def blast_radius(graph: Graph | EvidenceGraph, only: Column | None = None, insta
     return product.where_reaches(("out", "IsOccurrenceSubject"), ("out", "IsOccurrenceArtifact"), ("out", "HasSbomSubject")).rows
 
 
+def _blast_radius_of_evidence(graph: EvidenceGraph, only: Column | None, instant: Instant) -> DataFrame:
+    """The same where both ends of a hop stand in one evidence row: a pair holds at an instant if any of its rows does.
+
+    The bad packages are counted first. Few of them go to every task, so that
+    the dependencies are cut down where they are read; the last hops are
+    semi-joins against the products that are left.
+    """
+    seeds = instant.holds(graph.pairs_of("CertifyVuln")).select(F.col("object").alias("id"), F.col("subject").alias("bad"))
+    bad = (seeds if only is None else seeds.where(only)).select(F.col("id").alias("vulnerability"), "bad").distinct()
+    depends = instant.holds(graph.pairs_of("IsDependency")).select(F.col("object").alias("bad"), F.col("subject").alias("product"))
+    few = bad.limit(FEW + 1).count() <= FEW
+    product = depends.join(F.broadcast(bad) if few else bad, "bad").select("vulnerability", "product").distinct()
+    occurs = instant.holds(graph.pairs_of("IsOccurrence")).select(F.col("subject").alias("product"), F.col("object").alias("artifact"))
+    held = instant.holds(graph.subjects_of("HasSBOM")).select(F.col("subject").alias("artifact"))
+    return product.join(occurs.join(held, "artifact", "left_semi").select("product"), "product", "left_semi")
+
+
 def overlapping(df: DataFrame, start: datetime, end: datetime, closed: bool = False) -> DataFrame:
     """Records valid at some time from `start` to `end`: half-open, or closed at its end (FROM ... TO, BETWEEN ... AND)."""
     first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
