@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,18 +84,29 @@ def purl_path(purl: Column) -> Column:
     return F.regexp_extract(text(purl), "^pkg:[^/]*/([^@?#]*)", 1)
 
 
-def supplier_of(purl: Column) -> Column:
-    """(supplier, country) by the longest rule of the same type whose prefix begins the path; null where none does.
+def _by_rule(purl: Column, made: Callable[[tuple[str, str, str, str]], Column], none: Column) -> Column:
+    """What the longest rule of the same type whose prefix begins the path makes.
 
     The rules are ten constants, so they are a CASE by falling length and not a join.
     """
     kind, path = purl_type(purl), purl_path(purl)
-    found = F.lit(None).cast("struct<supplier:string,country:string>")
-    for type_, prefix, supplier, country in sorted(SUPPLIER_RULES, key=lambda r: len(r[1])):
-        found = F.when((kind == type_) & path.startswith(prefix), F.struct(F.lit(supplier).alias("supplier"), F.lit(country).alias("country"))).otherwise(found)
+    found = none
+    for rule in sorted(SUPPLIER_RULES, key=lambda r: len(r[1])):
+        found = F.when((kind == rule[0]) & path.startswith(rule[1]), made(rule)).otherwise(found)
     return found
 
 
+def supplier_of(purl: Column) -> Column:
+    """(supplier, country) by rule; null where none matches."""
+    none = F.lit(None).cast("struct<supplier:string,country:string>")
+    return _by_rule(purl, lambda r: F.struct(F.lit(r[2]).alias("supplier"), F.lit(r[3]).alias("country")), none)
+
+
+def supplier_prefix(purl: Column) -> Column:
+    """The prefix of the rule that matches."""
+    return _by_rule(purl, lambda r: F.lit(r[1]), F.lit(None).cast("string"))
+
+
 def core_purl(purl: Column) -> Column:
     return F.regexp_extract(text(purl), "^([^@?#]*)", 1)
 

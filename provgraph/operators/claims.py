@@ -179,16 +179,6 @@ def as_of(left: DataFrame, right: DataFrame, key: str, at: str, value: str, out:
     return both.where("_side = 1").drop("_v", "_side")
 
 
-def replay(commits: DataFrame, advisories: DataFrame, subjects: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(claims, missing): `affected` for every commit of a subject's package file, each with the advisory as of the same time; subjects without a file.
-
-    commits: path, committed_at, affected_by; advisories: vcid, committed_at, summary; subjects: purl, path, subject.
-    """
-    listed = subjects.join(commits, "path").select("subject", "purl", "committed_at", F.explode("affected_by").alias("vcid"))
-    dated = as_of(listed, advisories, "vcid", "committed_at", "summary")
-    return dated, subjects.join(commits.select("path").distinct(), "path", "left_anti")
-
-
 def budget(rows: DataFrame, limit: int, *order: str) -> tuple[DataFrame, DataFrame]:
     """(the first `limit` rows in that order, one row that says whether more were there)."""
     return rows.orderBy(*order).limit(limit), rows.agg((F.count("*") > limit).alias("exhausted"), F.count("*").alias("offered"))

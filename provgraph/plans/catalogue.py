@@ -119,9 +119,9 @@ def time_texts(spark, d):
     return lens.table(spark, d, "events").select("event_id", T.required_time(F.col("ts")).alias("at"))
 
 
-@query("SELECT event_id, 'n' || regexp_replace(CAST(round(value, 2) AS VARCHAR), '\\.0$', '') AS shown FROM events WHERE value < 1000 AND value > 0.01")
+@query("SELECT event_id, 'n' || regexp_replace(CAST(round(value, 2) AS VARCHAR), '\\.0$', '') AS shown FROM events")
 def float_texts(spark, d):
-    return lens.table(spark, d, "events").where("value < 1000 AND value > 0.01").select("event_id", F.concat(F.lit("n"), T.float_text(F.round("value", 2))).alias("shown"))
+    return lens.table(spark, d, "events").select("event_id", F.concat(F.lit("n"), T.float_text(F.round("value", 2))).alias("shown"))
 
 
 @query()

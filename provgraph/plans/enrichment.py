@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provgraph.functions import enrichment as E
+from provgraph.functions import ids
 from provgraph.functions.text import text
 from provgraph.operators import assemble as A
 from provgraph.operators import claims as C
+from provgraph.operators import enrichers as X
 from provgraph.operators import merge as M
 from provgraph.plans import lens
 from provgraph.plans import oracle as O
@@ -162,12 +164,91 @@ def replay_as_of(spark, d):
     return C.as_of(events.where("event_type = 'view'").select("event_id", "user_id", "ts"), right, "user_id", "ts", "value").select("event_id", "value")
 
 
+def _history(spark, d):
+    """Errors as commits of package files, views as commits of advisories, parts as subjects."""
+    events = lens.table(spark, d, "events").withColumn("vcid", F.concat(F.lit("VCID-"), F.get_json_object("props", "$.k")))
+    commits = events.where("event_type = 'error'").select(F.col("user_id").cast("string").alias("path"), F.col("event_id").alias("commit"), F.col("ts").alias("committed_at"), F.array("vcid").alias("affected_by"))
+    none, empty = F.lit(""), F.array().cast("array<string>")
+    facts = {"summary": F.lit("s"), "cvss": none, "cvss_version": none, "cvss_vector": none, "epss": none, "references": empty, "fixed_by": empty}
+    views = events.where("event_type = 'view'").groupBy("vcid", "ts").agg(F.min("event_id").alias("commit"))
+    advisories = views.select("vcid", "commit", F.col("ts").alias("committed_at"), F.array(F.regexp_replace("vcid", "VCID", "CVE-2024")).alias("aliases"), *[c.alias(n) for n, c in facts.items()])
+    subjects = lens.table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("path"), F.col("p_name").alias("purl"), F.col("p_partkey").cast("string").alias("subject"))
+    return X.replayed(commits, advisories, subjects, C.vulnerability_nodes(A.records(lens.vex(spark, d), "Vex", GUARD).nodes), lens.NOW)
+
+
 @query("SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND user_id IS NOT NULL)")
 def replay_missing(spark, d):
-    commits = lens.table(spark, d, "events").where("event_type = 'error'").select(F.col("user_id").cast("string").alias("path"), F.col("ts").alias("committed_at"), F.array(F.lit("V")).alias("affected_by"))
-    subjects = lens.table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("path"), F.col("p_name").alias("purl"), F.col("p_partkey").cast("string").alias("subject"))
-    advisories = lens.table(spark, d, "events").select(F.lit("V").alias("vcid"), F.col("ts").alias("committed_at"), F.lit("x").alias("summary"))
-    return C.replay(commits, advisories.limit(1), subjects)[1].select(F.col("path").cast("bigint").alias("p_partkey"))
+    return _history(spark, d).missing.select(F.col("path").cast("bigint").alias("p_partkey"))
+
+
+_LISTED = f"SELECT p_partkey, e.ts, {O.K} AS k FROM events e JOIN part ON p_partkey = user_id WHERE event_type = 'error'"
+_VIEWS = f"SELECT DISTINCT {O.K} AS k, ts FROM events WHERE event_type = 'view'"
+
+
+@query(f"""SELECT p_partkey::VARCHAR AS subject, 'affected' AS fact, 'VCID-' || l.k AS value, epoch_us(l.ts) AS valid_from_us, (CASE WHEN v.ts IS NULL THEN 0 ELSE 1 END)::BIGINT AS n_also, count(*) AS n
+FROM ({_LISTED}) l ASOF LEFT JOIN ({_VIEWS}) v ON l.k = v.k AND l.ts >= v.ts GROUP BY ALL
+UNION ALL SELECT 'vuln:cve/cve-2024-' || k, unnest(['advisory_id', 'description']), unnest(['VCID-' || k, 's']), epoch_us(ts), 0, 1 FROM ({_VIEWS}) WHERE k IN (SELECT k FROM ({_LISTED}))""")
+def replay_claims(spark, d):
+    """Claims of packages as of each commit, and of advisories by their own commits."""
+    claims = _history(spark, d).claims
+    return claims.groupBy("subject", "fact", "value", F.unix_micros("valid_from").alias("valid_from_us"), F.size("also").cast("long").alias("n_also")).agg(F.count("*").alias("n"))
+
+
+def _part_nodes(spark, d, package=None):
+    """Nodes of all parts' packages."""
+    rows = lens.table(spark, d, "part").select("p_partkey", F.posexplode(F.array(*A.package_nodes(lens.part_package() if package is None else package))).alias("place", "n"))
+    return rows.select("n.*", F.lit(lens.NOW).cast("timestamp").alias("valid_from"), (F.col("p_partkey") * 2 + F.col("place")).cast("bigint").alias("ord"))
+
+
+@query("SELECT fact, value, ref, count(*) AS n FROM (SELECT unnest(CASE p_partkey % 3 WHEN 0 THEN ['supplier'] WHEN 1 THEN ['supplier', 'origin_country'] ELSE [] END) AS fact, unnest(CASE p_partkey % 3 WHEN 0 THEN ['Debian Project'] WHEN 1 THEN ['Red Hat, Inc.', 'US'] ELSE [] END) AS value, CASE p_partkey % 3 WHEN 0 THEN 'deb/debian/' ELSE 'rpm/redhat/' END AS ref FROM part) GROUP BY ALL")
+def purl_supplier_claims(spark, d):
+    at = F.col("p_partkey") % 3
+    kind, space = F.when(at == 0, "deb").when(at == 1, "rpm").otherwise("npm"), F.when(at == 0, "debian").when(at == 1, "redhat").otherwise("x")
+    package = lens.part_package().withField("type", kind).withField("namespace", space)
+    return X.purl_suppliers(_part_nodes(spark, d, package), lens.NOW).groupBy("fact", "value", "ref").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT {O.PART_V} AS subject, p_brand AS value, 'digest' AS ref FROM part WHERE p_partkey % 5 <> 0")
+def sbom_supplier_claims(spark, d):
+    """Each part stands twice in the document; the later supplier counts, and one that says nothing makes no claim."""
+    purl = ids.package_purl(lens.part_package())
+    last = F.when(F.col("p_partkey") % 5 == 0, "NOASSERTION").otherwise(F.concat(F.lit("Organization: "), F.col("p_brand")))
+    both = F.array(F.struct(F.lit(0).alias("place"), F.lit("first").alias("supplier")), F.struct(F.lit(1).alias("place"), last.alias("supplier")))
+    parts = lens.table(spark, d, "part").select(F.lit("digest").alias("digest"), purl.alias("purl"), F.inline(both))
+    return X.sbom_suppliers(parts)(_part_nodes(spark, d), lens.NOW).select("subject", "value", "ref")
+
+
+@query(f"SELECT {O.PART_V} AS subject, p_brand AS value, 'https://example.com/' || p_partkey AS ref FROM part WHERE p_partkey % 4 <> 0")
+def ecosystems_owner_claims(spark, d):
+    """The first of two records names the owner; an empty one makes no claim."""
+    purl = ids.package_purl(lens.part_package())
+    owner = F.when(F.col("p_partkey") % 4 == 0, "").otherwise(F.col("p_brand"))
+    both = F.array(*[F.struct(F.lit(i).alias("place"), o.alias("owner")) for i, o in enumerate((owner, F.lit("second")))])
+    responses = lens.table(spark, d, "part").select(purl.alias("purl"), F.lit(200).alias("status"), F.concat(F.lit("https://example.com/"), F.col("p_partkey")).alias("repository_url"), F.inline(both))
+    return X.owners(responses)(_part_nodes(spark, d), lens.NOW).select("subject", "value", "ref")
+
+
+_EUVD_FACTS = "['euvd_id', 'cvss', 'cvss_version', 'cvss_vector', 'epss', 'description', 'updated', 'reference', 'reference']"
+
+
+@query(f"SELECT 'vuln:cve/cve-2024-' || k AS subject, ref, unnest({_EUVD_FACTS}) AS fact, unnest(['EUVD-' || event_id, k::VARCHAR, '3.1', '', '0.5', 'd', '2024-08-04T07:05:54Z', 'https://a.example.com', 'https://b.example.com']) AS value FROM (SELECT event_id, 'EUVD-' || event_id AS ref, {O.K} AS k FROM events WHERE event_type = 'purchase' AND {O.K} % 2 = 0)")
+def european_facts(spark, d):
+    """Items whose aliases name what was asked; those of odd numbers don't. Facts without a value stay."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    bought = lens.table(spark, d, "events").where("event_type = 'purchase'")
+    asked = F.concat(F.lit("cve-2024-"), k)
+    items = bought.select(
+        asked.alias("asked"), F.concat(F.lit("EUVD-"), F.col("event_id")).alias("id"), F.when(k % 2 == 0, F.concat(F.lit("GHSA-x\n CVE-2024-"), k)).otherwise("GHSA-x").alias("aliases"), k.cast("double").alias("base_score"), F.lit("3.1").alias("base_score_version"),
+        F.lit("").alias("base_score_vector"), F.lit(0.5).alias("epss"), F.lit("d").alias("description"), F.lit("").alias("date_published"), F.lit("Aug 4, 2024, 7:05:54 AM").alias("date_updated"), F.lit("https://a.example.com\n\n https://b.example.com").alias("references"),
+    )
+    nodes = bought.select(F.explode(F.array(A.identity_nodes("vulnerability", lens.vulnerability(F.lit("cve"), asked))[0])).alias("n")).select("n.*").dropDuplicates(["id"])
+    return X.european_facts(items)(nodes, lens.NOW).select("subject", "ref", "fact", "value")
+
+
+@query("SELECT sum(o_orderkey)::BIGINT AS nodes, sum(o_custkey)::BIGINT AS edges, count(*) AS transactions, arg_max(o_orderpriority, o_orderkey) AS basis FROM orders")
+def receipt_fold(spark, d):
+    receipts = lens.table(spark, d, "orders").select(F.col("o_orderkey").alias("batch"), F.col("o_orderkey").alias("nodes"), F.col("o_custkey").alias("edges"), F.lit(1).alias("transactions"), F.col("o_orderpriority").alias("basis"))
+    return X.receipts_folded(receipts).select(*[F.col(c).cast("bigint").alias(c) for c in ("nodes", "edges", "transactions")], "basis")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 500")
