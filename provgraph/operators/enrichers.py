@@ -13,6 +13,7 @@ from datetime import datetime
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from provgraph.functions.enrichment import matches_alias, prop_text, purl_type, search_date, supplier_name, supplier_of, supplier_prefix, vulnerability_of_name
 from provgraph.functions.text import float_text, text, time_text
@@ -182,7 +183,7 @@ def enriched(graph: Graph, policy: Policy, enrichers: dict[str, Enricher], now:
 
 def decorated(nodes: DataFrame, *decorators: Callable[[pd.DataFrame], pd.DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(records of the documents that every decorator passed, in turn; doc and error of the others). A decorator gets one document's records."""
-    schema = nodes.schema.add("error", "string")
+    schema = StructType([*nodes.schema.fields, StructField("error", StringType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         doc = pdf["doc"].iloc[0]

@@ -7,6 +7,10 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from datetime import UTC, datetime
+from email.utils import parsedate_to_datetime
+from urllib.parse import parse_qsl, urlencode, urljoin, urlsplit, urlunsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -53,39 +57,140 @@ def write_ndjson(graph: Graph, path: str) -> None:
         lines.orderBy("id").select("line").write.mode("overwrite").text(f"{path}/{name}")
 
 
-def pause(attempt: int, retry_after: str | None = None) -> float:
-    """Seconds before the next attempt: what the server asks for, else doubling from the first pause."""
-    if retry_after and retry_after.isdigit():
+def pause(attempt: int, retry_after: str | None = None, now: datetime | None = None) -> float:
+    """Seconds before the next attempt: what the server asks for, in seconds or as a date, else doubling from the first pause."""
+    if retry_after and retry_after.strip().isdigit():
         return min(float(retry_after), LONGEST_PAUSE)
+    try:
+        until = parsedate_to_datetime(retry_after) if retry_after else None
+    except ValueError:
+        until = None
+    if until is not None:
+        until = until if until.tzinfo else until.replace(tzinfo=UTC)
+        return min(max((until - (now or datetime.now(UTC))).total_seconds(), 0.0), LONGEST_PAUSE)
     return min(FIRST_PAUSE * 2 ** (attempt - 1), LONGEST_PAUSE)
 
 
-def post(url: str, body: bytes, token: Callable[[], str], attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep) -> dict:
-    """The server's receipt; statuses that don't pass and the last failure are raised. The token is asked for at every attempt."""
-    for attempt in range(1, attempts + 1):
-        request = urllib.request.Request(url, body, {"Content-Type": "application/x-ndjson", "Authorization": f"Bearer {token()}"})
+class Refused(RuntimeError):
+    """A batch that the server didn't take: its status (None without an answer), what it said, and what went through before."""
+
+    def __init__(self, status: int | None, message: str, committed: dict | None = None):
+        super().__init__(f"{status}: {message}")
+        self.status, self.message, self.committed = status, message, committed or {}
+
+
+def origin(url: str) -> str:
+    """Scheme, host and port; ports are part of what is trusted."""
+    parts = urlsplit(url)
+    if parts.scheme not in ("http", "https") or not parts.hostname or parts.username or parts.password:
+        raise ValueError(f"not the address of a writer: {url!r}")
+    return f"{parts.scheme}://{parts.netloc}".lower()
+
+
+@dataclass(frozen=True)
+class Writer:
+    """Where batches go. Tokens and batches only ever reach the writer's own origin and those named as trusted."""
+
+    address: str
+    token: Callable[[], str]
+    graph: str = ""
+    trusted: tuple[str, ...] = ()
+    attempts: int = ATTEMPTS
+
+    def __post_init__(self):
+        for url in (self.address, *self.trusted):
+            origin(url)
+        if any(urlsplit(t).path not in ("", "/") or urlsplit(t).query for t in self.trusted):
+            raise ValueError("trusted writers are named by their origins")
+        if self.graph.startswith("__"):
+            raise ValueError("names of graphs mustn't start with __")
+
+    def target(self, url: str) -> str:
+        """`url` with this writer's graph, whatever graph it names itself."""
+        parts = urlsplit(url)
+        query = [(k, v) for k, v in parse_qsl(parts.query, keep_blank_values=True) if k != "graph"] + ([("graph", self.graph)] if self.graph else [])
+        return urlunsplit(parts._replace(query=urlencode(query)))
+
+    def followed(self, url: str, location: str) -> str:
+        """Where a redirect from `url` leads; refused unless it is trusted and as safe as before."""
+        to = urljoin(url, location)
+        allowed = {origin(u) for u in (self.address, *self.trusted)}
         try:
-            with urllib.request.urlopen(request, timeout=120) as answer:
+            known = origin(to) in allowed
+        except ValueError:
+            known = False
+        if not known or (urlsplit(url).scheme == "https" and urlsplit(to).scheme != "https"):
+            raise Refused(None, "redirected to a writer that isn't trusted")
+        return self.target(to)
+
+
+class _Still(urllib.request.HTTPRedirectHandler):
+    """Redirects are answers like others: whoever asked decides."""
+
+    def redirect_request(self, *args: object) -> None:
+        return None
+
+
+_OPENER = urllib.request.build_opener(_Still)
+REDIRECTS, MOST_REDIRECTS = {307, 308, 421}, 10
+
+
+def _once(writer: Writer, body: bytes) -> dict:
+    """One attempt, redirects included; they keep the method and the body, and the token is asked for once."""
+    url, headers = writer.target(writer.address.rstrip("/") + "/v1/ingest"), {"Content-Type": "application/x-ndjson", "Authorization": f"Bearer {writer.token()}"}
+    for _ in range(MOST_REDIRECTS + 1):
+        try:
+            with _OPENER.open(urllib.request.Request(url, body, headers, method="POST"), timeout=120) as answer:
                 return json.loads(answer.read(1 << 20) or b"{}")
         except urllib.error.HTTPError as error:
-            if error.code not in RETRIED or attempt == attempts:
-                raise
-            sleep(pause(attempt, error.headers.get("Retry-After")))
-        except urllib.error.URLError:
-            if attempt == attempts:
+            location = error.headers.get("Location")
+            if error.code in REDIRECTS and location:
+                url = writer.followed(url, location)
+            elif 300 <= error.code < 400:
+                raise Refused(error.code, "a redirect that would change the method") from error
+            else:
                 raise
-            sleep(pause(attempt))
+    raise Refused(None, f"more than {MOST_REDIRECTS} redirects")
+
+
+def post(writer: Writer, body: bytes, sleep: Callable[[float], None] = time.sleep, retried: Callable[[], None] = lambda: None) -> dict:
+    """The server's receipt. Transport faults and passing statuses get another attempt; what doesn't pass is raised as Refused."""
+    for attempt in range(1, writer.attempts + 1):
+        try:
+            return _once(writer, body)
+        except urllib.error.HTTPError as error:
+            if error.code not in RETRIED or attempt == writer.attempts:
+                said = error.read(1 << 20).decode("utf-8", "replace")
+                try:
+                    committed = json.loads(said).get("committed")
+                except (ValueError, AttributeError):
+                    committed = None
+                raise Refused(error.code, said, committed) from error
+            wait = pause(attempt, error.headers.get("Retry-After"))
+        except (urllib.error.URLError, TimeoutError, ConnectionError) as error:
+            if attempt == writer.attempts:
+                raise Refused(None, str(error)) from error
+            wait = pause(attempt)
+        retried()
+        sleep(wait)
     raise AssertionError("unreachable")
 
 
-def send(lines: DataFrame, url: str, token: Callable[[], str], rows: int = 10_000) -> DataFrame:
-    """Receipts (nodes, edges, transactions) of batches posted by the tasks; replays are safe, as ids supersede in place."""
+def send(lines: DataFrame, writer: Writer, rows: int = 10_000) -> list[dict]:
+    """Post all lines in batches, from the tasks; one receipt for each partition (nodes, edges, transactions, basis).
+
+    This is an action: it runs once. Tasks that are tried again post again, which
+    is safe, as ids supersede in place.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        nodes = edges = done = 0
+        basis = None
         for pdf in batches:
             for i in range(0, len(pdf), rows):
-                part = pdf["line"].iloc[i : i + rows]
-                got = post(url, ("\n".join(part) + "\n").encode(), token)
-                yield pd.DataFrame([[got.get("nodes", 0), got.get("edges", 0), 1]], columns=["nodes", "edges", "transactions"])
+                got = post(writer, ("\n".join(pdf["line"].iloc[i : i + rows]) + "\n").encode())
+                nodes, edges, done, basis = nodes + got.get("nodes", 0), edges + got.get("edges", 0), done + 1, got.get("basis", basis)
+        if done:
+            yield pd.DataFrame([[nodes, edges, done, None if basis is None else str(basis)]], columns=["nodes", "edges", "transactions", "basis"])
 
-    return lines.select("line").mapInPandas(run, "nodes long, edges long, transactions long")
+    return [r.asDict() for r in lines.select("line").mapInPandas(run, "nodes long, edges long, transactions long, basis string").collect()]

@@ -4,8 +4,9 @@ Versions have valid and system intervals; `None` ends are open. Writing a batch
 replaces what the store holds now for the batch's ids: the new version is valid
 from its own time on, an earlier version keeps the time before, and versions
 that changed are closed on the system axis, never removed. An identical batch
-changes nothing. Each write makes a new snapshot folder; a pointer file that is
-renamed into place makes it current, so a lost job leaves the old one.
+changes nothing. Each write makes a new snapshot folder for the tables it
+changes; one marker makes them current together, so a lost job leaves what was
+there before, and nodes never show without their edges.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ def upsert(store: DataFrame | None, batch: DataFrame, at: datetime) -> DataFrame
     both = current.join(incoming, "id", "left")
     touched = F.col("new").isNotNull()
     # Unchanged: the version in force says the same and began no later.
-    same = touched & F.col("valid_to").isNull() & (F.struct(*payload) == F.col("new")) & (F.col("valid_from") <= F.col("new_from"))
+    began = F.coalesce(F.col("valid_from") <= F.col("new_from"), F.col("valid_from").isNull())
+    same = touched & F.col("valid_to").isNull() & F.struct(*payload).eqNullSafe(F.col("new")) & began
     kept = both.where(~touched | same)
     other = both.join(kept.where(same).select("id").distinct(), "id", "left_anti").where(touched)
     untouched_history = both.where(touched & F.col("valid_to").isNotNull()).join(kept.where(same).select("id").distinct(), "id", "left_semi")
@@ -64,27 +66,39 @@ class Store:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _base(self, table: str) -> str:
-        return f"{self.path}/graph={self.graph}/{table}"
+    @property
+    def _base(self) -> str:
+        return f"{self.path}/graph={self.graph}"
 
-    def current(self, table: str) -> int:
-        """Number of the snapshot in force, 0 for none."""
-        fs, p = self._fs(self._base(table))
-        marks = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-        return max((int(m.removeprefix("current-")) for m in marks if m.startswith("current-")), default=0)
+    def _numbers(self, prefix: str) -> list[int]:
+        fs, p = self._fs(self._base)
+        names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+    def current(self) -> int:
+        """Number of the write in force, 0 for none."""
+        return max(self._numbers("current-"), default=0)
 
     def read(self, table: str) -> DataFrame | None:
-        n = self.current(table)
-        return self.spark.read.parquet(f"{self._base(table)}/snapshot-{n}") if n else None
-
-    def write(self, table: str, batch: DataFrame, at: datetime) -> int:
-        """Upsert a batch; returns the new snapshot's number. Data are laid out by label, which pattern queries prune on."""
-        n = self.current(table) + 1
-        base = self._base(table)
-        label = "label" if "label" in batch.columns else F.get("labels", F.lit(0)).alias("label")
-        after = upsert(self.read(table), batch, at)
-        after = after if "label" in batch.columns else after.withColumn("label_dir", label)
-        after.write.partitionBy("label" if "label" in batch.columns else "label_dir").mode("overwrite").parquet(f"{base}/snapshot-{n}")
-        fs, mark = self._fs(f"{base}/current-{n}")
-        fs.create(mark, True).close()
+        """What the last write in force that changed the table left."""
+        last = self.current()
+        for n in reversed([n for n in self._numbers("snapshot-") if n <= last]):
+            fs, p = self._fs(f"{self._base}/snapshot-{n}/{table}")
+            if fs.exists(p):
+                return self.spark.read.parquet(p.toString())
+        return None
+
+    def write(self, batches: dict[str, DataFrame], at: datetime) -> int:
+        """Upsert batches of tables as one; returns the write's number. Data are laid out by label, which pattern queries prune on."""
+        n = self.current() + 1
+        fs, folder = self._fs(f"{self._base}/snapshot-{n}")
+        fs.delete(folder, True)  # what a lost write left
+        for table, batch in batches.items():
+            after = upsert(self.read(table), batch, at)
+            label = "label" if "label" in batch.columns else "label_dir"
+            after = after if label == "label" else after.withColumn(label, F.get("labels", F.lit(0)))
+            after.write.partitionBy(label).parquet(f"{self._base}/snapshot-{n}/{table}")
+        _, mark = self._fs(f"{self._base}/current-{n}")
+        # Two writers of one number: the second fails here, and neither's data are lost.
+        fs.create(mark, False).close()
         return n

@@ -146,11 +146,12 @@ def document_purls(docs: DataFrame) -> DataFrame:
 
 
 def _sboms(docs: DataFrame, packages: DataFrame, parts: DataFrame) -> DataFrame:
-    """One statement for each document: about what it describes, or about the file itself, with the ids of all software in it."""
+    """One statement for each package that a document describes, or one about the file itself, with the ids of all software in it."""
     file_ = F.struct(F.lit("sha256"), F.col("digest")).cast(ARTIFACT)
-    in_spdx = packages.groupBy("path").agg(F.min_by(F.when(F.col("described"), F.col("pkg")), F.when(F.col("described"), F.col("pos"))).alias("top"), F.sort_array(F.collect_list(F.struct(F.array("pos").alias("place"), ids.package_version_id(F.col("pkg")).alias("id")))).alias("all"))
+    in_spdx = packages.groupBy("path").agg(F.sort_array(F.collect_list(F.struct(F.array("pos").alias("place"), ids.package_version_id(F.col("pkg")).alias("id")))).alias("all"))
+    tops = packages.where("described").select("path", "pos", F.col("pkg").alias("top"))
     in_cyclonedx = parts.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("place", ids.package_version_id(F.col("pkg")).alias("id")))).alias("all"))
-    spdx = _of(docs, "spdx", SPDX).join(in_spdx, "path", "left").select(*WHERE, F.lit(0).alias("pos"), F.col("d.documentNamespace").alias("uri"), F.try_to_timestamp("d.creationInfo.created").alias("at"), "top", "all")
+    spdx = _of(docs, "spdx", SPDX).join(in_spdx, "path", "left").join(tops, "path", "left").select(*WHERE, F.coalesce("pos", F.lit(0)).alias("pos"), F.col("d.documentNamespace").alias("uri"), F.try_to_timestamp("d.creationInfo.created").alias("at"), "top", "all")
     root = F.col("d.metadata.component")
     top = F.coalesce(parsed_purl(root["purl"]), F.when(root["name"].isNotNull(), _named_package(root["name"], root["version"])))
     cyclonedx = _of(docs, "cyclonedx", CYCLONEDX).join(in_cyclonedx, "path", "left").select(*WHERE, F.lit(0).alias("pos"), F.col("d.serialNumber").alias("uri"), F.try_to_timestamp("d.metadata.timestamp").alias("at"), top.alias("top"), "all")

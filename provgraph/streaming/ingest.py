@@ -8,10 +8,13 @@ watermark.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from provgraph.metrics import Metrics
 from provgraph.operators.assemble import Graph, Guard, assemble
 from provgraph.operators.merge import merge
 from provgraph.operators.store import Store
@@ -30,20 +33,40 @@ def graph_of(docs: DataFrame, guard: Guard) -> Graph:
     return merge(assemble(evidence_tables(docs), guard))
 
 
-def run_batch(docs: DataFrame, store: Store, guard: Guard) -> Receipt:
-    """One upsert for all documents; those that can't be read are counted and left out."""
-    docs = sniffed(docs)
+def run_batch(docs: DataFrame, store: Store, guard: Guard, metrics: Metrics | None = None) -> Receipt:
+    """One upsert for all documents; those that can't be read are counted and left out. Documents are parsed and merged once."""
+    docs = sniffed(docs).persist(StorageLevel.DISK_ONLY)
     graph = graph_of(docs, guard)
-    store.write("nodes", graph.nodes.drop("ord"), guard.now)
-    store.write("edges", graph.edges.drop("ord"), guard.now)
-    return Receipt(docs.count(), failed(docs).count(), graph.nodes.count(), graph.edges.count())
+    nodes, edges = (df.drop("ord").persist(StorageLevel.DISK_ONLY) for df in (graph.nodes, graph.edges))
+    try:
+        store.write({"nodes": nodes, "edges": edges}, guard.now)
+        receipt = Receipt(docs.count(), failed(docs).count(), nodes.count(), edges.count())
+    finally:
+        for df in (nodes, edges, docs):
+            df.unpersist()
+    if metrics is not None:
+        metrics.add("documents", receipt.documents - receipt.failed, outcome="ingested")
+        metrics.add("documents", receipt.failed, outcome="skipped")
+        metrics.add("records_emitted", receipt.nodes, kind="node")
+        metrics.add("records_emitted", receipt.edges, kind="edge")
+    return receipt
 
 
-def run_stream(spark: SparkSession, path: str, checkpoint: str, store: Store, guard: Guard, per_trigger: int = 1000, once: bool = True):
+def run_stream(spark: SparkSession, path: str, checkpoint: str, store: Store, guard: Guard, per_trigger: int = 1000, once: bool = True, metrics: Metrics | None = None):
     """A streaming query over a folder; with `once` it ends when all files that are there have been read."""
 
     def deliver(docs: DataFrame, _: int) -> None:
-        run_batch(docs, store, guard)
+        run_batch(docs, store, guard, metrics)
 
     writer = stream(spark, path, per_trigger).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="2 seconds")).start()
+
+
+def drain(query, seconds: float = 30.0) -> bool:
+    """Let a query finish the documents it has taken, then stop it; whether it was idle in time."""
+    end = time.monotonic() + seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < end:
+        time.sleep(0.1)
+    idle = not query.isActive or not query.status["isTriggerActive"]
+    query.stop()
+    return idle

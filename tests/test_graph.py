@@ -99,10 +99,10 @@ def test_store_keeps_history_and_ignores_replays(spark, tmp_path):
     at = [datetime(2024, m, 1, tzinfo=UTC) for m in (1, 2, 3, 4)]
     batch = lambda value, t: spark.createDataFrame([("x", "L", value, t)], "id string, label string, v string, valid_from timestamp")
     store = Store(spark, str(tmp_path / "s"))
-    store.write("edges", batch("a", at[0]), at[1])
-    store.write("edges", batch("a", at[0]), at[2])
+    store.write({"edges": batch("a", at[0])}, at[1])
+    store.write({"edges": batch("a", at[0])}, at[2])
     assert store.read("edges").count() == 1
-    store.write("edges", batch("b", at[2]), at[3])
+    store.write({"edges": batch("b", at[2])}, at[3])
     rows = store.read("edges")
     value = lambda **kw: [r["v"] for r in Q.Instant(**kw).holds(rows).collect()]
     assert value(valid=at[1]) == ["a"] and value(valid=at[3]) == ["b"] and value(valid=at[3], system=at[2]) == ["a"]
@@ -124,7 +124,7 @@ def test_retry_pauses_double_and_stop():
 
 
 def test_documents_are_read_or_set_aside(spark, tmp_path):
-    spdx = {"spdxVersion": "SPDX-2.3", "documentNamespace": "urn:x", "creationInfo": {"created": "2024-01-02T00:00:00Z"}, "packages": [{"SPDXID": f"S{i}", "name": f"p{i}", "versionInfo": "1", "externalRefs": [{"referenceType": "purl", "referenceLocator": f"pkg:npm/p{i}@1"}]} for i in range(3)]}
+    spdx = {"spdxVersion": "SPDX-2.3", "documentNamespace": "urn:x", "creationInfo": {"created": "2024-01-02T00:00:00Z"}, "documentDescribes": ["S0", "S1", "S2"], "packages": [{"SPDXID": f"S{i}", "name": f"p{i}", "versionInfo": "1", "externalRefs": [{"referenceType": "purl", "referenceLocator": f"pkg:npm/p{i}@1"}]} for i in range(3)]}
     cdx = {"bomFormat": "CycloneDX", "metadata": {"timestamp": "2024-01-02T00:00:00Z"}, "components": [{"bom-ref": "a", "name": "a", "purl": "pkg:npm/a@1", "components": [{"bom-ref": "b", "name": "b"}]}]}
     for name, doc in (("a.json", spdx), ("b", cdx), ("bad", None), ("late.json", spdx | {"creationInfo": {"created": "soon"}})):
         (tmp_path / name).write_text("{" if doc is None else json.dumps(doc))
