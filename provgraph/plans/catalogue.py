@@ -17,9 +17,11 @@ from provgraph.functions import text as T
 from provgraph.operators import assemble as A
 from provgraph.operators import match as Q
 from provgraph.operators import merge as M
+from provgraph.operators import sinks as S
 from provgraph.plans import enrichment, lens
 from provgraph.plans import oracle as O
 from provgraph.plans.lens import GUARD
+from provgraph.sources import documents as D
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -286,6 +288,45 @@ def upsert_idempotent(spark, d):
     return twice.agg(F.count(F.when(F.col("system_to").isNull(), 1)).alias("current_versions"), F.count("*").alias("all_versions"))
 
 
+# --- documents and lines -----------------------------------------------------------
+
+
+@query("SELECT doc_id, sha256(text) AS digest FROM documents")
+def document_digest(spark, d):
+    return D.digested(lens.table(spark, d, "documents").select("doc_id", F.encode("text", "utf-8").alias("content"))).select("doc_id", "digest")
+
+
+def _files(spark, d):
+    """Every customer as a file: one kind of document or fault after the other."""
+    spdx = lambda created: F.concat(F.lit('{"spdxVersion":"SPDX-2.3","creationInfo":{"created":"'), F.lit(created), F.lit('"},"name":"'), F.col("c_custkey"), F.lit('"}'))
+    bodies = F.array(F.lit("{"), F.lit('{"x":1}'), spdx("soon"), spdx("2024-01-02T03:04:05Z"), F.lit('{"bomFormat":"CycloneDX"}'), F.lit('{"predicateType":"https://example.com/vulns"}'), F.lit('{"@context":"https://openvex.dev/ns"}'))
+    body = F.element_at(bodies, (F.col("c_custkey") % 7 + 1).cast("int"))
+    rows = lens.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("path"), F.encode(body, "utf-8").alias("content"), F.lit(0).alias("receiver"))
+    return D.sniffed(D.digested(rows))
+
+
+@query("SELECT CASE c_custkey % 7 WHEN 0 THEN 'not JSON' WHEN 1 THEN 'unknown format' ELSE 'bad creation time' END AS error, count(*) AS n FROM customer WHERE c_custkey % 7 < 3 GROUP BY 1")
+def quarantine_counts(spark, d):
+    return D.failed(_files(spark, d)).groupBy("error").agg(F.count("*").alias("n"))
+
+
+@query("SELECT CASE c_custkey % 7 WHEN 2 THEN 'spdx' WHEN 3 THEN 'spdx' WHEN 4 THEN 'cyclonedx' WHEN 5 THEN 'in-toto' WHEN 6 THEN 'openvex' ELSE 'none' END AS format, count(*) AS n FROM customer GROUP BY 1")
+def document_formats(spark, d):
+    return _files(spark, d).groupBy(F.coalesce("format", F.lit("none")).alias("format")).agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT DISTINCT {O.TEXT_ART} AS id, '{{"type":"node","labels":["Artifact"],"props":{{"_id":"' || {O.TEXT_ART} || '","algorithm":"sha256","digest":"' || sha256(text) || '"}},"valid_from":"2026-01-01T00:00:00Z"}}' AS line FROM documents""")
+def ndjson_lines(spark, d):
+    rows = lens.table(spark, d, "documents").select(A.identity_nodes("artifact", lens.text_artifact())[0].alias("n")).select("n.*", F.lit(lens.NOW).cast("timestamp").alias("valid_from"))
+    return S.node_lines(rows).distinct()
+
+
+@query(f"""SELECT DISTINCT '{{"type":"edge","label":"PkgHasVersion","src":"' || {O.ORDER_N} || '","dst":"' || {O.ORDER_V} || '","props":{{"_id":"' || {O.edge_part(O.ORDER_N)} || '|PkgHasVersion|' || {O.edge_part(O.ORDER_V)} || '"}},"valid_from":"2026-01-01T00:00:00Z"}}' AS line FROM orders""")
+def ndjson_edge_lines(spark, d):
+    edges = A.package_pass({"IsOccurrence": lens.TABLES["IsOccurrence"](spark, d)}, GUARD).edges
+    return S.edge_lines(edges).select("line").distinct()
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES) | enrichment.queries()
 

@@ -50,7 +50,9 @@ def sniffed(docs: DataFrame) -> DataFrame:
     raw = F.try_validate_utf8(F.decode("content", "utf-8")) if hasattr(F, "try_validate_utf8") else F.decode("content", "utf-8")
     df = docs.withColumns({"raw": raw, "seq": F.pmod(F.xxhash64("receiver", "path"), F.lit(1 << 30))})
     payload = F.get_json_object("raw", "$.payload")
-    df = df.withColumn("raw", F.when(F.get_json_object("raw", "$.payloadType").isNotNull() & payload.isNotNull(), F.decode(F.try_to_binary(payload, F.lit("base64")), "utf-8")).otherwise(F.col("raw")))
+    opened = F.when(F.get_json_object("raw", "$.payloadType").isNotNull() & payload.isNotNull(), F.decode(F.try_to_binary(payload, F.lit("base64")), "utf-8")).otherwise(F.col("raw"))
+    # A generator of one row keeps the text from being worked out again wherever it is named.
+    df = df.withColumn("raw", F.explode(F.array(opened)))
     field = lambda k: F.get_json_object("raw", k)
     valid = F.try_parse_json("raw").isNotNull()
     form = (
