@@ -14,3 +14,16 @@ def test_near_variants_have_their_own_licence(spark):
     rows.append((99, "This work is licensed under the GNU Affero General Public License, version 3."))
     got = {r["doc_id"]: (r["license"], r["dice"]) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: (n, 1.0) for i, (n, *_) in enumerate(KINDS)} | {99: ("AGPL-3.0", 1.0)}
+
+
+def test_whole_texts_and_sentences_are_recognised(spark):
+    bsd = f"Copyright (c) 2020, Foo\nAll rights reserved.\n\n{licenses.BSD_INTRO}\n\n{licenses.BSD_1}\n\n{licenses.BSD_2}\n\n"
+    rows = [
+        (1, bsd + licenses.BSD_DISCLAIMER),
+        (2, bsd + f"3. {licenses.BSD_3}\n\n" + licenses.BSD_DISCLAIMER),
+        (3, f"MIT License\n\nCopyright (c) Foo\n\n{licenses.MIT_GRANT}\n\n{licenses.MIT_DISCLAIMER}\n"),
+        (4, "This file is part of the Foo project. Released under the\nMIT License. See the documents for more."),
+        (5, "Nothing here. We talk about licences in general!"),
+    ]
+    found = licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["license"] for r in found} == {1: "BSD-2-Clause", 2: "BSD-3-Clause", 3: "MIT", 4: "MIT", 5: None}
