@@ -4,7 +4,9 @@ A text's segments (its lines, paragraphs and sentences and the text as a whole,
 each once) are normalised to lower-case ASCII words and compared with licence templates by the Dice
 coefficient over their sets of word bigrams. A template is a candidate only
 where the sizes allow the threshold: with n and m bigrams the coefficient is at
-most 2 min(n, m) / (n + m). Templates are constants of the plan, so there is no
+most 2 min(n, m) / (n + m). Such a match also shares at least t m / (2 - t) of the
+m bigrams of its template, so that it holds one of a few telling words; texts and
+segments without any of them are passed over, which loses no match. Templates are constants of the plan, so there is no
 join and no shuffle.
 
 Defined results: null text counts as empty; segments of fewer than two words
@@ -89,6 +91,23 @@ def bigram_hash(a: str, b: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+#: Frequent words, which tell little.
+FREQUENT = frozenset("a above all an and any are as at be been by can for from has have if in is it its may not of on one only or other out permitted that the this to under use whatever which will with work without you your".split())
+
+
+def telling_words(threshold: float = THRESHOLD) -> list[str]:
+    """Words of which every match of a template holds at least one.
+
+    They cover more than 1 - t / (2 - t) of the bigrams of each template, chosen by how many they add.
+    """
+    chosen: set[str] = set()
+    for pairs in sorted((template_bigrams(text) for _, text in TEMPLATES), key=lambda p: (len(p), p)):
+        while len(open_ := [p for p in pairs if not chosen & set(p)]) >= len(pairs) * threshold / (2 - threshold):
+            words = sorted({w for p in open_ for w in p})
+            chosen.add(max(words, key=lambda w: (w not in FREQUENT, sum(w in p for p in open_), w)))
+    return sorted(chosen)
+
+
 def _hashed(words: Column) -> Column:
     """Distinct bigrams of a list of words, as hashes."""
     n = F.size(words)
@@ -100,16 +119,19 @@ SENTENCE_END = r"[.!?]+[\x20\x09-\x0D]+"
 MARK = "\x01"
 
 
-def segments(text: Column) -> Column:
-    """Normalised lines, paragraphs and sentences of a text and the whole of it, each once."""
+def segments(text: Column, threshold: float = THRESHOLD) -> Column:
+    """Normalised lines, paragraphs and sentences of a text and the whole of it, each once; those without a telling word are left out."""
+    telling = rf"\b(?:{'|'.join(telling_words(threshold))})\b"
 
-    def parts(low: Column) -> Column:
+    def parts(low: Column, whole: Column) -> Column:
         lines = F.regexp_replace(low, "[^a-z0-9\n]+", " ")
         sentences = F.split(F.regexp_replace(F.regexp_replace(low, SENTENCE_END, MARK), r"[^a-z0-9\x01]+", " "), MARK, -1)
-        whole = F.regexp_replace(low, "[^a-z0-9]+", " ")
         return F.concat(F.split(lines, "\n", -1), F.transform(F.split(lines, "\n *\n", -1), lambda p: F.regexp_replace(p, " *\n *", " ")), sentences, F.array(whole))
 
-    return F.array_distinct(F.transform(let(F.lower(text), parts), lambda s: F.trim(s)))
+    def told(low: Column) -> Column:
+        return let(F.regexp_replace(low, "[^a-z0-9]+", " "), lambda whole: F.when(whole.rlike(telling), parts(low, whole)).otherwise(F.array().cast("array<string>")))
+
+    return F.array_distinct(F.transform(F.filter(let(F.lower(text), told), lambda s: s.rlike(telling)), lambda s: F.trim(s)))
 
 
 def _templates() -> Column:
@@ -136,7 +158,7 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     def per_segment(s: Column) -> Column:
         return let(let(F.array_remove(F.split(s, " "), ""), _hashed), lambda g: _matches(g, threshold))
 
-    hits = F.filter(F.transform(segments(text_of(text)), per_segment), lambda x: F.size(x) > 0)
+    hits = F.filter(F.transform(segments(text_of(text), threshold), per_segment), lambda x: F.size(x) > 0)
 
     def report(h: Column) -> Column:
         flat = F.flatten(h)

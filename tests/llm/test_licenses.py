@@ -27,3 +27,12 @@ def test_whole_texts_and_sentences_are_recognised(spark):
     ]
     found = licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["license"] for r in found} == {1: "BSD-2-Clause", 2: "BSD-3-Clause", 3: "MIT", 4: "MIT", 5: None}
+
+
+def test_telling_words_are_in_every_possible_match():
+    words = set(licenses.telling_words())
+    for _, text in licenses.TEMPLATES:
+        pairs = licenses.template_bigrams(text)
+        # What is left without them is too little for a match, even if nothing else stands in the segment.
+        left = [p for p in pairs if not words & set(p)]
+        assert 2 * len(left) / (len(left) + len(pairs)) < licenses.THRESHOLD
