@@ -108,6 +108,12 @@ def telling_words(threshold: float = THRESHOLD) -> list[str]:
     return sorted(chosen)
 
 
+def _any_of(words: list[str]) -> str:
+    """A pattern for any of the words, which looks at a word's first letter once."""
+    first = sorted({w[0] for w in words})
+    return r"\b(?:" + "|".join(f"{c}(?:{'|'.join(w[1:] for w in words if w[0] == c)})" for c in first) + r")\b"
+
+
 def _hashed(words: Column) -> Column:
     """Distinct bigrams of a list of words, as hashes."""
     n = F.size(words)
@@ -121,7 +127,7 @@ MARK = "\x01"
 
 def segments(text: Column, threshold: float = THRESHOLD) -> Column:
     """Normalised lines, paragraphs and sentences of a text and the whole of it, each once; those without a telling word are left out."""
-    telling = rf"\b(?:{'|'.join(telling_words(threshold))})\b"
+    telling = _any_of(telling_words(threshold))
 
     def parts(low: Column, whole: Column) -> Column:
         lines = F.regexp_replace(low, "[^a-z0-9\n]+", " ")
