@@ -102,3 +102,27 @@ class Store:
         # Two writers of one number: the second fails here, and neither's data are lost.
         fs.create(mark, False).close()
         return n
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Remove the tables that none of the last `keep` writes in force reads, and what marks older writes; returns how many tables went.
+
+        Readers of older snapshots must have ended; a write under way isn't touched.
+        """
+        marks = self._numbers("current-")
+        oldest = marks[-max(1, keep):][0] if marks else 0
+        newer: set[str] = set()
+        gone = 0
+        for n in reversed([n for n in self._numbers("snapshot-") if n <= oldest]):
+            fs, folder = self._fs(f"{self._base}/snapshot-{n}")
+            tables = {x.getPath().getName() for x in fs.listStatus(folder)}
+            for table in tables & newer:
+                fs.delete(self._fs(f"{folder.toString()}/{table}")[1], True)
+                gone += 1
+            if tables <= newer:
+                fs.delete(folder, True)
+            newer |= tables
+        for n in marks:
+            if n < oldest:
+                fs, mark = self._fs(f"{self._base}/current-{n}")
+                fs.delete(mark, False)
+        return gone

@@ -30,6 +30,33 @@ def files(spark: SparkSession, *paths: str) -> DataFrame:
     return digested(df.select("path", "content", "receiver"))
 
 
+#: Manifests are smaller by the format's own rule; larger blobs are image layers or documents.
+MANIFEST_BYTES = 4 << 20
+_DESCRIPTOR = "mediaType:string,artifactType:string,digest:string,annotations:map<string,string>"
+MANIFEST = f"struct<artifactType:string,subject:struct<{_DESCRIPTOR}>,layers:array<struct<{_DESCRIPTOR}>>>"
+#: Media types of documents; others are layers of images.
+DOCUMENT_TYPES = "spdx|cyclonedx|in-toto|openvex|dsse"
+
+
+def image_layout(spark: SparkSession, path: str, *refs: str, receiver: int = 0) -> DataFrame:
+    """Documents attached to the images of an image layout folder, as `files` gives them.
+
+    A document is a layer of a manifest whose subject is an image of the index;
+    with `refs`, only images of those names count. Only blobs that can be a
+    manifest are parsed, and only those that are named as documents are read in
+    full.
+    """
+    index = spark.read.schema(f"manifests array<struct<{_DESCRIPTOR}>>").json(f"{path}/index.json", multiLine=True)
+    images = index.select(F.explode("manifests").alias("m")).select(F.col("m.digest").alias("image"), F.col("m.annotations")["org.opencontainers.image.ref.name"].alias("ref"))
+    images = images.where(F.col("ref").isin(*refs)) if refs else images
+    named = F.split("path", "/")
+    blobs = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/blobs").withColumn("blob", F.concat(F.get(named, F.size(named) - 2), F.lit(":"), F.get(named, F.size(named) - 1)))
+    manifests = blobs.where(F.col("length") <= MANIFEST_BYTES).select(F.from_json(_utf8("content"), MANIFEST).alias("m"))
+    attached = manifests.join(images.select("image").distinct(), F.col("m.subject.digest") == F.col("image"), "left_semi")
+    layers = attached.select(F.explode("m.layers").alias("l")).where(F.col("l.mediaType").rlike(DOCUMENT_TYPES)).select(F.col("l.digest").alias("blob"))
+    return digested(blobs.join(layers, "blob", "left_semi").select("path", "content", F.lit(receiver).alias("receiver")))
+
+
 def stream(spark: SparkSession, path: str, per_trigger: int = 1000) -> DataFrame:
     """The same as a stream; files that are there once are read once."""
     df = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", per_trigger).load(path)
@@ -40,6 +67,11 @@ def digested(df: DataFrame) -> DataFrame:
     return df.withColumn("digest", F.sha2("content", 256))
 
 
+def _utf8(content: str) -> Column:
+    """Bytes as text, null where they aren't UTF-8."""
+    return F.try_validate_utf8(F.col(content).cast("string"))
+
+
 def sniffed(docs: DataFrame) -> DataFrame:
     """`docs` with raw text, a number that orders its records, and format: spdx, cyclonedx, in-toto, openvex, scorecard, or null with the reason.
 
@@ -47,10 +79,9 @@ def sniffed(docs: DataFrame) -> DataFrame:
     from receivers and paths, so that a run repeated in other tasks gives the
     same first statement of a record.
     """
-    raw = F.try_validate_utf8(F.decode("content", "utf-8")) if hasattr(F, "try_validate_utf8") else F.decode("content", "utf-8")
-    df = docs.withColumns({"raw": raw, "seq": F.pmod(F.xxhash64("receiver", "path"), F.lit(1 << 30))})
+    df = docs.withColumns({"raw": _utf8("content"), "seq": F.pmod(F.xxhash64("receiver", "path"), F.lit(1 << 30))})
     payload = F.get_json_object("raw", "$.payload")
-    opened = F.when(F.get_json_object("raw", "$.payloadType").isNotNull() & payload.isNotNull(), F.decode(F.try_to_binary(payload, F.lit("base64")), "utf-8")).otherwise(F.col("raw"))
+    opened = F.when(F.get_json_object("raw", "$.payloadType").isNotNull() & payload.isNotNull(), F.try_validate_utf8(F.try_to_binary(payload, F.lit("base64")).cast("string"))).otherwise(F.col("raw"))
     # A generator of one row keeps the text from being worked out again wherever it is named.
     df = df.withColumn("raw", F.explode(F.array(opened)))
     field = lambda k: F.get_json_object("raw", k)

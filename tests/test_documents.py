@@ -1,5 +1,7 @@
 """Documents whose parts nest deeper than any fixed schema."""
 
+import base64
+import hashlib
 import json
 
 from provgraph.sources import documents as D
@@ -60,3 +62,36 @@ def test_every_format_states_its_evidence(spark, tmp_path):
     assert labels["VulnMetadata"] == labels["HasSlsa"] == labels["CertifyScorecard"] == 1
     assert [(r["purl"], r["supplier"]) for r in D.supplied_parts(docs).where("supplier IS NOT NULL").collect()] == [("pkg:npm/b@2", "Organization: first")]
     assert sorted(r["purl"] for r in D.document_purls(docs).collect()) == ["pkg:npm/b@2", "pkg:npm/c@1"]
+
+
+def test_bytes_that_are_no_text_are_set_aside(spark, tmp_path):
+    (tmp_path / "image").write_bytes(b"\xff\xfe\x00{}")
+    envelope = {"payloadType": "x", "payload": base64.b64encode(b"\xff\xfe").decode()}
+    (tmp_path / "envelope").write_text(json.dumps(envelope))
+    docs = D.sniffed(D.files(spark, str(tmp_path)))
+    assert [r["error"] for r in D.failed(docs).collect()] == ["not JSON", "not JSON"]
+
+
+def test_documents_attached_to_images_are_read(spark, tmp_path):
+    def blob(body) -> str:
+        raw = body if isinstance(body, bytes) else json.dumps(body).encode()
+        name = hashlib.sha256(raw).hexdigest()
+        (tmp_path / "blobs" / "sha256" / name).write_bytes(raw)
+        return f"sha256:{name}"
+
+    (tmp_path / "blobs" / "sha256").mkdir(parents=True)
+    images = []
+    for name in ("a", "b"):
+        layer = blob(b"\xff\x00" + name.encode())
+        image = blob({"schemaVersion": 2, "layers": [{"mediaType": "application/vnd.oci.image.layer.v1.tar+gzip", "digest": layer}]})
+        sbom = blob({"bomFormat": "CycloneDX", "metadata": {"component": {"name": name}}})
+        blob({"schemaVersion": 2, "subject": {"digest": image}, "layers": [{"mediaType": "application/vnd.cyclonedx+json", "digest": sbom}, {"mediaType": "text/plain", "digest": layer}]})
+        images.append({"digest": image, "annotations": {"org.opencontainers.image.ref.name": f"registry.example/{name}:1"}})
+    blob({"schemaVersion": 2, "subject": {"digest": "sha256:other"}, "layers": [{"mediaType": "application/spdx+json", "digest": blob({"spdxVersion": "SPDX-2.3"})}]})
+    (tmp_path / "index.json").write_text(json.dumps({"schemaVersion": 2, "manifests": images}, indent=1))
+
+    def names(*refs) -> list[str]:
+        rows = D.image_layout(spark, str(tmp_path), *refs).collect()
+        return sorted(json.loads(bytes(r["content"]))["metadata"]["component"]["name"] for r in rows)
+
+    assert names() == ["a", "b"] and names("registry.example/b:1") == ["b"] and names("registry.example/c:1") == []

@@ -111,6 +111,22 @@ def test_store_keeps_history_and_ignores_replays(spark, tmp_path):
     assert upsert(None, batch("a", at[0]), at[0]).where("system_to IS NULL").count() == 1
 
 
+def test_lost_writes_and_old_snapshots_leave_the_store_as_it_is(spark, tmp_path):
+    batch = lambda i, v: spark.createDataFrame([(i, "L", v, NOW)], "id string, label string, v string, valid_from timestamp")
+    store = Store(spark, str(tmp_path / "s"))
+    for i in range(4):
+        store.write({"edges": batch(f"e{i}", "a")} | ({"nodes": batch("n", "a")} if i == 0 else {}), NOW)
+    bad = batch("n", "x").withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        store.write({"edges": batch("e9", "a"), "nodes": bad}, NOW)
+    held = lambda t: sorted(r["id"] for r in store.read(t).collect())
+    assert store.current() == 4 and held("edges") == ["e0", "e1", "e2", "e3"]
+    assert store.vacuum(keep=1) == 3 and store.vacuum(keep=1) == 0
+    assert held("edges") == ["e0", "e1", "e2", "e3"] and held("nodes") == ["n"]
+    store.write({"edges": batch("e9", "a"), "nodes": batch("n", "a")}, NOW)
+    assert held("edges") == ["e0", "e1", "e2", "e3", "e9"] and held("nodes") == ["n"]
+
+
 def test_ndjson_lines_escape_markup(spark):
     at = F.lit(datetime(2024, 1, 2, 3, 4, 5, 500000, tzinfo=UTC))
     nodes = spark.range(1).select(F.lit('a"<&').alias("id"), F.array(F.lit("L")).alias("labels"), F.array(A.prop("k", F.lit("é>")), A.prop("s", F.lit(10.0), "f")).cast(A.PROPS).alias("props"), at.alias("valid_from"))
