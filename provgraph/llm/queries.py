@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provgraph.llm import chosen_path, langid, licenses, maxent, quality, raking, secret_scan, sp_codec, toxicity, winnowing
+from provgraph.llm import chosen_path, fill_middle, langid, licenses, maxent, quality, raking, secret_scan, sp_codec, toxicity, winnowing
 from provgraph.llm.common import fold, prepare, read
 
 
@@ -72,9 +72,17 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_codec.encode(read(spark, sf_dir), sp_codec.Model.load())
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle(read(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_toxicity, op2_language_id, op3_source_mix, op4_lm_scoring, op5_secret_scan, op6_ngram_jaccard_join, op7_license_scan, op8_quality_rules, op9_fingerprints, op10_sentencepiece)}
+    found = (
+        op1_toxicity, op2_language_id, op3_source_mix, op4_lm_scoring, op5_secret_scan, op6_ngram_jaccard_join, op7_license_scan,
+        op8_quality_rules, op9_fingerprints, op10_sentencepiece, op13_fill_in_middle,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_license_scan": licenses.oracle_sql(), "op8_quality_rules": quality.ORACLE_SQL}
+    return {"op7_license_scan": licenses.oracle_sql(), "op8_quality_rules": quality.ORACLE_SQL, "op13_fill_in_middle": fill_middle.ORACLE_SQL}
