@@ -23,9 +23,9 @@ ARROW_ROWS = 512
 ARROW_BYTES = 16 << 20
 
 
-def prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Small Arrow batches bound the memory of Python workers; a batch of long texts ends sooner, a text of its own size at the latest."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
@@ -134,13 +134,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
 _STORED: list[str] = []
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: lineage is cut, and a lost executor costs nothing."""
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """`stored`, and the table's path for `removed`."""
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     _STORED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it again: lineage is cut, and a lost executor costs nothing."""
+    return stored_at(df, name)[0]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a stored table that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    if path in _STORED:
+        _STORED.remove(path)
 
 
 @contextmanager
@@ -150,8 +163,5 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         while len(_STORED) > known:
-            path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
-            path.getFileSystem(conf).delete(path, True)
+            removed(spark, _STORED[-1])
