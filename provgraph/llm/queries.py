@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provgraph.llm import chosen_path, fill_middle, langid, licenses, maxent, quality, raking, secret_scan, sp_codec, toxicity, vector_codes, winnowing
+from provgraph.llm import block_topk, chosen_path, fill_middle, langid, licenses, maxent, quality, raking, secret_scan, sp_codec, toxicity, vector_codes, winnowing
 from provgraph.llm.common import fold, prepare, read
 
 
@@ -72,6 +72,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_codec.encode(read(spark, sf_dir), sp_codec.Model.load())
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(read(spark, sf_dir, "embeddings"))
 
@@ -83,7 +87,7 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     found = (
         op1_toxicity, op2_language_id, op3_source_mix, op4_lm_scoring, op5_secret_scan, op6_ngram_jaccard_join, op7_license_scan,
-        op8_quality_rules, op9_fingerprints, op10_sentencepiece, op12_vector_codes, op13_fill_in_middle,
+        op8_quality_rules, op9_fingerprints, op10_sentencepiece, op11_top_k, op12_vector_codes, op13_fill_in_middle,
     )
     return {f.__name__: f for f in found}
 
@@ -92,6 +96,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op7_license_scan": licenses.oracle_sql(),
         "op8_quality_rules": quality.ORACLE_SQL,
+        "op11_top_k": block_topk.ORACLE_SQL,
         "op12_vector_codes": vector_codes.oracle_sql(),
         "op13_fill_in_middle": fill_middle.ORACLE_SQL,
     }
