@@ -61,14 +61,14 @@ DULL = {"name", "file", "path", "url", "type", "length", "count", "field", "id",
 PLACEHOLDER = re.compile(r"^(?:x+|\*+|\.+|<.*>|\{\{?.*\}?\}|%.*%|change_?me|example.*|your[_-].*|dummy|test|none|null|true|false|todo|redacted)$", re.IGNORECASE)
 OPERATOR = re.compile(r"=>|:=|(?<![=!<>])=(?!=)|:(?!:)")
 NAME_CHARS = re.compile(r"[\w.$-]")
-LITERAL = re.compile(r"""[ \t]*(?:(?P<q>["'`])(?P<s>(?:\\.|(?!(?P=q))[^\\\n])*)(?P=q)|(?=[^\s"'`,;<>(){}\[\]#]))""")
+LITERAL = re.compile(r"""[ \t]*+(?:(?P<q>["'`])(?P<s>(?:\\.|(?!(?P=q))[^\\\n])*+)(?P=q)|(?=[^\s"'`,;<>(){}\[\]#]))""")
 BARE_END = re.compile(r"""[\s"'`,;<>(){}\[\]#]|$(?!\n)""")
-MORE = re.compile(r"[ \t]*(?:\+|\.\.?)[ \t]*(?=[\"'`\w$])")
+MORE = re.compile(r"[ \t]*+(?:\+|\.\.?+)[ \t]*+(?=[\"'`\w$])")
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-#: What may follow the operator of a nested mapping: a brace, or the end of the line.
-OPENS = re.compile(r"[ \t]*(?:(?P<brace>\{(?!\{))|[ \t]*(?:#[^\n]*)?\r?(?:\n|$))")
+#: What may follow the operator of a nested mapping: a brace, a comment, or the end of the line. Runs here and below are possessive, and a name is read from its beginning only, so that no text makes the search go over a run twice.
+OPENS = re.compile(r"[ \t]*+(?:(?P<brace>\{(?!\{))|#|\r?(?:\n|$))")
 #: A call with a literal as its only or second argument, after the name of what it sets.
-CALL = re.compile(r"""(?:(?P<name>[A-Za-z_][\w.]{0,80})|[A-Za-z_][\w.]{0,80}\([ \t]*["'](?P<key>[\w.-]{1,80})["'][ \t]*,)[ \t]*\(?[ \t]*(?P<q>["'])(?P<s>[^"'\\\n]{6,400})(?P=q)[ \t]*\)""")
+CALL = re.compile(r"""(?<![\w.])(?P<name>[\w.]++)(?:\([ \t]*+["'](?P<key>[\w.-]{1,80}+)["'][ \t]*+,)?[ \t]*+(?:\([ \t]*+)?(?P<q>["'])(?P<s>[^"'\\\n]{6,400}+)(?P=q)[ \t]*+\)""")
 LEAST_SCORE = 0.5
 #: Characters of a joint value by which its strength is judged.
 JUDGED = 256
@@ -120,18 +120,26 @@ class _Node:
 
 
 class _Bare:
-    """Ends of bare literals; places come in ascending order, and one run of characters is searched once."""
+    """Ends of bare literals, and what adjoins another to them; places come in ascending order, and one run of characters is searched once."""
 
     def __init__(self, text: str):
-        self.text, self.start, self.end = text, 0, -1
+        self.text, self.start, self.end, self.last = text, 0, -1, -1
+        self.asked, self.more = -1, None
 
     def end_of(self, start: int) -> int:
         if not self.start <= start < self.end:
             self.start, self.end = start, BARE_END.search(self.text, start).start()
-        end = self.end
-        while end > start and self.text[end - 1] == ".":
-            end -= 1
-        return end
+            self.last = self.end
+            while self.last > start and self.text[self.last - 1] == ".":
+                self.last -= 1
+        return max(start, self.last)
+
+    def more_at(self, at: int) -> int | None:
+        """Where the literal begins that is joined to one ending at `at`."""
+        if at != self.asked:
+            found = MORE.match(self.text, at)
+            self.asked, self.more = at, found and found.end()
+        return self.more
 
 
 def _expression(text: str, at: int, known: dict, runs: _Bare) -> _Node | None:
@@ -152,9 +160,9 @@ def _expression(text: str, at: int, known: dict, runs: _Bare) -> _Node | None:
             parts[part] = None
             if len(value) < JUDGED:
                 value = (value + held)[:JUDGED]
-        if not (more := MORE.match(text, at)):
+        if (more := runs.more_at(at)) is None:
             break
-        at = more.end()
+        at = more
     return _Node(list(parts), value) if parts else None
 
 
@@ -224,7 +232,7 @@ def named_literals(text: str) -> list[tuple[int, int, float]]:
         dull = 0.4 if weight == 0 and _parts(name)[-1:] and _parts(name)[-1] in DULL else 0.8
         found.append((max(weight, dull * above), node))
     for m in CALL.finditer(text) if "(" in text else ():
-        found.append((name_weight(m["name"] or m["key"]), _Node([(m.start("s"), m.end("s"))], m["s"])))
+        found.append((name_weight(m["key"] or m["name"]), _Node([(m.start("s"), m.end("s"))], m["s"])))
     scored = [(w * literal_strength(node.value), node) for w, node in found if w]
     best: dict[tuple[int, int], float] = {}
     # From the best score down, each node's literals are looked up once.

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import duckdb
@@ -250,3 +251,15 @@ def test_languages_of_held_out_documents(spark):
     assert got.where("lang = lang_pred").count() >= 0.98 * got.count()
     und = langid.predict(spark.createDataFrame([(1, "123 !?"), (2, None)], "doc_id long, text string"), langid.learn(docs.limit(50)))
     assert [(r["lang_pred"], r["score"]) for r in und.collect()] == [("und", 0.0)] * 2
+
+
+@pytest.mark.parametrize("mark", list(" \t\"'`()[]{}#.=:\\+-\n\r"))
+def test_a_million_marks_stall_no_text(mark):
+    n = 1_000_000
+    run = mark * n
+    shapes = [f"key:{run}x", f"secret{run}=", f"f(1) name{run}(", f'password("abcdefgh"{run}x', f'f("key"{run}, "v"', "a=" * 1000 + run + "x", f"k: #{mark}" * (n // 10), f"k{mark}=({mark}" * (n // 10)]
+    begun = time.process_time()
+    for text in shapes:
+        assert all(0 <= s < e <= len(text) for _, s, e in secret_scan.find_spans(text)[1])
+    # Tens of seconds and more for a single one of them, if any pattern went over a run twice.
+    assert time.process_time() - begun < 30
