@@ -56,8 +56,8 @@ SMALL = 16
 DEPTH = 2
 #: Tokens that one split samples: a child bucket shares them all.
 TOKENS = 3
-#: Share of equal coordinates from which two texts join a group.
-LIKELY = 0.5625
+#: Share of the allowed misses that the comparison of sketches may take.
+SKETCH_MISSES = 0.2
 #: Texts of a block whose sketches are compared, and whose shingles are; shingles that a block of long texts holds.
 SKETCHES, TEXTS, GRAMS = 1024, 256, 1 << 20
 #: Shingles that one matrix product counts.
@@ -68,12 +68,29 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
+def likely_from(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
+    """Equal coordinates from which two texts join a group: as many as leave hardly any pair at the threshold below."""
+    below = 0.0
+    for k in range(SKETCH + 1):
+        below += math.comb(SKETCH, k) * threshold**k * (1 - threshold) ** (SKETCH - k)
+        if below > SKETCH_MISSES * (1 - recall):
+            return k
+    return SKETCH
+
+
+def children(threshold: float = THRESHOLD) -> tuple[int, float]:
+    """Child buckets that a split makes for sure, and the chance of a further one: on average a pair at the threshold stays together in one."""
+    most = 1 / threshold**TOKENS
+    return int(most), most - int(most)
+
+
 def survival(similarity: float, depth: int, threshold: float = THRESHOLD) -> float:
     """Chance that a pair of that similarity still shares a bucket after a root token and `depth` splits."""
     stay = similarity**TOKENS
-    extra, alive = 1 / threshold**TOKENS - 1, 1.0
+    sure, extra = children(threshold)
+    alive = 1.0
     for _ in range(depth):
-        alive = 1 - (1 - stay * alive) * (1 - extra * stay * alive)
+        alive = 1 - (1 - stay * alive) ** sure * (1 - extra * stay * alive)
     return similarity * alive
 
 
@@ -81,14 +98,15 @@ def runs_for(threshold: float = THRESHOLD, recall: float = RECALL, depth: int =
     """Runs until a pair at the threshold is found with the target probability after all splits.
 
     All runs draw from one sketch, so the miss is a mean over the numbers of
-    coordinates that agree; a pair below LIKELY of them counts as missed.
+    coordinates that agree; a pair below `likely_from` of them counts as missed.
+    A threshold whose target the sketch's coordinates can't meet is refused.
     """
     chance = [math.comb(SKETCH, k) * threshold**k * (1 - threshold) ** (SKETCH - k) for k in range(SKETCH + 1)]
-    seen = [(c, survival(k / SKETCH, depth, threshold)) for k, c in enumerate(chance) if k >= LIKELY * SKETCH]
-    for runs in range(1, SKETCH):
+    seen = [(c, survival(k / SKETCH, depth, threshold)) for k, c in enumerate(chance) if k >= likely_from(threshold, recall)]
+    for runs in range(1, SKETCH + 1):
         if sum(c * (1 - (1 - s) ** runs) for c, s in seen) >= recall:
             return runs
-    return SKETCH
+    raise ValueError(f"{SKETCH} coordinates find less than {recall} of the pairs at {threshold}; take a higher threshold or a lower recall")
 
 
 class _Hashes(dict):
@@ -165,7 +183,7 @@ def _sketches(rows: DataFrame) -> DataFrame:
 
 
 def _agreement(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / F.lit(float(SKETCH))
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
 
 
 def _child(number: int) -> Column:
@@ -257,11 +275,11 @@ def _common(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
 
 def _candidates(texts: DataFrame, threshold: float, recall: float) -> DataFrame:
     """(a, b) edges that connect all vertices which share a bucket and have similar sketches; texts has v, size, mins."""
-    runs = runs_for(threshold, recall)
+    runs, likely_at = runs_for(threshold, recall), likely_from(threshold, recall)
     own = F.transform(F.sequence(F.lit(0), F.lit(runs - 1)), lambda r: F.xxhash64(r, F.get(F.col("mins"), r)))
     level = texts.select("v", F.explode(own).alias("b"))
     few, crowded = None, []
-    extra = 1 / threshold**TOKENS - 1
+    sure, extra = children(threshold)
     for depth in range(DEPTH + 1):
         # Counted with partial sums and stored, so that both sides of the join are plain exchanges, whose hot buckets Spark splits at run time.
         sizes = stored(level.groupBy("b").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
@@ -274,14 +292,15 @@ def _candidates(texts: DataFrame, threshold: float, recall: float) -> DataFrame:
             break
         if depth:
             crowded.append(level.where(F.col("n") <= SMALL))
-        # By the bucket's name: one child, and a second one so often that a pair at the threshold stays together in one on average.
-        twice = F.pmod(F.xxhash64("b", F.lit("twice")), F.lit(10_000)) < int(extra * 10_000)
-        level = large.join(texts.select("v", "mins"), "v").select("v", F.explode(F.when(twice, F.array(_child(0), _child(1))).otherwise(F.array(_child(0)))).alias("b"))
+        # The bucket's name draws whether there is a further child.
+        more = F.pmod(F.xxhash64("b", F.lit("twice")), F.lit(10_000)) < int(extra * 10_000)
+        each = [_child(i) for i in range(sure + 1)]
+        level = large.join(texts.select("v", "mins"), "v").select("v", F.explode(F.when(more, F.array(*each)).otherwise(F.array(*each[:sure]))).alias("b"))
     within = few.select("b", F.col("v").alias("a")).join(few.select("b", F.col("v").alias("c")), "b").where("a < c").select("a", F.col("c").alias("b")).distinct()
     side = texts.select("v", "size", "mins")
     likely = (
         within.join(side.toDF("a", "size_a", "mins_a"), "a").join(side.toDF("b", "size_b", "mins_b"), "b")
-        .where((F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")) & (_agreement(F.col("mins_a"), F.col("mins_b")) >= LIKELY))
+        .where((F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")) & (_agreement(F.col("mins_a"), F.col("mins_b")) >= likely_at))
         .select("a", "b")
     )
 
@@ -294,7 +313,7 @@ def _candidates(texts: DataFrame, threshold: float, recall: float) -> DataFrame:
             for c in range(SKETCH):
                 equal += mins[first, c, None] == mins[None, second, c]
             x, y = size[first, None], size[None, second]
-            root = _roots((equal >= LIKELY * SKETCH) & (np.minimum(x, y) >= threshold * np.maximum(x, y)) & (v[first, None] != v[None, second]), first, second, len(v))
+            root = _roots((equal >= likely_at) & (np.minimum(x, y) >= threshold * np.maximum(x, y)) & (v[first, None] != v[None, second]), first, second, len(v))
             moved = root != np.arange(len(v))
             yield pd.DataFrame({"a": v[moved], "b": v[root[moved]]})
 
@@ -308,7 +327,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, threshold: fl
 
     Groups are the components of the pairs; all pairs of a group are compared.
     """
-    groups = components(pairs).join(texts.select("v", "rep", "size"), "v")
+    groups = components(pairs).join(texts.select("v", *KEY, "size"), "v")
     sizes = groups.groupBy("label").agg(F.count("*").alias("n"), F.max("size").alias("most"))
     per = F.least(F.lit(TEXTS), F.greatest(F.lit(8), (F.lit(GRAMS) / F.col("most")).cast("long")))
     groups = stored(groups.join(sizes.select("label", F.ceil(F.col("n") / per).cast("long").alias("k")), "label"), "groups")
@@ -316,12 +335,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, threshold: fl
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             words = [words_list(t) for t in pdf["text"]]
-            # Rows of one id may differ in their texts.
+            # Keys are hashes.
             own = np.array([_vertex(" ".join(w)) for w in words], np.int64) == pdf["v"].to_numpy()
             yield pd.DataFrame({"v": pdf["v"].to_numpy(), "grams": [shingles(w).tobytes() for w in words]})[own]
 
-    chosen = groups.select("v", "rep")
-    whole = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("rep"))).select("v", "text").mapInPandas(cut, "v long, grams binary").dropDuplicates(["v"])
+    # One row stands for a text, told by its key: rows that share an id, or have none, don't meet.
+    whole = docs.join(groups.select("v", *KEY), [*KEY]).select("v", "text").mapInPandas(cut, "v long, grams binary").dropDuplicates(["v"])
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _by_block(batches):
@@ -365,12 +384,20 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+#: A 128-bit hash of id and text tells rows apart.
+KEY = ("key0", "key1")
+
+
+def _keyed(doc_id: str, text: str) -> list[Column]:
+    return [F.xxhash64(F.lit(i), F.col(doc_id).isNull(), F.col(doc_id), F.col(text).isNull(), F.col(text)).alias(k) for i, k in enumerate(KEY)]
+
+
 def links(rows: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
-    """(members, links) of rows with doc_id and text: the rows with their vertex for the text; counted links between different texts as `_verified` returns them."""
+    """(members, links) of rows with doc_id, text and the columns of KEY: the rows with their vertex for the text; counted links between different texts as `_verified` returns them."""
     members = stored(_sketches(rows), "sketches")
-    texts = members.where("mins IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("mins").alias("mins"))
+    texts = members.where("mins IS NOT NULL").groupBy("v").agg(F.min(F.struct(*KEY)).alias("key"), F.first("size").alias("size"), F.first("mins").alias("mins")).select("v", *[f"key.{k}" for k in KEY], "size", "mins")
     texts = stored(texts, "texts")
-    found = stored(_verified(_candidates(texts, threshold, recall), texts, rows.select("doc_id", "text"), threshold), "links")
+    found = stored(_verified(_candidates(texts, threshold, recall), texts, rows.select(*KEY, "text"), threshold), "links")
     return members.drop("size", "mins"), found
 
 
@@ -380,7 +407,7 @@ def _labels(found: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row for each document: doc_id, class_id, class_size, n_copies (documents of its text) and n_links (different texts linked to its text)."""
-    members, found = links(docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")), threshold, recall)
+    members, found = links(docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"), *_keyed(doc_id, text)), threshold, recall)
     degree = found.groupBy("v").agg(F.sum("n").alias("n_links"))
     copies = members.groupBy("v").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("low"))
     vertices = checkpointed(copies.join(_labels(found), "v", "left").join(degree, "v", "left").select("v", "n_copies", "low", F.coalesce("label", "v").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
@@ -398,8 +425,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     once. Rows of one key are united before they are dealt; of those, which
     differ in other columns at most, any one may stay.
     """
-    key = [F.xxhash64(F.lit(i), F.col(doc_id).isNull(), F.col(doc_id), F.col(text).isNull(), F.col(text)).alias(f"key{i}") for i in range(2)]
-    names = ["key0", "key1"]
+    key, names = _keyed(doc_id, text), [*KEY]
     members, found = links(docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"), *key), threshold, recall)
     first = members.groupBy("v").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *names)).alias("row"))
     left = first.join(_labels(found), "v", "left").groupBy(F.coalesce("label", "v").alias("label")).agg(F.min("row").alias("row")).select("row.key0", "row.key1")

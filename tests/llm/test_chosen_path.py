@@ -4,6 +4,7 @@ from math import comb
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from provgraph.llm import chosen_path
 
@@ -65,7 +66,8 @@ def test_common_shingles_agree_with_sets(monkeypatch):
 def test_runs_count_every_miss():
     n, p = chosen_path.SKETCH, chosen_path.THRESHOLD
     chance = [comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)]
-    least = int(np.ceil(chosen_path.LIKELY * n))
+    least = chosen_path.likely_from()
+    assert sum(chance[:least]) <= 0.001 < sum(chance[: least + 1])
     miss = sum(chance[:least]) + sum(c * (1 - chosen_path.survival(k / n, chosen_path.DEPTH)) ** chosen_path.runs_for() for k, c in enumerate(chance) if k >= least)
     assert miss <= 1 - chosen_path.RECALL
 
@@ -94,3 +96,36 @@ def test_one_row_of_each_class_stays(spark):
     assert chosen_path.deduplicated(docs.limit(0)).collect() == []
     big = 2**62 + 1  # ids pass through unharmed beside nulls
     assert {r["doc_id"] for r in chosen_path.near_duplicates(spark.createDataFrame([(big, "a b"), (None, "c")], "doc_id long, text string")).collect()} == {big, None}
+
+
+def test_unmet_targets_are_refused():
+    assert chosen_path.runs_for() == 18 and chosen_path.likely_from() == 18
+    for threshold in (0.6, 0.5):
+        with pytest.raises(ValueError, match="coordinates find less"):
+            chosen_path.runs_for(threshold)
+    assert chosen_path.runs_for(0.95) < chosen_path.runs_for(0.85) < 18
+    sure, extra = chosen_path.children(0.7)
+    assert sure == 2 and 0.9 < extra < 1  # as many children as pairs at the threshold need
+
+
+def test_rows_without_an_id_do_not_meet(spark):
+    """5,000 rows that share a missing id: work in proportion to the rows, and the links of rows with ids."""
+    rng = np.random.default_rng(4)
+    base = [[f"b{k}x{i}" for i in range(60)] for k in range(25)]
+    texts = [" ".join(_changed(base[i % 25], {int(rng.integers(0, 60))} if i % 2 else set(), f"t{i}")) for i in range(5000)]
+    known = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    without = known.select(F.lit(None).cast("long").alias("doc_id"), "text")
+    joined = []
+    plain = chosen_path._verified
+
+    def watched(pairs, rows, docs, threshold):
+        joined.append(docs.join(rows.select(*chosen_path.KEY), [*chosen_path.KEY]).count())
+        return plain(pairs, rows, docs, threshold)
+
+    chosen_path._verified = watched
+    try:
+        tally = lambda docs: sorted(map(tuple, chosen_path.near_duplicates(docs).groupBy("class_size", "n_copies", "n_links").count().collect()))
+        assert tally(without) == tally(known)
+    finally:
+        chosen_path._verified = plain
+    assert max(joined) <= 2 * len(texts)
