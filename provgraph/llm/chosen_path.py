@@ -340,7 +340,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, docs: DataFrame, threshold: fl
             yield pd.DataFrame({"v": pdf["v"].to_numpy(), "grams": [shingles(w).tobytes() for w in words]})[own]
 
     # One row stands for a text, told by its key: rows that share an id, or have none, don't meet.
-    whole = docs.join(groups.select("v", *KEY), [*KEY]).select("v", "text").mapInPandas(cut, "v long, grams binary").dropDuplicates(["v"])
+    # The side grows with the documents, so it is never sent to all tasks, not even while it is small.
+    whole = docs.join(groups.select("v", *KEY).hint("merge"), [*KEY]).select("v", "text").mapInPandas(cut, "v long, grams binary").dropDuplicates(["v"])
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _by_block(batches):
