@@ -20,8 +20,8 @@ from provgraph.functions.schemas import COMMON, ENDPOINTS, PROPS, VALUE
 from provgraph.functions.text import canon_qualifiers, encode_pairs, float_text, join_ids, optional_time, required_time, sorted_ids, text
 from provgraph.operators.kinds import DERIVED, KINDS, TYPES, Kind
 
-#: Ordinals: phase (0 for the packages' own pass), then the row's item, then the place among its records.
-PHASE, PLACE = 1 << 56, 1 << 10
+#: Ordinals: phase (0 for the packages' own pass), then the row's item (below 2^48), then the place among its records.
+PHASE, PLACE = 1 << 58, 1 << 10
 LABELS = {"src": "SrcName", "artifact": "Artifact", "builder": "Builder", "vulnerability": "Vulnerability", "license": "License"}
 
 

@@ -9,9 +9,9 @@ validity matter (`as_of`).
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
-from datetime import datetime
+from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provgraph.operators.assemble import EvidenceGraph, Graph
@@ -92,6 +92,67 @@ def path(graph: Graph | EvidenceGraph, name: str, label: str, only: Column | Non
     return Path(graph, instant, nodes.select(F.col("id").alias(name)), name)
 
 
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows with the intervals valid_* and other_* as their common part; those without one go. Null bounds are open."""
+    begins, ends = F.greatest("valid_from", "other_from"), F.least("valid_to", "other_to")
+    rows = rows.withColumns({"valid_from": begins, "valid_to": ends}).drop("other_from", "other_to")
+    return rows.where(F.coalesce(F.col("valid_from") < F.col("valid_to"), F.lit(True)))
+
+
+def coalesced(rows: DataFrame) -> DataFrame:
+    """Rows with valid_from and valid_to: for equal rows, intervals that overlap or meet as one (gaps and islands)."""
+    names = [c for c in rows.columns if c not in ("valid_from", "valid_to")]
+    far = F.lit(datetime(9999, 12, 31, tzinfo=UTC)).cast("timestamp")
+    own = Window.partitionBy(*names).orderBy(F.asc_nulls_first("valid_from"), F.asc_nulls_last("valid_to"))
+    reached = F.max(F.coalesce("valid_to", far)).over(own.rowsBetween(Window.unboundedPreceding, -1))
+    begun = rows.withColumn("begins", F.coalesce((F.col("valid_from") > reached).cast("int"), F.when(reached.isNull(), 1).otherwise(0)))
+    island = begun.withColumn("island", F.sum("begins").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = F.max(F.coalesce("valid_to", far)).alias("valid_to")
+    # min leaves nulls out, so an open beginning is looked for.
+    begin = F.when(~F.bool_or(F.col("valid_from").isNull()), F.min("valid_from")).alias("valid_from")
+    return island.groupBy(*names, "island").agg(begin, ends).select(*names, "valid_from", F.when(F.col("valid_to") < far, F.col("valid_to")).alias("valid_to"))
+
+
+@dataclass(frozen=True)
+class Timeline:
+    """Paths with the times at which all of their records hold: each row is a binding and an interval."""
+
+    graph: Graph
+    system: Instant
+    rows: DataFrame
+    at: str
+
+    def _records(self, rows: DataFrame, **names: str) -> DataFrame:
+        held = self.system.holds(rows)
+        return held.select(*[F.col(c).alias(n) for c, n in names.items()], F.col("valid_from").alias("other_from"), F.col("valid_to").alias("other_to"))
+
+    def _hop(self, label: str, near: str, far: str, name: str) -> Timeline:
+        rows = _met(self.rows.join(self._records(self.graph.edges_of(label), **{near: self.at, far: name}), self.at))
+        return replace(self, rows=_met(rows.join(self._records(self.graph.nodes, id=name), name)), at=name)
+
+    def out(self, label: str, name: str) -> Timeline:
+        return self._hop(label, "src", "dst", name)
+
+    def into(self, label: str, name: str) -> Timeline:
+        return self._hop(label, "dst", "src", name)
+
+    def all(self) -> DataFrame:
+        """Every binding with all of its intervals, valid_from to valid_to (null: open)."""
+        return coalesced(self.rows)
+
+    def between(self, start: datetime, end: datetime, closed: bool = False) -> DataFrame:
+        """Those intervals that hold at some time of a range."""
+        return overlapping(self.all(), start, end, closed)
+
+
+def timeline(graph: Graph, name: str, label: str, only: Column | None = None, system: datetime | None = None) -> Timeline:
+    """Paths over all valid times that start at nodes of a label, as known at a system time (None: now). Nodes and edges have the columns of a store."""
+    known = Instant(None, system)
+    nodes = known.holds(graph.nodes_of(label))
+    nodes = nodes if only is None else nodes.where(only)
+    return Timeline(graph, known, nodes.select(F.col("id").alias(name), "valid_from", "valid_to"), name)
+
+
 #: Packages with a finding that are sent to all tasks; beyond that the join is a shuffle.
 FEW = 100_000
 

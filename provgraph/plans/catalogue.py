@@ -18,7 +18,7 @@ from provgraph.operators import assemble as A
 from provgraph.operators import match as Q
 from provgraph.operators import merge as M
 from provgraph.operators import sinks as S
-from provgraph.plans import enrichment, lens
+from provgraph.plans import enrichment, lens, streams
 from provgraph.plans import oracle as O
 from provgraph.plans.lens import GUARD
 from provgraph.sources import documents as D
@@ -328,8 +328,8 @@ def ndjson_edge_lines(spark, d):
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES) | enrichment.queries()
+    return dict(_QUERIES) | enrichment.queries() | streams.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL) | enrichment.oracle_sql()
+    return dict(_SQL) | enrichment.oracle_sql() | streams.oracle_sql()

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from provgraph import shared
 from provgraph.functions import ids
 from provgraph.functions.schemas import ARTIFACT, BUILDER, LICENSE, PACKAGE, PAIRS, SOURCE, VULNERABILITY
 from provgraph.functions.text import text
@@ -22,12 +24,15 @@ OPENVEX = "struct<`@context`:string,timestamp:string,statements:array<struct<vul
 
 
 def files(spark: SparkSession, *paths: str) -> DataFrame:
-    """Every file under the paths, whatever its name: path, content, digest of the bytes, and the receiver's rank."""
-    parts = [spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p).withColumn("receiver", F.lit(i)) for i, p in enumerate(paths)]
+    """Every file under the paths, whatever its name: path, content, digest of the bytes, its time, and the receiver's rank (the place of its path here)."""
+    parts = [
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p).withColumn("receiver", F.lit(i))
+        for i, p in enumerate(paths)
+    ]
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p)
-    return digested(df.select("path", "content", "receiver"))
+    return digested(df.select("path", "content", "receiver", F.col("modificationTime").alias("arrived")))
 
 
 #: Manifests are smaller by the format's own rule; larger blobs are image layers or documents.
@@ -54,13 +59,49 @@ def image_layout(spark: SparkSession, path: str, *refs: str, receiver: int = 0)
     manifests = blobs.where(F.col("length") <= MANIFEST_BYTES).select(F.from_json(_utf8("content"), MANIFEST).alias("m"))
     attached = manifests.join(images.select("image").distinct(), F.col("m.subject.digest") == F.col("image"), "left_semi")
     layers = attached.select(F.explode("m.layers").alias("l")).where(F.col("l.mediaType").rlike(DOCUMENT_TYPES)).select(F.col("l.digest").alias("blob"))
-    return digested(blobs.join(layers, "blob", "left_semi").select("path", "content", F.lit(receiver).alias("receiver")))
+    found = blobs.join(layers, "blob", "left_semi")
+    return digested(found.select("path", "content", F.lit(receiver).alias("receiver"), F.col("modificationTime").alias("arrived")))
 
 
 def stream(spark: SparkSession, path: str, per_trigger: int = 1000) -> DataFrame:
     """The same as a stream; files that are there once are read once."""
     df = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", per_trigger).load(path)
-    return digested(df.select("path", "content", F.lit(0).alias("receiver")))
+    return digested(df.select("path", "content", F.lit(0).alias("receiver"), F.col("modificationTime").alias("arrived")))
+
+
+#: What documents arrive by: the receivers' fixed order, then time, then path.
+ARRIVAL = ("receiver", "arrived", "path")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with seq: the bytes of all documents that arrived before.
+
+    A document has fewer places than bytes, so seq + place orders the records of
+    all documents as they arrived, however many there are. Two passes: documents
+    are sorted into ranges, bytes are added up within each range, and the ranges'
+    totals (one number each, at the driver) give where a range begins. No task
+    sees more than a range, and the ranges are written down, because another
+    attempt could draw other bounds. Documents need receiver, arrived (null: first)
+    and path, which is unique within a receiver.
+    """
+    spark = docs.sparkSession
+    docs = docs if "arrived" in docs.columns else docs.withColumn("arrived", F.lit(None).cast("timestamp"))
+    keys = docs.select(*ARRIVAL, F.octet_length("content").cast("long").alias("bytes"))
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = keys.repartitionByRange(ranges, *ARRIVAL).withColumn("range", F.spark_partition_id())
+    dealt, _ = shared.kept(dealt, "arrivals")
+    before, begins = 0, []
+    for r in sorted(dealt.groupBy("range").agg(F.sum("bytes").alias("bytes")).collect()):
+        begins.append((r["range"], before))
+        before += r["bytes"]
+    if before >= 1 << 48:
+        raise ValueError("a run takes up to 2^48 bytes of documents")
+    offsets = spark.createDataFrame(begins, "range int, begins long")
+    own = Window.partitionBy("range").orderBy(*ARRIVAL).rowsBetween(Window.unboundedPreceding, -1)
+    within = dealt.withColumn("within", F.coalesce(F.sum("bytes").over(own), F.lit(0)))
+    # One row for each range.
+    seq = within.join(F.broadcast(offsets), "range").select("receiver", "path", (F.col("begins") + F.col("within")).alias("seq"))
+    return docs.join(seq, ["receiver", "path"])
 
 
 def digested(df: DataFrame) -> DataFrame:
@@ -73,13 +114,11 @@ def _utf8(content: str) -> Column:
 
 
 def sniffed(docs: DataFrame) -> DataFrame:
-    """`docs` with raw text, a number that orders its records, and format: spdx, cyclonedx, in-toto, openvex, scorecard, or null with the reason.
+    """`docs` with raw text and format: spdx, cyclonedx, in-toto, openvex, scorecard, or null with the reason.
 
-    Signed envelopes are opened; their signatures aren't checked. Numbers come
-    from receivers and paths, so that a run repeated in other tasks gives the
-    same first statement of a record.
+    Signed envelopes are opened; their signatures aren't checked.
     """
-    df = docs.withColumns({"raw": _utf8("content"), "seq": F.pmod(F.xxhash64("receiver", "path"), F.lit(1 << 30))})
+    df = docs.withColumn("raw", _utf8("content"))
     payload = F.get_json_object("raw", "$.payload")
     opened = F.when(F.get_json_object("raw", "$.payloadType").isNotNull() & payload.isNotNull(), F.try_validate_utf8(F.try_to_binary(payload, F.lit("base64")).cast("string"))).otherwise(F.col("raw"))
     # A generator of one row keeps the text from being worked out again wherever it is named.
@@ -119,8 +158,8 @@ def _named_package(name: Column, version: Column) -> Column:
 
 
 def _signed(df: DataFrame, collector: str = "FileCollector", **columns: Column) -> DataFrame:
-    """Rows with where they come from; records are ordered by the document's number and the place in it."""
-    item = F.col("seq") * (1 << 16) + F.least(F.col("pos"), F.lit((1 << 16) - 1))
+    """Rows with where they come from; records are ordered by their documents' arrival and the place in them."""
+    item = F.col("seq") + F.col("pos")
     base = {"doc": F.col("path"), "origin": F.concat(F.lit("file:///"), F.col("path")), "collector": F.lit(collector), "documentRef": F.concat(F.lit("sha256_"), F.col("digest")), "item": item}
     return df.select(*[c.alias(n) for n, c in (base | columns).items()])
 
@@ -128,8 +167,13 @@ def _signed(df: DataFrame, collector: str = "FileCollector", **columns: Column)
 WHERE = ("path", "digest", "seq")
 
 
+def _where(docs: DataFrame) -> list[str]:
+    """Columns that tell a document; its number only where documents are numbered."""
+    return [c for c in WHERE if c in docs.columns]
+
+
 def _of(docs: DataFrame, form: str, schema: str) -> DataFrame:
-    return docs.where((F.col("format") == form) & F.col("error").isNull()).select(*WHERE, F.from_json("raw", schema).alias("d"))
+    return docs.where((F.col("format") == form) & F.col("error").isNull()).select(*_where(docs), F.from_json("raw", schema).alias("d"))
 
 
 def _list(column: Column | str, kind: str) -> Column:
@@ -139,12 +183,12 @@ def _list(column: Column | str, kind: str) -> Column:
 def spdx_packages(docs: DataFrame) -> DataFrame:
     """One row for each package of the SPDX documents, in place: created, spdx_id, pkg, supplier, licences, checksums, purl (the last counts), and whether the document describes it."""
     d = _of(docs, "spdx", SPDX)
-    each = d.select(*WHERE, F.col("d.documentNamespace").alias("uri"), F.try_to_timestamp("d.creationInfo.created").alias("created"), _list("d.documentDescribes", "array<string>").alias("described"), F.posexplode("d.packages").alias("pos", "p"))
+    each = d.select(*_where(docs), F.col("d.documentNamespace").alias("uri"), F.try_to_timestamp("d.creationInfo.created").alias("created"), _list("d.documentDescribes", "array<string>").alias("described"), F.posexplode("d.packages").alias("pos", "p"))
     purls = F.transform(F.filter(_list("p.externalRefs", _REF), lambda r: r["referenceType"] == "purl"), lambda r: r["referenceLocator"])
     last = F.get(purls, F.size(purls) - 1)
     pkg = F.coalesce(parsed_purl(last), _named_package(F.col("p.name"), F.col("p.versionInfo")))
     hashes = F.transform(_list("p.checksums", "array<struct<algorithm:string,checksumValue:string>>"), lambda c: F.struct(c["algorithm"], c["checksumValue"]).cast(ARTIFACT))
-    return each.select(*WHERE, "pos", "uri", "created", F.col("p.SPDXID").alias("spdx_id"), pkg.alias("pkg"), F.col("p.supplier").alias("supplier"), F.col("p.licenseDeclared").alias("declared"), F.col("p.licenseConcluded").alias("concluded"), F.col("p.copyrightText").alias("copyright"), hashes.alias("hashes"), last.alias("purl"), F.array_contains("described", F.col("p.SPDXID")).alias("described"))
+    return each.select(*_where(docs), "pos", "uri", "created", F.col("p.SPDXID").alias("spdx_id"), pkg.alias("pkg"), F.col("p.supplier").alias("supplier"), F.col("p.licenseDeclared").alias("declared"), F.col("p.licenseConcluded").alias("concluded"), F.col("p.copyrightText").alias("copyright"), hashes.alias("hashes"), last.alias("purl"), F.array_contains("described", F.col("p.SPDXID")).alias("described"))
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -152,17 +196,19 @@ def components(docs: DataFrame) -> DataFrame:
 
     Levels are read until one is empty, each with a job of its own. `place` (the
     positions on the way down) puts a document's components in pre-order; `pos`
-    is that order within a level.
+    numbers them in that order.
     """
-    level = _of(docs, "cyclonedx", CYCLONEDX).select(*WHERE, F.try_to_timestamp("d.metadata.timestamp").alias("at"), F.array().cast("array<int>").alias("place"), F.posexplode("d.components").alias("pos", "c"))
+    level = _of(docs, "cyclonedx", CYCLONEDX).select(*_where(docs), F.try_to_timestamp("d.metadata.timestamp").alias("at"), F.array().cast("array<int>").alias("place"), F.posexplode("d.components").alias("pos", "c"))
     out, depth = None, 0
     while out is None or not level.isEmpty():
         level = level.withColumns({"c": F.from_json("c", COMPONENT), "place": F.concat("place", F.array("pos"))})
         hashes = F.transform(_list("c.hashes", "array<struct<alg:string,content:string>>"), lambda c: F.struct(F.replace(c["alg"], F.lit("-"), F.lit("")), c["content"]).cast(ARTIFACT))
-        rows = level.select(*WHERE, "at", "pos", "place", F.lit(depth).alias("depth"), F.col("c.bom-ref").alias("ref"), "c.purl", "c.name", "c.version", F.col("c.supplier.name").alias("supplier"), hashes.alias("hashes"))
+        rows = level.select(*_where(docs), "at", "place", F.lit(depth).alias("depth"), F.col("c.bom-ref").alias("ref"), "c.purl", "c.name", "c.version", F.col("c.supplier.name").alias("supplier"), hashes.alias("hashes"))
         out = rows if out is None else out.unionByName(rows)
-        level = level.select(*WHERE, "at", "place", F.posexplode("c.components").alias("pos", "c"))
+        level = level.select(*_where(docs), "at", "place", F.posexplode("c.components").alias("pos", "c"))
         depth += 1
+    # A window for each document, whose components a task holds anyway.
+    out = out.withColumn("pos", F.row_number().over(Window.partitionBy("path").orderBy("place")) - 1)
     return out.withColumn("pkg", F.coalesce(parsed_purl(F.col("purl")), _named_package(F.col("name"), F.col("version"))))
 
 
@@ -279,7 +325,8 @@ def _ratings(docs: DataFrame) -> DataFrame:
 
 
 def evidence_tables(docs: DataFrame) -> dict[str, DataFrame]:
-    """Evidence tables of sniffed documents."""
+    """Evidence tables of sniffed documents, which are numbered by arrival first where they aren't yet."""
+    docs = docs if "seq" in docs.columns else numbered(docs)
     packages, parts = spdx_packages(docs), components(docs)
     affected = _of(docs, "cyclonedx", CYCLONEDX).select(*WHERE, F.try_to_timestamp("d.metadata.timestamp").alias("at"), F.posexplode("d.vulnerabilities").alias("pos", "v")).select(*WHERE, "at", "pos", "v", F.explode("v.affects.ref").alias("ref"))
     affected = affected.join(parts.select("path", "ref", "pkg"), ["path", "ref"])

@@ -1,24 +1,28 @@
 """Batch and streaming runs: documents to a bitemporal store.
 
-A run's time is one literal. Streams go by micro-batches into the store, whose
-upsert is keyed by id, so that a replayed batch changes nothing: delivery at
-least once, effect once. Late documents only lower valid times; there is no
-watermark.
+A batch's time is one literal. Streams go by micro-batches into the store, whose
+commits remember the stream and the number of its last batch: a batch that is
+delivered again, after whatever crash, is recognised and changes nothing. Late
+documents only lower valid times; there is no watermark.
 """
 
 from __future__ import annotations
 
+import json
 import time
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from datetime import UTC, datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from provgraph.metrics import Metrics
 from provgraph.operators.assemble import Graph, Guard, assemble
 from provgraph.operators.merge import merge
 from provgraph.operators.store import Store
-from provgraph.sources.documents import evidence_tables, failed, sniffed, stream
+from provgraph.sources.documents import evidence_tables, failed, numbered, sniffed, stream
 
 
 @dataclass(frozen=True)
@@ -33,13 +37,16 @@ def graph_of(docs: DataFrame, guard: Guard) -> Graph:
     return merge(assemble(evidence_tables(docs), guard))
 
 
-def run_batch(docs: DataFrame, store: Store, guard: Guard, metrics: Metrics | None = None) -> Receipt:
-    """One upsert for all documents; those that can't be read are counted and left out. Documents are parsed and merged once."""
-    docs = sniffed(docs).persist(StorageLevel.DISK_ONLY)
+def run_batch(docs: DataFrame, store: Store, guard: Guard, metrics: Metrics | None = None, source: str | None = None, batch: int = 0) -> Receipt:
+    """One upsert for all documents; those that can't be read are counted and left out. Documents are parsed and merged once.
+
+    `source` and `batch` name a delivery that may come again (see `Store.write`).
+    """
+    docs = numbered(sniffed(docs)).persist(StorageLevel.DISK_ONLY)
     graph = graph_of(docs, guard)
     nodes, edges = (df.drop("ord").persist(StorageLevel.DISK_ONLY) for df in (graph.nodes, graph.edges))
     try:
-        store.write({"nodes": nodes, "edges": edges}, guard.now)
+        store.write({"nodes": nodes, "edges": edges}, guard.now, source, batch)
         receipt = Receipt(docs.count(), failed(docs).count(), nodes.count(), edges.count())
     finally:
         for df in (nodes, edges, docs):
@@ -52,17 +59,25 @@ def run_batch(docs: DataFrame, store: Store, guard: Guard, metrics: Metrics | No
     return receipt
 
 
-def run_stream(spark: SparkSession, path: str, checkpoint: str, store: Store, guard: Guard, per_trigger: int = 1000, once: bool = True, metrics: Metrics | None = None):
-    """A streaming query over a folder; with `once` it ends when all files that are there have been read."""
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name that a stream keeps over its restarts, as its checkpoint holds it; a stream that begins anew has another."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
+
+
+def run_stream(
+    spark: SparkSession, path: str, checkpoint: str, store: Store, guard: Guard, per_trigger: int = 1000, once: bool = True,
+    metrics: Metrics | None = None, clock: Callable[[], datetime] = lambda: datetime.now(UTC),
+) -> StreamingQuery:
+    """A streaming query over a folder; with `once` it ends when all files that are there have been read. Each batch has its own time."""
 
-    def deliver(docs: DataFrame, _: int) -> None:
-        run_batch(docs, store, guard, metrics)
+    def deliver(docs: DataFrame, batch: int) -> None:
+        run_batch(docs, store, replace(guard, now=clock()), metrics, _stream_id(spark, checkpoint), batch)
 
     writer = stream(spark, path, per_trigger).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="2 seconds")).start()
 
 
-def drain(query, seconds: float = 30.0) -> bool:
+def drain(query: StreamingQuery, seconds: float = 30.0) -> bool:
     """Let a query finish the documents it has taken, then stop it; whether it was idle in time."""
     end = time.monotonic() + seconds
     while query.isActive and query.status["isTriggerActive"] and time.monotonic() < end:
