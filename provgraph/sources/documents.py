@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -65,7 +67,8 @@ def image_layout(spark: SparkSession, path: str, *refs: str, receiver: int = 0)
 
 def stream(spark: SparkSession, path: str, per_trigger: int = 1000) -> DataFrame:
     """The same as a stream; files that are there once are read once."""
-    df = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", per_trigger).load(path)
+    files_ = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    df = files_.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", per_trigger).load(path)
     return digested(df.select("path", "content", F.lit(0).alias("receiver"), F.col("modificationTime").alias("arrived")))
 
 
@@ -324,10 +327,34 @@ def _ratings(docs: DataFrame) -> DataFrame:
     return _signed(each, vulnerability=_vulnerability(F.col("v.id")), scoreType=text(F.col("r.method")), scoreValue=F.col("r.score"), timestamp=F.col("at"))
 
 
-def evidence_tables(docs: DataFrame) -> dict[str, DataFrame]:
-    """Evidence tables of sniffed documents, which are numbered by arrival first where they aren't yet."""
+#: Formats that each kind of evidence is read from.
+FORMATS = {
+    "HasSBOM": ("spdx", "cyclonedx"),
+    "IsDependency": ("spdx", "cyclonedx"),
+    "IsOccurrence": ("spdx", "cyclonedx"),
+    "CertifyLegal": ("spdx",),
+    "CertifyVuln": ("in-toto",),
+    "CertifyScorecard": ("scorecard",),
+    "HasSlsa": ("in-toto",),
+    "Vex": ("openvex", "cyclonedx"),
+    "VulnMetadata": ("cyclonedx",),
+}
+
+
+def evidence_tables(docs: DataFrame, formats: set[str] | None = None) -> dict[str, DataFrame]:
+    """Evidence tables of sniffed documents, which are numbered by arrival first where they aren't yet.
+
+    With `formats`, those that the documents have, tables that none of them can
+    fill are left out, and so is what reads other formats.
+    """
     docs = docs if "seq" in docs.columns else numbered(docs)
-    packages, parts = spdx_packages(docs), components(docs)
+    wanted = set().union(*FORMATS.values()) if formats is None else formats
+    tables = _evidence(docs, lambda form: docs if form in wanted else docs.where(F.lit(False)))
+    return {kind: rows for kind, rows in tables.items() if wanted & set(FORMATS[kind])}
+
+
+def _evidence(docs: DataFrame, of: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+    packages, parts = spdx_packages(of("spdx")), components(of("cyclonedx"))
     affected = _of(docs, "cyclonedx", CYCLONEDX).select(*WHERE, F.try_to_timestamp("d.metadata.timestamp").alias("at"), F.posexplode("d.vulnerabilities").alias("pos", "v")).select(*WHERE, "at", "pos", "v", F.explode("v.affects.ref").alias("ref"))
     affected = affected.join(parts.select("path", "ref", "pkg"), ["path", "ref"])
     return {

@@ -14,10 +14,10 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from provgraph import shared
 from provgraph.metrics import Metrics
 from provgraph.operators.assemble import Graph, Guard, assemble
 from provgraph.operators.merge import merge
@@ -33,24 +33,35 @@ class Receipt:
     edges: int
 
 
-def graph_of(docs: DataFrame, guard: Guard) -> Graph:
-    return merge(assemble(evidence_tables(docs), guard))
+def graph_of(docs: DataFrame, guard: Guard) -> Graph | None:
+    """The graph of stored, sniffed documents; none if no document can be read."""
+    formats = {r[0] for r in docs.where("error IS NULL").select("format").distinct().collect()}
+    return merge(assemble(evidence_tables(docs, formats), guard)) if formats else None
 
 
 def run_batch(docs: DataFrame, store: Store, guard: Guard, metrics: Metrics | None = None, source: str | None = None, batch: int = 0) -> Receipt:
-    """One upsert for all documents; those that can't be read are counted and left out. Documents are parsed and merged once.
+    """One upsert for all documents; those that can't be read are counted and left out.
 
-    `source` and `batch` name a delivery that may come again (see `Store.write`).
+    Documents are read once, and their graph is made once: both are tables of
+    the shared folder until the batch ends. `source` and `batch` name a delivery
+    that may come again (see `Store.write`); one that the store holds already
+    isn't read at all.
     """
-    docs = numbered(sniffed(docs)).persist(StorageLevel.DISK_ONLY)
-    graph = graph_of(docs, guard)
-    nodes, edges = (df.drop("ord").persist(StorageLevel.DISK_ONLY) for df in (graph.nodes, graph.edges))
+    spark = docs.sparkSession
+    if source is not None and store.state().sources.get(source, -1) >= batch:
+        return Receipt(0, 0, 0, 0)
+    stored, path = shared.kept(numbered(sniffed(docs)), "documents")
+    paths = [path]
     try:
-        store.write({"nodes": nodes, "edges": edges}, guard.now, source, batch)
-        receipt = Receipt(docs.count(), failed(docs).count(), nodes.count(), edges.count())
+        graph, tables = graph_of(stored, guard), {}
+        for name in ("nodes", "edges") if graph else ():
+            tables[name], path = shared.kept(getattr(graph, name).drop("ord"), name)
+            paths.append(path)
+        store.write(tables, guard.now, source, batch)
+        size = lambda name: tables[name].count() if name in tables else 0
+        receipt = Receipt(stored.count(), failed(stored).count(), size("nodes"), size("edges"))
     finally:
-        for df in (nodes, edges, docs):
-            df.unpersist()
+        shared.removed(spark, *paths)
     if metrics is not None:
         metrics.add("documents", receipt.documents - receipt.failed, outcome="ingested")
         metrics.add("documents", receipt.failed, outcome="skipped")
