@@ -54,9 +54,21 @@ def prop_text(props: Column, key: str, numbers: bool = False) -> Column:
     return F.when(v["kind"] == "s", v["s"]).when(v["kind"] == "f", float_text(v["f"], "f")).when(v["kind"] == "i", v["i"].cast("string")) if numbers else v["s"]
 
 
+#: How a number is written (decimal, hexadecimal with its exponent, or a name); nothing may stand around it.
+DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+HEXADECIMAL = r"^[+-]?0[xX](_?[0-9a-fA-F]+)*(\.[0-9a-fA-F]*)?(?<=[0-9a-fA-F.])(?<![xX]\.)[pP][+-]?[0-9]+$"
+NAMED_NUMBER = r"^([+-]?(?i:inf|infinity)|(?i:nan))$"
+
+
+def is_number(value: Column) -> Column:
+    """Whether a text is a floating-point number in the reach of 64 bits."""
+    size = F.abs(F.when(value.rlike(DECIMAL), value).try_cast("double"))
+    return F.coalesce((size < F.lit(float("inf"))) | value.rlike(HEXADECIMAL) | value.rlike(NAMED_NUMBER), F.lit(False))
+
+
 def first_cvss(severities: Column) -> Column:
-    """First severity (system, score, vector) of a CVSS system with a numeric score."""
-    return F.get(F.filter(severities, lambda s: F.lower(s["system"]).startswith("cvssv") & F.try_to_number(text(s["score"]), F.lit("999D999999")).isNotNull()), F.lit(0))
+    """First severity (system, score, vector) whose system begins with cvssv, as written, and whose score is a number."""
+    return F.get(F.filter(severities, lambda s: F.coalesce(s["system"].startswith("cvssv"), F.lit(False)) & is_number(text(s["score"]))), F.lit(0))
 
 
 def first_epss(severities: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from provgraph.functions import ids
 from provgraph.functions.enrichment import prop_text
 from provgraph.functions.text import required_time
-from provgraph.operators.assemble import Graph, Guard, _edge, node, prop
+from provgraph.operators.assemble import PHASE, Graph, Guard, _edge, node, prop
 from provgraph.functions.schemas import PROPS
 
 #: Sources, how they run, and the jurisdictions that don't depend on a host.
@@ -120,7 +120,7 @@ def claim_records(stamped: DataFrame, phase: int = 18) -> Graph:
     """A Claim node for each claim, and ABOUT edges to its subject and what else it is about."""
     names = [("source", "source"), ("source_jurisdiction", "source_jurisdiction"), ("fetched_at", None), ("fact", "fact"), ("value", "value"), ("ref", "ref"), ("subject_id", "subject")]
     props = [prop(k, required_time(F.col("fetched_at")) if c is None else F.col(c)) for k, c in names]
-    ordinal = F.lit(phase << 56)
+    ordinal = F.lit(phase * PHASE)
     nodes = stamped.select(node(claim_id(), "Claim", props).alias("n"), "valid_from").select("n.*", "valid_from", ordinal.alias("ord"), F.lit(None).cast("string").alias("doc"))
     about = F.filter(F.array_distinct(F.concat(F.array("subject"), F.coalesce("also", F.array().cast("array<string>")))), lambda x: F.coalesce(x, F.lit("")) != "")
     edges = stamped.select(claim_id().alias("src"), F.explode(about).alias("dst"), "valid_from").select(_edge(F.col("src"), "ABOUT", F.col("dst")).alias("e"), "valid_from")

@@ -7,21 +7,32 @@ that were fetched beforehand, so that a run can be repeated.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from provgraph import shared
 from provgraph.functions.enrichment import matches_alias, prop_text, purl_type, search_date, supplier_name, supplier_of, supplier_prefix, vulnerability_of_name
 from provgraph.functions.text import float_text, text, time_text
 from provgraph.operators.claims import RUNNERS, Policy, advisory_facts, as_of, claim_id, claim_records, derive, first_by_purl, resolve_aliases, stamp
 from provgraph.operators.assemble import Graph
 from provgraph.operators.merge import merge
 
-Enricher = Callable[[DataFrame, datetime], DataFrame]
+
+@dataclass(frozen=True)
+class Lookup:
+    """Claims of a source, and the nodes (subject, error) that it couldn't look up."""
+
+    claims: DataFrame
+    lost: DataFrame
+
+
+Enricher = Callable[[DataFrame, datetime], "DataFrame | Lookup"]
 
 
 def _now(now: datetime) -> Column:
@@ -52,19 +63,19 @@ def purl_suppliers(nodes: DataFrame, now: datetime) -> DataFrame:
     return _claims(rows, "purl", now, "f.fact", "f.value", "rule_ref", F.col("valid_from"))
 
 
-class LookupFailed(RuntimeError):
-    """A response of a source wasn't one it can be read from."""
-
-
 def owners(responses: DataFrame) -> Enricher:
-    """Owners of packages' repositories; responses: purl, place, status, owner, repository_url. The first record of a purl counts; one bad response fails the source."""
+    """Owners of packages' repositories; responses: purl, place, status, owner, repository_url.
 
-    def enrich(nodes: DataFrame, now: datetime) -> DataFrame:
+    The first record of a purl counts. A package with a response other than 200 has
+    failed: documents that name it go without this source.
+    """
+
+    def enrich(nodes: DataFrame, now: datetime) -> Lookup:
         asked = first_by_purl(nodes).join(responses, "purl")
-        if not asked.where("status <> 200").isEmpty():
-            raise LookupFailed("ecosystems")
-        first = asked.groupBy("purl").agg(F.min_by(F.struct("id", "owner", "repository_url"), "place").alias("x")).select("x.*").where("owner <> ''")
-        return _claims(first, "ecosystems", now, F.lit("supplier"), "owner", "repository_url", _now(now))
+        bad = F.coalesce(F.col("status") != 200, F.lit(True))
+        lost = asked.where(bad).groupBy(F.col("id").alias("subject")).agg(F.concat(F.lit("status "), F.coalesce(F.min("status").cast("string"), F.lit("unknown"))).alias("error"))
+        first = asked.where(~bad).groupBy("purl").agg(F.min_by(F.struct("id", "owner", "repository_url"), "place").alias("x")).select("x.*").where("owner <> ''")
+        return Lookup(_claims(first, "ecosystems", now, F.lit("supplier"), "owner", "repository_url", _now(now)), lost)
 
     return enrich
 
@@ -147,38 +158,72 @@ def in_order(claims: DataFrame, by_time: bool = False) -> DataFrame:
 
 @dataclass
 class Enriched:
-    """The graph with its claims, how many were folded in (before equal ones unite), and the sources that failed with their errors."""
+    """The graph with its claims, how many were folded in (before equal ones unite), the sources that failed as a whole, and (doc, source, error) of the documents that went without a source."""
 
     graph: Graph
     claims: int
-    failed: list[tuple[str, str]] = field(default_factory=list)
+    failed: list[tuple[str, str]]
+    errors: DataFrame
+    paths: list[str]
 
+    def close(self) -> None:
+        """Remove the tables that the graph is read from."""
+        shared.removed(self.errors.sparkSession, *self.paths)
 
-def folded(graph: Graph, claims: DataFrame, policy: Policy, phase: int = 18) -> tuple[Graph, int]:
-    stamped = stamp(claims, policy)
-    made = claim_records(stamped, phase)
-    both = [Graph(g.nodes.drop("doc"), g.edges.drop("doc")) for g in (graph, made)]
-    return merge(*both), stamped.count()
 
+def _spared(found: Lookup, source: str, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(claims that a document without a lost node supports, errors of the others)."""
+    named = members.select("doc", F.col("id").alias("subject"))
+    errors = named.join(found.lost, "subject").groupBy("doc").agg(F.min("error").alias("error")).select("doc", F.lit(source).alias("source"), "error")
+    sound = named.join(errors.select("doc"), "doc", "left_anti").select("subject").distinct()
+    return found.claims.join(sound, "subject", "left_semi").select(*found.claims.columns), errors
 
-def enriched(graph: Graph, policy: Policy, enrichers: dict[str, Enricher], now: datetime) -> Enriched:
+
+def enriched(graph: Graph, policy: Policy, enrichers: dict[str, Enricher], now: datetime, members: DataFrame | None = None) -> Enriched:
     """Scanners' evidence turned into claims, then every allowed enricher in the policy's order, each seeing the claims before it.
 
-    A source that fails, or that the policy names and nobody runs, is reported;
-    the graph goes on without it. What the policy refuses is silent.
+    `members` (doc, id) tells which documents name a node: a lookup that fails
+    costs only those the source, and a claim stays if another document supports
+    it. Without it a lost node's claims go. A source that fails as a whole, or
+    that the policy names and nobody runs, is reported; the graph goes on without
+    it. What the policy refuses is silent. The graph and each source's claims are
+    stored before the next source reads them, so a source adds one step to the
+    plan, and nothing is worked out twice.
     """
-    graph, n = folded(graph, derive(graph.nodes), policy)
-    out = Enriched(graph, n)
+    spark = graph.nodes.sparkSession
+    paths, made, failed, n = [], [], [], 0
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        rows, path = shared.kept(df, name)
+        paths.append(path)
+        return rows
+
+    base = Graph(*[kept(df.drop("doc"), name) for df, name in ((graph.nodes, "nodes"), (graph.edges, "edges"))])
+    errors = spark.createDataFrame([], "doc string, source string, error string")
+
+    def nodes() -> DataFrame:
+        return reduce(DataFrame.unionByName, [base.nodes, *[g.nodes.drop("doc") for g in made]])
+
+    def fold(claims: DataFrame, phase: int) -> int:
+        stamped = kept(stamp(claims, policy), "claims")
+        made.append(claim_records(stamped, phase))
+        return stamped.count()
+
+    n = fold(derive(base.nodes), 18)
     for place, source in enumerate(s for s, runner in policy.runners() if runner == "enricher"):
         if source not in enrichers:
-            out.failed.append((source, "nothing runs this source"))
+            failed.append((source, "nothing runs this source"))
             continue
         try:
-            out.graph, n = folded(out.graph, enrichers[source](out.graph.nodes, now), policy, 19 + place)
-            out.claims += n
+            found = enrichers[source](nodes(), now)
+            if isinstance(found, Lookup):
+                held = members if members is not None else base.nodes.select(F.col("id").alias("doc"), "id")
+                found, lost = _spared(found, source, held)
+                errors = errors.unionByName(kept(lost, "errors"))
+            n += fold(found, 19 + place)
         except Exception as error:  # noqa: BLE001 - whatever a source does wrong, the documents are kept
-            out.failed.append((source, f"{type(error).__name__}: {error}"))
-    return out
+            failed.append((source, f"{type(error).__name__}: {error}"))
+    return Enriched(merge(base, *[Graph(g.nodes.drop("doc"), g.edges.drop("doc")) for g in made]), n, failed, errors, paths)
 
 
 def decorated(nodes: DataFrame, *decorators: Callable[[pd.DataFrame], pd.DataFrame]) -> tuple[DataFrame, DataFrame]:

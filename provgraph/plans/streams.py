@@ -16,6 +16,7 @@ from provgraph.functions import ids
 from provgraph.operators import assemble as A
 from provgraph.operators import match as Q
 from provgraph.operators import merge as M
+from provgraph.operators.expand import Expansion, closure
 from provgraph.operators.store import Store
 from provgraph.plans import lens
 from provgraph.plans import oracle as O
@@ -149,8 +150,58 @@ def _path_sql() -> str:
     return f"SELECT name_id, version_id, {day('(k % 4)::INT')} AS valid_from_us, {ends} AS valid_to_us FROM ({held}) UNION ALL SELECT name_id, version_id, {day(15)}, NULL FROM ({held}) WHERE k % 9 = 0"
 
 
+def _stated(spark: SparkSession, d: str) -> DataFrame:
+    """Every part depends on those of half and of a third of its number; part 0 isn't there, so 1 and 2 state less."""
+    k = F.col("p_partkey")
+    halves = F.filter(F.array((k / 2).cast("long"), (k / 3).cast("long")), lambda x: x > 0)
+    rows = lens.table(spark, d, "part").select(k.alias("k"), F.explode(halves).alias("j"))
+    return rows.select(F.format_string("pkg:generic/%08d", "k").alias("purl"), F.format_string("pkg:generic/%08d", "j").alias("dep"))
+
+
+def _roots(spark: SparkSession, d: str, batch: int) -> DataFrame:
+    return lens.table(spark, d, "part").where(F.col("p_partkey") % 30 == 10 * batch).select(F.format_string("pkg:generic/%08d", "p_partkey").alias("purl"))
+
+
+_ALLOWED = 500
+
+
+def expansion_levels(spark: SparkSession, d: str) -> DataFrame:
+    """All packages that the first batch's lead to, by level."""
+    return closure(_stated(spark, d), _roots(spark, d, 0))[0]
+
+
+def expansion_budget(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that three batches take under one budget of 500: by batch, how many, how many were left out, and a checksum of their names."""
+    run, parts = Expansion(_stated(spark, d), _ALLOWED), []
+    for batch in range(3):
+        got = run.expand(_roots(spark, d, batch))
+        number = F.substring("purl", -8, 8).cast("long")
+        parts.append(got.documents.agg(F.lit(batch).alias("batch"), F.count("*").alias("taken"), F.lit(got.overflow).cast("long").alias("overflow"), F.coalesce(F.sum(number), F.lit(0)).alias("numbers")))
+    return reduce(DataFrame.unionByName, parts).withColumns({"used": F.lit(run.used), "exhausted": F.lit(run.exhausted)})
+
+
+_STATED_SQL = "SELECT DISTINCT p_partkey AS k, unnest([p_partkey // 2, p_partkey // 3]) AS j FROM part"
+_REACHED_SQL = f"""RECURSIVE stated AS (SELECT k, j FROM ({_STATED_SQL}) WHERE j > 0),
+reached AS (
+  SELECT p_partkey % 30 // 10 AS batch, p_partkey AS k, 0 AS level FROM part WHERE p_partkey % 10 = 0
+  UNION SELECT r.batch, s.j, r.level + 1 FROM reached r JOIN stated s USING (k)
+),
+lowest AS (SELECT batch, k, min(level) AS level FROM reached GROUP BY ALL)"""
+
+
+def _budget_sql() -> str:
+    steps, taken = [], "SELECT NULL::BIGINT AS k WHERE false"
+    for b in range(3):
+        steps.append(f"due{b} AS MATERIALIZED (SELECT k, row_number() OVER (ORDER BY level, k) AS n FROM lowest WHERE batch = {b} AND k IN (SELECT k FROM stated) AND k NOT IN (SELECT k FROM ({taken})))")
+        room = f"greatest(0, {_ALLOWED} - (SELECT count(*) FROM ({taken})))"
+        steps.append(f"took{b} AS MATERIALIZED (SELECT k FROM due{b} WHERE n <= {room})")
+        taken = " UNION ALL ".join(f"SELECT k FROM took{i}" for i in range(b + 1))
+    rows = " UNION ALL ".join(f"SELECT {b} AS batch, (SELECT count(*) FROM took{b}) AS taken, (SELECT count(*) FROM due{b}) - (SELECT count(*) FROM took{b}) AS overflow, (SELECT coalesce(sum(k), 0)::BIGINT FROM took{b}) AS numbers" for b in range(3))
+    return f"WITH {_REACHED_SQL}, {', '.join(steps)} SELECT *, (sum(taken) OVER ())::INT AS used, bool_or(overflow > 0) OVER () AS exhausted FROM ({rows})"
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (arrival_order, license_first_by_arrival, stream_merge_equals_batch, as_of_both_axes, path_validity)}
+    return {f.__name__: f for f in (arrival_order, license_first_by_arrival, stream_merge_equals_batch, as_of_both_axes, path_validity, expansion_levels, expansion_budget)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -161,4 +212,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_merge_equals_batch": f"SELECT id, label, epoch_us(min(vf)) AS valid_from_us FROM ({O.nodes('HasSBOM')}) GROUP BY id, label",
         "as_of_both_axes": _as_of_sql(),
         "path_validity": _path_sql(),
+        "expansion_levels": f"WITH {_REACHED_SQL} SELECT printf('pkg:generic/%08d', k) AS purl, level FROM lowest WHERE batch = 0",
+        "expansion_budget": _budget_sql(),
     }

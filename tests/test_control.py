@@ -114,9 +114,42 @@ def test_chain_feeds_forward_and_reports_failures(spark):
     assert seen == [1] and [s for s, _ in got.failed] == ["ecosystems", "euvd"] and got.claims == 2
     claims = got.graph.nodes.where(F.array_contains("labels", "Claim"))
     assert claims.count() == 2 and got.graph.edges.where("label = 'ABOUT'").count() == 2
-    failing = X.owners(spark.createDataFrame([("pkg:deb/debian/x@1", 0, 500, "o", "r")], "purl string, place int, status int, owner string, repository_url string"))
-    with pytest.raises(X.LookupFailed):
-        failing(rows, NOW)
+    lookup = X.owners(spark.createDataFrame([("pkg:deb/debian/x@1", 0, 500, "o", "r")], "purl string, place int, status int, owner string, repository_url string"))
+    found = lookup(rows, NOW)
+    assert found.claims.count() == 0 and [r["error"] for r in found.lost.collect()] == ["status 500"]
+    got.close()
+
+
+def test_a_bad_response_costs_one_document_one_source(spark):
+    """Three documents; one names a package whose owner can't be looked up, and shares another package with the second."""
+    packages = {"d1": ("a", "b"), "d2": ("b", "c"), "d3": ("e",)}
+    named = [(doc, n) for doc, names in packages.items() for n in names]
+    docs = spark.createDataFrame(named, "doc string, n string")
+    each = docs.select("doc", F.explode(F.array(*A.package_nodes(lens.package("npm", F.lit(""), F.col("n"), F.lit("1"), lens.pairs())))).alias("x"))
+    rows = each.select("doc", "x.*", F.lit(NOW).cast("timestamp").alias("valid_from"), F.lit(0).cast("bigint").alias("ord"))
+    edges = rows.select("id", F.lit("l").alias("label"), F.col("id").alias("src"), F.col("id").alias("dst"), "props", "valid_from", "ord").limit(0)
+    responses = spark.createDataFrame([(f"pkg:npm/{n}@1", 0, 503 if n == "a" else 200, f"owner-{n}", "r") for n in "abce"], "purl string, place int, status int, owner string, repository_url string")
+    nodes = rows.drop("doc").dropDuplicates(["id"])
+    policy = C.Policy(("ecosystems", "purl"))
+    got = X.enriched(A.Graph(nodes, edges), policy, {"ecosystems": X.owners(responses), "purl": X.purl_suppliers}, NOW, rows.select("doc", "id"))
+    assert [tuple(r) for r in got.errors.collect()] == [("d1", "ecosystems", "status 503")] and got.failed == []
+    value = F.get(F.filter("props", lambda p: p["key"] == "value"), F.lit(0))["value"]["s"]
+    claims = got.graph.nodes.where(F.array_contains("labels", "Claim")).select(value.alias("v")).collect()
+    assert sorted(r["v"] for r in claims) == ["owner-b", "owner-c", "owner-e"]  # b by the second document
+    got.close()
+
+
+def test_plans_grow_by_one_step_a_source(spark):
+    rows = spark.createDataFrame([(1,)], "i int").select(F.explode(F.array(*A.package_nodes(lens.package("deb", F.lit("debian"), F.lit("x"), F.lit("1"), lens.pairs())))).alias("n")).select("n.*", F.lit(NOW).cast("timestamp").alias("valid_from"), F.lit(0).cast("bigint").alias("ord"))
+    edges = rows.select("id", F.lit("l").alias("label"), F.col("id").alias("src"), F.col("id").alias("dst"), "props", "valid_from", "ord").limit(0)
+    sources = ("purl", "sbom", "euvd", "ecosystems")
+    sizes = []
+    for n in range(1, 5):
+        got = X.enriched(A.Graph(rows, edges), C.Policy(sources[:n]), {s: X.purl_suppliers for s in sources}, NOW)
+        sizes.append(got.graph.nodes._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+        got.close()
+    steps = [b - a for a, b in zip(sizes, sizes[1:], strict=False)]
+    assert len(set(steps)) == 1
 
 
 def test_decorators_fail_by_document(spark):

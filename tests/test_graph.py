@@ -70,6 +70,14 @@ def test_bucket_hash_and_suppliers(spark):
     assert one(spark, E.advisory_path(F.lit("VCID")))[0] is None
 
 
+def test_severities_are_read_as_written(spark):
+    numbers = ["7.12345678", "1e1", "-1", "9", ".5", "5.", "0x1p-2", "Inf", "-infinity", "NaN", "+7"]
+    others = ["", " 7", "7 ", "high", "1e999", "1_0", "0x1", "e5", ".", "+-1", "nano", "7.5.1", "+nan", "0x.p1"]
+    for score, good in [*((n, True) for n in numbers), *((o, False) for o in others)]:
+        each = F.array(*[F.struct(F.lit(s).alias("system"), F.lit(v).alias("score"), F.lit(s).alias("vector")) for s, v in (("epss", "1"), ("CVSSv3", "8"), ("cvssv3.1", score), ("cvssv4", "2"))])
+        assert one(spark, E.first_cvss(each)["system"])[0] == ("cvssv3.1" if good else "cvssv4"), score
+
+
 def test_policy_fails_closed():
     policy = C.Policy(("osv", "purl"), eu_only=True, hosted={"osv": "eu"})
     assert policy.allows("osv") and not policy.allows("purl") and not policy.allows("euvd")
