@@ -28,7 +28,7 @@ RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 
 
 def graph_records(spark, d):
-    graph = M.merge(A.assemble(lens.tables(spark, d, "IsDependency", "CertifyVuln", "IsOccurrence", "HasSBOM"), lens.GUARD))
+    graph = M.merged(lens.tables(spark, d, "IsDependency", "CertifyVuln", "IsOccurrence", "HasSBOM"), lens.GUARD)
     return graph.nodes.select("id", "props").unionByName(graph.edges.select("id", "props"))
 
 

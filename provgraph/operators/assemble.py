@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from provgraph.functions import ids
-from provgraph.functions.schemas import COMMON, ENDPOINTS, PROPS, VALUE
+from provgraph.functions.schemas import ARTIFACT, BUILDER, COMMON, ENDPOINTS, LICENSE, PACKAGE, PROPS, SOURCE, VALUE, VULNERABILITY
 from provgraph.functions.text import canon_qualifiers, encode_pairs, float_text, join_ids, optional_time, required_time, sorted_ids, text
 from provgraph.operators.kinds import DERIVED, KINDS, TYPES, Kind
 
@@ -187,33 +187,38 @@ def _ordinal(phase: int, place: Column) -> Column:
     return F.lit(phase * PHASE) + F.coalesce("item", F.lit(0)) * PLACE + place
 
 
-def records(ir: DataFrame, kind_name: str, guard: Guard) -> Graph:
-    """All nodes and edges that the rows of one kind state, repeats included."""
-    kind = KINDS[kind_name]
-    df = evidence(ir, kind_name, guard)
-    own = [prop(n, c, "f" if TYPES.get(n) == "double" else "s") for n, c in _values(kind, kind.props)]
-    lists = {"materials": "artifact", "declared": "license", "discovered": "license"}
-    singles = [n for e in kind.endpoints if e not in lists for n in identity_nodes(e, F.col(e))]
-    every = F.array(*singles, node(F.col("id"), kind.name, own))
-    many = [_each(F.coalesce(F.col(e), F.array().cast(ENDPOINTS[e])), lambda b, x: identity_nodes(b, x)[0], lists[e]) for e in kind.endpoints if e in lists]
-    every = F.filter(F.concat(every, *many), lambda n: n.isNotNull())
-    nodes = df.select("item", "doc", "vf", F.posexplode(every).alias("place", "n")).select("n.*", F.col("vf").alias("valid_from"), _ordinal(kind.phase, F.col("place")).alias("ord"), "doc")
-
+def _laid(kind: Kind, structural: bool = True) -> Column:
+    """All edges that a row of `evidence` states, as an array; `structural` ones lead from packages' names to their versions."""
     ends = {"self": F.col("id"), "subject": F.col("subject"), "object": F.col("object")}
     single, more = [], []
     for label, src, dst in kind.edges:
         if dst == "member":
             more.append(_each(F.col("member_ids"), _edge_from_self, label))
-        elif dst in lists:
+        elif dst in _LISTS:
             more.append(_each(F.col(f"{dst}_ids"), _edge_from_self, label))
         else:
             single.append(_edge(ends[src], label, ends[dst] if dst in ends else F.col(dst)))
-    for e in kind.endpoints:
+    for e in kind.endpoints if structural else ():
         if e in ("pkg", "dep_pkg", "equal_pkg"):
             p = F.col(e)
             single.append(F.when(p.isNotNull(), _edge(ids.package_name_id(p), "PkgHasVersion", ids.package_version_id(p))))
     laid = F.concat(*([F.array(*single)] if single else []), *more)
-    laid = F.filter(laid, lambda e: e.isNotNull() & (e["src"] != "") & (e["dst"] != ""))
+    return F.filter(laid, lambda e: e.isNotNull() & (e["src"] != "") & (e["dst"] != ""))
+
+
+def records(ir: DataFrame, kind_name: str, guard: Guard) -> Graph:
+    """All nodes and edges that the rows of one kind state, repeats included."""
+    kind = KINDS[kind_name]
+    df = evidence(ir, kind_name, guard)
+    own = [prop(n, c, "f" if TYPES.get(n) == "double" else "s") for n, c in _values(kind, kind.props)]
+    lists = {"materials": "artifact", "declared": "license", "discovered": "license"}
+    singles = [n for e in kind.endpoints if e not in lists for n in identity_nodes(e, F.col(e))]
+    every = F.array(*singles, node(F.col("id"), kind.name, own))
+    many = [_each(F.coalesce(F.col(e), F.array().cast(ENDPOINTS[e])), lambda b, x: identity_nodes(b, x)[0], lists[e]) for e in kind.endpoints if e in lists]
+    every = F.filter(F.concat(every, *many), lambda n: n.isNotNull())
+    nodes = df.select("item", "doc", "vf", F.posexplode(every).alias("place", "n")).select("n.*", F.col("vf").alias("valid_from"), _ordinal(kind.phase, F.col("place")).alias("ord"), "doc")
+
+    laid = _laid(kind)
     edges = df.select("item", "doc", "vf", F.posexplode(laid).alias("place", "e")).select("e.*", F.array().cast(PROPS).alias("props"), F.col("vf").alias("valid_from"), _ordinal(kind.phase, F.col("place")).alias("ord"), "doc")
     return Graph(nodes, edges)
 
@@ -322,6 +327,78 @@ def package_pass(tables: dict[str, DataFrame], guard: Guard) -> Graph:
     return Graph(nodes, edges)
 
 
+#: Columns of entities, and the endpoints that each is found at.
+ENTITIES = {"pkg": PACKAGE, "src": SOURCE, "artifact": ARTIFACT, "builder": BUILDER, "vulnerability": VULNERABILITY, "license": LICENSE}
+_LISTS = {"materials": "artifact", "declared": "license", "discovered": "license"}
+
+
+def entity_rows(ir: DataFrame, kind_name: str, guard: Guard, prepass: bool) -> DataFrame:
+    """(one column for each type of entity, all but one null; valid_from, ord): what the rows of a kind name, without ids or properties.
+
+    With `prepass` every package is known from now on at the latest, even where a row's spec is missing.
+    """
+    kind = KINDS[kind_name]
+    df = conformed(ir, kind)
+    spec = F.coalesce("has_spec", F.lit(True))
+    stated = guard.resolve(F.col(kind.time) if kind.time else F.lit(None).cast("timestamp"))
+    now = F.lit(guard.now).cast("timestamp")
+
+    def entity(base: str, c: Column, place: Column) -> Column:
+        at = F.when(spec, F.least(stated, now)).otherwise(now) if prepass and base == "pkg" else F.when(spec, stated)
+        own = [(c if b == base else F.lit(None)).cast(t).alias(b) for b, t in ENTITIES.items()]
+        return F.struct(*own, at.alias("valid_from"), _ordinal(kind.phase, place).alias("ord"))
+
+    def entities(base: str, items: Column, begin: Column) -> Column:
+        return F.transform(items, lambda x, i: entity(base, x, begin + i))
+
+    one, many, begin = [], [], F.lit(len(kind.endpoints))
+    for place, e in enumerate(kind.endpoints):
+        base = _LISTS.get(e) or e.removeprefix("equal_").removeprefix("dep_")
+        if e in _LISTS:
+            # Entities of lists come after the others, in the order of lists and their elements.
+            items = F.coalesce(F.col(e), F.array().cast(ENDPOINTS[e]))
+            many.append(entities(base, items, begin))
+            begin = begin + F.size(items)
+        else:
+            one.append(F.when(F.col(e).isNotNull(), entity(base, F.col(e), F.lit(place))))
+    rows = df.select(F.explode(F.concat(F.array(*one), *many)).alias("x"))
+    return rows.select("x.*").where("valid_from IS NOT NULL")
+
+
+def entity_graph(rows: DataFrame) -> Graph:
+    """Identity nodes, and edges from packages' names to their versions, of entity rows. Equal entities are united before anything is made of them: keys and times only, in a hash aggregation."""
+    once = rows.groupBy(*ENTITIES).agg(F.min("valid_from").alias("valid_from"), F.min("ord").alias("ord"))
+    made = F.filter(F.array(*[n for base in ENTITIES for n in identity_nodes(base, F.col(base))]), lambda n: n.isNotNull())
+    nodes = once.select(F.explode(made).alias("n"), "valid_from", "ord").select("n.*", "valid_from", "ord")
+    p = F.col("pkg")
+    edge = _edge(ids.package_name_id(p), "PkgHasVersion", ids.package_version_id(p))
+    return Graph(nodes, once.where("pkg IS NOT NULL").select(edge.alias("e"), "valid_from", "ord").select("e.*", "valid_from", "ord"))
+
+
+def follows_from_id(kind: Kind) -> bool:
+    """Whether a kind's id hashes all of its properties, so that rows of one id have one payload."""
+    bare = lambda names: {n.removesuffix("Id") if n in ("subjectId", "objectId") else n for n in names.split()}
+    return bare(kind.props) <= bare(kind.parts)
+
+
+def evidence_once(ir: DataFrame, kind_name: str, guard: Guard) -> DataFrame:
+    """Evidence nodes of a kind whose payload follows from the id: rows are united by id and plain values, and properties are laid out afterwards."""
+    kind = KINDS[kind_name]
+    values = [(n, c, "f" if TYPES.get(n) == "double" else "s") for n, c in _values(kind, kind.props)]
+    rows = evidence(ir, kind_name, guard).select("id", *[c.alias(f"v_{n}") for n, c, _ in values], F.col("vf").alias("valid_from"), _ordinal(kind.phase, F.lit(0)).alias("ord"))
+    once = rows.groupBy("id", *[f"v_{n}" for n, _, _ in values]).agg(F.min("valid_from").alias("valid_from"), F.min("ord").alias("ord"))
+    own = [prop(n, F.col(f"v_{n}"), k) for n, _, k in values]
+    return once.select(node(F.col("id"), kind.name, own).alias("n"), "valid_from", "ord").select("n.*", "valid_from", "ord")
+
+
+def evidence_edges(ir: DataFrame, kind_name: str, guard: Guard) -> DataFrame:
+    """Edges between the evidence nodes of a kind and their ends."""
+    kind = KINDS[kind_name]
+    df = evidence(ir, kind_name, guard)
+    laid = _laid(kind, structural=False)
+    return df.select("item", "vf", F.explode(laid).alias("e")).select("e.*", F.col("vf").alias("valid_from"), _ordinal(kind.phase, F.lit(0)).alias("ord"))
+
+
 def assemble(tables: dict[str, DataFrame], guard: Guard, prepass: bool = True) -> Graph:
     """Records of all kinds, not merged yet."""
     parts = [records(ir, name, guard) for name, ir in sorted(tables.items(), key=lambda x: KINDS[x[0]].phase)]

@@ -171,13 +171,13 @@ def _graph(spark: SparkSession, d: str, *names: str, prepass: bool = False) -> A
 
 @query(f"SELECT id, label, epoch_us(min(vf)) AS valid_from_us FROM ({O.all_nodes(*SOME)}) GROUP BY id, label")
 def merge_nodes(spark, d):
-    nodes = M.merge_records(_graph(spark, d, *SOME, prepass=True).nodes)
+    nodes = M.merged(lens.tables(spark, d, *SOME), GUARD).nodes
     return nodes.select("id", F.get("labels", F.lit(0)).alias("label"), micros("valid_from").alias("valid_from_us"))
 
 
 @query(f"SELECT {O.edge_part('src')} || '|' || label || '|' || {O.edge_part('dst')} AS id, label, src, dst, epoch_us(min(vf)) AS valid_from_us FROM ({O.all_edges(*SOME)}) GROUP BY label, src, dst")
 def merge_edges(spark, d):
-    return M.merge_records(_graph(spark, d, *SOME, prepass=True).edges).select("id", "label", "src", "dst", micros("valid_from").alias("valid_from_us"))
+    return M.merged(lens.tables(spark, d, *SOME), GUARD).edges.select("id", "label", "src", "dst", micros("valid_from").alias("valid_from_us"))
 
 
 @query("SELECT 'lic:' || lang AS id, 'v' || (arg_min(doc_id, doc_id) % 3) AS list_version FROM documents GROUP BY lang")

@@ -19,8 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from provgraph import shared
 from provgraph.metrics import Metrics
-from provgraph.operators.assemble import Graph, Guard, assemble
-from provgraph.operators.merge import merge
+from provgraph.operators.assemble import Graph, Guard
+from provgraph.operators.merge import merged
 from provgraph.operators.store import Store
 from provgraph.sources.documents import evidence_tables, failed, numbered, sniffed, stream
 
@@ -36,7 +36,7 @@ class Receipt:
 def graph_of(docs: DataFrame, guard: Guard) -> Graph | None:
     """The graph of stored, sniffed documents; none if no document can be read."""
     formats = {r[0] for r in docs.where("error IS NULL").select("format").distinct().collect()}
-    return merge(assemble(evidence_tables(docs, formats), guard)) if formats else None
+    return merged(evidence_tables(docs, formats), guard) if formats else None
 
 
 def run_batch(docs: DataFrame, store: Store, guard: Guard, metrics: Metrics | None = None, source: str | None = None, batch: int = 0) -> Receipt:

@@ -97,6 +97,18 @@ def test_first_payload_and_earliest_time_win(spark):
     assert got == {"x": ("first", 1577836800000000), "y": ("only", None)}
 
 
+@pytest.mark.parametrize("prepass", [True, False])
+def test_uniting_repeats_first_changes_nothing(spark, prepass):
+    """Ids, labels, properties and times of kinds with lists, members, loose payloads and packages of all versions."""
+    tables = lens.tables(spark, "/root/testdata/sf0.001", "CertifyLegal", "HasSBOM", "HasSlsa", "PkgEqual")
+    # Rows again, later and with other payloads.
+    again = tables["HasSBOM"].withColumns({"includedSoftware": F.array(F.lit("other")), "item": F.col("item") + (1 << 40), "knownSince": F.col("knownSince") - F.expr("interval 1 day")})
+    tables["HasSBOM"] = tables["HasSBOM"].unionByName(again)
+    rows = lambda df: sorted(tuple(r) for r in df.select("id", F.to_json(F.struct(*[c for c in df.columns if c not in ("id", "ord")]))).collect())
+    one, other = M.merged(tables, GUARD, prepass), M.merge(A.assemble(tables, GUARD, prepass))
+    assert rows(one.nodes) == rows(other.nodes) and rows(one.edges) == rows(other.edges)
+
+
 def test_missing_subject_keeps_evidence_without_an_edge(spark):
     graph = A.assemble(_tables(spark, [(1, "d", None, "u", datetime(2024, 1, 1, tzinfo=UTC))]), GUARD)
     assert [r["labels"] for r in graph.nodes.collect()] == [["HasSBOM"]]
