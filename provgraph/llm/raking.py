@@ -92,7 +92,8 @@ def cell_probabilities(totals: list, targets: Targets, keep: float) -> list[tupl
     expected share of the drawn tokens less its target; residuals other than 0
     tell that targets contradict each other or that a group is too scarce.
     """
-    names = [[*sorted(getattr(targets, d)), OTHER] for d in DIMENSIONS]
+    # A target for the other values is theirs alone, and not one of a named value.
+    names = [[*sorted(v for v in getattr(targets, d) if v != OTHER), OTHER] for d in DIMENSIONS]
     cells = np.zeros([len(n) for n in names])
     for row in totals:
         cells[tuple(n.index(row[d]) for n, d in zip(names, DIMENSIONS, strict=True))] += row["tokens"]

@@ -190,6 +190,14 @@ def test_draws_and_probabilities_follow_their_cells(spark):
     assert max(abs(r["source_residual"]) for r in scarce) > 0.1
 
 
+def test_other_values_can_have_a_target():
+    totals = [{"source": s, "lang": "en", "topic": "t", "tokens": n} for s, n in (("a", 300), (raking.OTHER, 900))]
+    found = raking.cell_probabilities(totals, raking.Targets({"a": 0.5, raking.OTHER: 0.5}, {"en": 1.0}, {"t": 1.0}), 0.4)
+    kept = {row[0]: row[4] * t["tokens"] for row, t in zip(found, totals, strict=True)}
+    assert np.isclose(kept["a"], 240) and np.isclose(kept[raking.OTHER], 240)
+    assert all(abs(r) < 1e-9 for row in found for r in row[5:])
+
+
 def test_near_duplicates_agree_with_brute_force(spark):
     rng = np.random.default_rng(5)
     word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
