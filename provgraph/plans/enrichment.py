@@ -74,10 +74,11 @@ def policy_allowed(spark, d):
     return C.stamp(_claims(spark, d), policy).select("source", "subject", "fact", "value").distinct().groupBy("source").agg(F.count("*").alias("n"))
 
 
-@query("SELECT * FROM (VALUES ('clearlydefined', 'us', true), ('deps_dev', 'us', true), ('euvd', 'eu', true), ('osv', 'us', true), ('purl', 'other', false)) t(source, jurisdiction, allowed)")
+@query(f"SELECT source, CASE source WHEN 'osv' THEN 'us' WHEN 'eol' THEN 'us' END AS jurisdiction, count(*) AS n FROM ({CLAIMS}) WHERE source IN ('osv', 'eol') GROUP BY source")
 def jurisdiction_stamp(spark, d):
-    rows = [(s, POLICY.jurisdiction(s), POLICY.allows(s)) for s in ("clearlydefined", "deps_dev", "euvd", "osv", "purl")]
-    return spark.createDataFrame(rows, "source string, jurisdiction string, allowed boolean")
+    """Claims by the jurisdiction they are stamped with; what the policy doesn't name is left out."""
+    stamped = C.stamp(_claims(spark, d), C.Policy(("osv", "eol")))
+    return stamped.select("source", "subject", "fact", "value", "source_jurisdiction").distinct().groupBy("source", F.col("source_jurisdiction").alias("jurisdiction")).agg(F.count("*").alias("n"))
 
 
 def _purl():
