@@ -135,14 +135,16 @@ def purl_hash(core: Column, bits: Column) -> Column:
 
 
 def package_path(purl: Column) -> Column:
-    """Where a federated mirror keeps a package's files."""
+    """Where a federated mirror keeps a package's files: namespace and name without their escapes; null for what is no package URL."""
     kind = purl_type(purl)
-    return F.concat(F.lit("aboutcode-packages-"), kind, F.lit("-"), purl_hash(core_purl(purl), bucket_bits(kind)), F.lit("/"), kind, F.lit("/"), purl_path(purl))
+    plain = F.try_url_decode(F.replace(purl_path(purl), F.lit("+"), F.lit("%2B")))
+    path = F.concat(F.lit("aboutcode-packages-"), kind, F.lit("-"), purl_hash(core_purl(purl), bucket_bits(kind)), F.lit("/"), kind, F.lit("/"), plain)
+    return F.when((kind != "") & (purl_path(purl) != ""), path)
 
 
 def advisory_path(vcid: Column) -> Column:
-    """Folder by characters five to seven of an advisory's id; null for ids that are too short."""
-    return F.when(F.length(vcid) >= 7, F.concat(F.lit("aboutcode-vulnerabilities-"), F.substring(vcid, 6, 2), F.lit("/"), vcid, F.lit(".yml")))
+    """File of an advisory, in a folder by the sixth and seventh characters of its id; null for ids that are too short."""
+    return F.when(F.length(vcid) >= 7, F.concat(F.lit("aboutcode-vulnerabilities/"), F.substring(vcid, 6, 2), F.lit("/"), vcid, F.lit(".yml")))
 
 
 def search_date(raw: Column) -> Column:

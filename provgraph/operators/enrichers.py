@@ -129,18 +129,23 @@ class Replayed:
     commits: DataFrame
 
 
-def replayed(commits: DataFrame, advisories: DataFrame, subjects: DataFrame, known: DataFrame, now: datetime) -> Replayed:
+def replayed(commits: DataFrame, advisories: DataFrame, subjects: DataFrame, known: DataFrame, now: datetime, stated: DataFrame | None = None) -> Replayed:
     """Claims of a history of package files and advisories, dated by their commits.
 
     commits: path, commit, committed_at, affected_by; advisories: vcid, commit,
     committed_at, aliases and the advisory's facts; subjects: purl, path,
     subject; known: names and ids of vulnerability nodes. A package's claim is
-    about the aliases that the advisory had at that commit; an advisory's facts
-    are those of its own commits.
+    about the aliases that the advisory had at that commit: those of `stated`
+    (vcid, commit, aliases) where it is given, else the last ones before it. An
+    advisory's facts are those of its own commits. Where commits name a purl, its
+    lists hold for that subject only; a commit without one was read all the same.
     """
-    listed = subjects.join(commits, "path").select("subject", "committed_at", F.explode("affected_by").alias("vcid"))
-    versions = advisories.select("vcid", "committed_at", "aliases")
-    dated = as_of(listed, versions, "vcid", "committed_at", "aliases").withColumn("row", F.xxhash64("subject", "vcid", "committed_at"))
+    listed = subjects.join(commits, ["path", "purl"] if "purl" in commits.columns else "path").select("subject", "commit", "committed_at", F.explode("affected_by").alias("vcid"))
+    if stated is None:
+        dated = as_of(listed, advisories.select("vcid", "committed_at", "aliases"), "vcid", "committed_at", "aliases")
+    else:
+        dated = listed.join(stated, ["vcid", "commit"], "left")
+    dated = dated.withColumn("row", F.xxhash64("subject", "vcid", "commit", "committed_at"))
     ids = resolve_aliases(dated.select("row", "aliases").dropDuplicates(["row"]), known, "row")
     dated = dated.join(ids, "row", "left")
     affected = _claims(dated, "federatedcode", now, F.lit("affected"), "vcid", "vcid", F.col("committed_at"), "subject", F.coalesce("ids", F.array().cast("array<string>")))
