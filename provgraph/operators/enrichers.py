@@ -80,14 +80,15 @@ def owners(responses: DataFrame) -> Enricher:
     return enrich
 
 
-def european_facts(items: DataFrame) -> Enricher:
+def european_facts(items: DataFrame, failed: DataFrame | None = None) -> Enricher:
     """Facts of the European vulnerability search; items: asked, id, aliases, base_score, base_score_version, base_score_vector, epss, description, date_published, date_updated, references.
 
     Only items that name what was asked count. Facts without a value stay as
-    claims; the date of the update holds, else now.
+    claims; the date of the update holds, else now. `failed` (key, error) names
+    what couldn't be asked.
     """
 
-    def enrich(nodes: DataFrame, now: datetime) -> DataFrame:
+    def enrich(nodes: DataFrame, now: datetime) -> DataFrame | Lookup:
         p = F.col("props")
         names = nodes.where(F.array_contains("labels", "Vulnerability") & prop_text(p, "type").isin("cve", "euvd")).select(prop_text(p, "vulnID").alias("asked")).distinct()
         rows = items.join(names, "asked").where(matches_alias(F.col("asked"), F.col("id"), F.col("aliases")))
@@ -97,25 +98,32 @@ def european_facts(items: DataFrame) -> Enricher:
         dated = [F.when(F.col(n).isNotNull(), fact(n, time_text(F.date_trunc("second", n)))) for n in ("published", "updated")]
         lines = F.filter(F.transform(F.split(text(F.col("references")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
         every = F.concat(F.filter(F.array(*always, *dated), lambda x: x.isNotNull()), F.transform(lines, lambda x: F.struct(F.lit("reference").alias("fact"), x.alias("value"))))
-        return _claims(rows.withColumn("f", F.explode(every)), "euvd", now, "f.fact", "f.value", "id", F.coalesce("updated", _now(now)), "subject")
+        claims = _claims(rows.withColumn("f", F.explode(every)), "euvd", now, "f.fact", "f.value", "id", F.coalesce("updated", _now(now)), "subject")
+        if failed is None:
+            return claims
+        return Lookup(claims, failed.join(names, failed["key"] == names["asked"]).select(vulnerability_of_name(F.col("asked")).alias("subject"), "error"))
 
     return enrich
 
 
-def affected_packages(advisories: DataFrame, known: DataFrame) -> Enricher:
+def affected_packages(advisories: DataFrame, known: DataFrame, failed: DataFrame | None = None) -> Enricher:
     """What a vulnerability service says about packages; advisories: purl, advisory_id, aliases, summary, cvss, cvss_version, cvss_vector, epss, references, fixed_by.
 
     One `affected` claim on the package, about the aliases that have nodes too,
-    and the advisory's facts on each of those nodes; now holds.
+    and the advisory's facts on each of those nodes; now holds. `failed` (key,
+    error) names the package URLs that couldn't be asked.
     """
 
-    def enrich(nodes: DataFrame, now: datetime) -> DataFrame:
+    def enrich(nodes: DataFrame, now: datetime) -> DataFrame | Lookup:
         rows = first_by_purl(nodes).join(advisories, "purl").withColumn("row", F.xxhash64("purl", "advisory_id"))
         ids = resolve_aliases(rows.select("row", "aliases"), known, "row")
         rows = rows.join(ids, "row", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
         affected = _claims(rows, "vulnerablecode", now, F.lit("affected"), "advisory_id", "advisory_id", _now(now), also=F.col("ids"))
         about = rows.select(F.explode("ids").alias("subject"), F.array().cast("array<string>").alias("also"), F.lit("vulnerablecode").alias("source"), F.lit(None).cast("timestamp").alias("at"), "advisory_id", "summary", "cvss", "cvss_version", "cvss_vector", "epss", "references", "fixed_by")
-        return affected.unionByName(advisory_facts(about, _now(now)))
+        claims = affected.unionByName(advisory_facts(about, _now(now)))
+        if failed is None:
+            return claims
+        return Lookup(claims, first_by_purl(nodes).join(failed, F.col("purl") == F.col("key")).select(F.col("id").alias("subject"), "error"))
 
     return enrich
 
