@@ -239,8 +239,11 @@ def enriched(graph: Graph, policy: Policy, enrichers: dict[str, Enricher], now:
     return Enriched(merge(base, *[Graph(g.nodes.drop("doc"), g.edges.drop("doc")) for g in made]), n, failed, errors, paths)
 
 
-def decorated(nodes: DataFrame, *decorators: Callable[[pd.DataFrame], pd.DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(records of the documents that every decorator passed, in turn; doc and error of the others). A decorator gets one document's records."""
+Decorator = Callable[[pd.DataFrame], pd.DataFrame]
+
+
+def decorated_rows(nodes: DataFrame, *decorators: Decorator) -> DataFrame:
+    """Records of the documents that every decorator passed, in turn, with a null error; one row with doc and error for each of the others. A decorator gets one document's records."""
     schema = StructType([*nodes.schema.fields, StructField("error", StringType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -252,7 +255,12 @@ def decorated(nodes: DataFrame, *decorators: Callable[[pd.DataFrame], pd.DataFra
         except Exception as error:  # noqa: BLE001 - one document's fault mustn't end the others
             return pd.DataFrame([{n: None for n in schema.names} | {"doc": doc, "error": f"{type(error).__name__}: {error}"}])[schema.names]
 
-    done = nodes.groupBy("doc").applyInPandas(run, schema)
+    return nodes.groupBy("doc").applyInPandas(run, schema)
+
+
+def decorated(nodes: DataFrame, *decorators: Decorator) -> tuple[DataFrame, DataFrame]:
+    """(records of the documents that every decorator passed, doc and error of the others)."""
+    done = decorated_rows(nodes, *decorators)
     return done.where("error IS NULL").drop("error"), done.where("error IS NOT NULL").select("doc", "error")
 
 

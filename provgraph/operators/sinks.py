@@ -176,21 +176,38 @@ def post(writer: Writer, body: bytes, sleep: Callable[[float], None] = time.slee
     raise AssertionError("unreachable")
 
 
+SENT = "nodes long, edges long, transactions long, basis string, retries long, status int, error string"
+
+
 def send(lines: DataFrame, writer: Writer, rows: int = 10_000) -> list[dict]:
-    """Post all lines in batches, from the tasks; one receipt for each partition (nodes, edges, transactions, basis).
+    """Post all lines in batches, from the tasks; one receipt for each partition (nodes, edges, transactions, basis, retries, and the status and error that ended it, if any).
 
     This is an action: it runs once. Tasks that are tried again post again, which
-    is safe, as ids supersede in place.
+    is safe, as ids supersede in place. A partition whose batch is refused stops
+    there and says what went through before; the others go on.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        nodes = edges = done = 0
-        basis = None
+        nodes = edges = done = retries = 0
+        basis = status = error = None
+
+        def retried() -> None:
+            nonlocal retries
+            retries += 1
+
         for pdf in batches:
             for i in range(0, len(pdf), rows):
-                got = post(writer, ("\n".join(pdf["line"].iloc[i : i + rows]) + "\n").encode())
-                nodes, edges, done, basis = nodes + got.get("nodes", 0), edges + got.get("edges", 0), done + 1, got.get("basis", basis)
-        if done:
-            yield pd.DataFrame([[nodes, edges, done, None if basis is None else str(basis)]], columns=["nodes", "edges", "transactions", "basis"])
-
-    return [r.asDict() for r in lines.select("line").mapInPandas(run, "nodes long, edges long, transactions long, basis string").collect()]
+                try:
+                    got = post(writer, ("\n".join(pdf["line"].iloc[i : i + rows]) + "\n").encode(), retried=retried)
+                    done += 1
+                except Refused as refused:
+                    got, status, error = refused.committed, refused.status, refused.message
+                nodes, edges, basis = nodes + got.get("nodes", 0), edges + got.get("edges", 0), got.get("basis", basis)
+                if error is not None:
+                    break
+            if error is not None:
+                break
+        if done or error is not None:
+            yield pd.DataFrame([[nodes, edges, done, None if basis is None else str(basis), retries, status, error]], columns=[c.split(" ")[0] for c in SENT.split(", ")])
+
+    return [r.asDict() for r in lines.select("line").mapInPandas(run, SENT).collect()]

@@ -15,14 +15,18 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from datetime import datetime
 from urllib.parse import urlencode, urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.functions.enrichment import cvss_version, first_cvss, first_epss
+from provgraph import shared
+from provgraph.functions.enrichment import cvss_version, first_cvss, first_epss, prop_text
 from provgraph.functions.text import text
+from provgraph.operators.claims import first_by_purl, vulnerability_nodes
+from provgraph.operators.enrichers import Enricher, Lookup, affected_packages, european_facts, owners
 from provgraph.operators.sinks import origin, pause
 
 ANSWERS = "key string, page int, status int, body string, error string"
@@ -206,3 +210,34 @@ def affecting_advisories(answers: DataFrame) -> DataFrame:
         F.col("c.vector").alias("cvss_vector"), F.col("e.score").alias("epss"), listed(F.transform("a.references", lambda r: r["url"])).alias("references"), listed(F.col("a.fixed_by_packages")).alias("fixed_by"),
     )
 
+
+def asking(service: Service, keys: Callable[[DataFrame], DataFrame], read: Callable[[DataFrame, DataFrame], Enricher], paths: list[str], tasks: int = 8) -> Enricher:
+    """An enricher that asks a service about the nodes it gets; its answers are a table, whose path is added to `paths` for whoever ends the run."""
+
+    def enrich(nodes: DataFrame, now: datetime) -> DataFrame | Lookup:
+        answers, path = shared.kept(fetched(keys(nodes), service, tasks), "answers")
+        paths.append(path)
+        return read(answers, nodes)(nodes, now)
+
+    return enrich
+
+
+def _purls(nodes: DataFrame) -> DataFrame:
+    return first_by_purl(nodes).select(F.col("purl").alias("key"))
+
+
+def _names(nodes: DataFrame) -> DataFrame:
+    p = F.col("props")
+    return nodes.where(F.array_contains("labels", "Vulnerability") & prop_text(p, "type").isin("cve", "euvd")).select(prop_text(p, "vulnID").alias("key"))
+
+
+def live(paths: list[str], european: str = "", registry: str = "", advisories: str = "", tasks: int = 8) -> dict[str, Enricher]:
+    """The enrichers that ask the services whose addresses are given."""
+    found = {}
+    if european:
+        found["euvd"] = asking(european_search(european), _names, lambda a, n: european_facts(european_items(a), failures(a)), paths, tasks)
+    if registry:
+        found["ecosystems"] = asking(package_registry(registry), _purls, lambda a, n: owners(owner_responses(a)), paths, tasks)
+    if advisories:
+        found["vulnerablecode"] = asking(advisory_service(advisories), _purls, lambda a, n: affected_packages(affecting_advisories(a), vulnerability_nodes(n), failures(a)), paths, tasks)
+    return found

@@ -70,7 +70,7 @@ def run_batch(docs: DataFrame, store: Store, guard: Guard, metrics: Metrics | No
     return receipt
 
 
-def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The name that a stream keeps over its restarts, as its checkpoint holds it; a stream that begins anew has another."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
 
@@ -82,7 +82,7 @@ def run_stream(
     """A streaming query over a folder; with `once` it ends when all files that are there have been read. Each batch has its own time."""
 
     def deliver(docs: DataFrame, batch: int) -> None:
-        run_batch(docs, store, replace(guard, now=clock()), metrics, _stream_id(spark, checkpoint), batch)
+        run_batch(docs, store, replace(guard, now=clock()), metrics, stream_id(spark, checkpoint), batch)
 
     writer = stream(spark, path, per_trigger).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="2 seconds")).start()
