@@ -226,7 +226,7 @@ def ecosystems_owner_claims(spark, d):
     owner = F.when(F.col("p_partkey") % 4 == 0, "").otherwise(F.col("p_brand"))
     both = F.array(*[F.struct(F.lit(i).alias("place"), o.alias("owner")) for i, o in enumerate((owner, F.lit("second")))])
     responses = lens.table(spark, d, "part").select(purl.alias("purl"), F.lit(200).alias("status"), F.concat(F.lit("https://example.com/"), F.col("p_partkey")).alias("repository_url"), F.inline(both))
-    return X.owners(responses)(_part_nodes(spark, d), lens.NOW).select("subject", "value", "ref")
+    return X.owners(responses)(_part_nodes(spark, d), lens.NOW).claims.select("subject", "value", "ref")
 
 
 _EUVD_FACTS = "['euvd_id', 'cvss', 'cvss_version', 'cvss_vector', 'epss', 'description', 'updated', 'reference', 'reference']"
