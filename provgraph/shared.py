@@ -34,3 +34,18 @@ def removed(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def made(spark: SparkSession, path: str) -> str:
+    """The path, as a folder that is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(at)
+    return path
+
+
+def moved(spark: SparkSession, path: str, to: str) -> None:
+    """A folder under another name, if it is there: a part without rows has none."""
+    at, then = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at) and not fs.rename(at, then):
+        raise OSError(f"{path} can't be named {to}")

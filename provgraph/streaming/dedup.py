@@ -1,68 +1,42 @@
 """Stateful de-duplication of a stream of records: what merging all of it in one batch would give, kept up to date.
 
 The state of an id is its first payload (that of the smallest ordinal seen) and
-its earliest valid time, in the state store of Spark, by default RocksDB, so that
-it lies on disk and comes back after a lost executor. Records may come in any
-order and more than once; there is no watermark, because a late one may still
-lower a time. Only ids whose payload or time has changed leave, so that a repeated
-batch causes no writes behind it.
+its earliest valid time, each with the time of the batch that brought it: an
+aggregation of Spark's own, in the state store, by default RocksDB, so that it
+lies on disk and comes back after a lost executor. No row passes through Python.
+Records may come in any order and more than once; there is no watermark, because
+a late one may still lower a time. Only ids for which this batch brought a lower
+ordinal or an earlier time leave, so that a repeated batch causes no writes behind it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Stands for a missing ordinal or time, which comes after all others.
+LAST = (1 << 63) - 1
 
 
 def prepare(spark: SparkSession) -> None:
-    """State that holds values by name needs a provider with column families."""
+    """State on disk, so that it isn't bounded by the executors' memory."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
 
 
-class _First(StatefulProcessor):
-    """The first payload and the earliest time of an id."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._held = handle.getValueState("held", "ord bigint, at bigint, payload string")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
-        before = tuple(self._held.get()) if self._held.exists() else None
-        held = before
-        for row in rows:
-            if held is None:
-                held = (row["ord"], row["at"], row["payload"])
-                continue
-            order, at, payload = held
-            if row["ord"] is not None and (order is None or row["ord"] < order):
-                order, payload = row["ord"], row["payload"]
-            if row["at"] is not None and (at is None or row["at"] < at):
-                at = row["at"]
-            held = (order, at, payload)
-        if held is not None and held != before:
-            self._held.update(held)
-            # A lower ordinal with the same payload is remembered, but nothing has changed for readers.
-            if before is None or held[1:] != before[1:]:
-                yield Row(id=key[0], ord=held[0], at=held[1], payload=held[2])
-
-    def close(self) -> None:
-        """Nothing is held besides the state."""
-
-
 def merged_stream(records: DataFrame) -> DataFrame:
     """A stream of nodes or edges (with id, ord, valid_from and payload) as the stream of those that are new or changed, in update mode.
 
     Rows of one id and ordinal have one payload. Downstream, the last row of an
-    id counts: `Store.write` takes each batch as it comes.
+    id counts: `Store.write` takes each batch as it comes. A batch's time is the
+    same for all of its rows, and when it is run again; should two batches share
+    one, ids leave that needn't, and none is missed.
     """
-    schema = records.schema
-    payload = StructType([f for f in schema.fields if f.name not in ("id", "ord", "valid_from", "doc")])
-    narrow = records.select("id", "ord", F.unix_micros("valid_from").alias("at"), F.to_json(F.struct(*payload.names), {"ignoreNullFields": "false"}).alias("payload"))
-    found = narrow.groupBy("id").transformWithState(_First(), outputStructType="id string, ord bigint, at bigint, payload string", outputMode="Update", timeMode="None")
-    opened = found.select("id", "ord", F.timestamp_micros("at").alias("valid_from"), F.from_json("payload", payload).alias("p"))
-    return opened.select(*[F.col(f"p.{f.name}").alias(f.name) if f.name in payload.names else F.col(f.name) for f in schema.fields if f.name != "doc"])
+    names = [f.name for f in records.schema.fields if f.name not in ("id", "ord", "valid_from", "doc")]
+    order, at = F.coalesce("ord", F.lit(LAST)), F.coalesce(F.unix_micros("valid_from"), F.lit(LAST))
+    rows = records.select("id", order.alias("ord"), at.alias("at"), F.struct(*names).alias("payload"), F.current_timestamp().alias("batch"))
+    first = F.min_by(F.struct("payload", "ord", "batch"), F.struct("ord", "batch")).alias("first")
+    held = rows.groupBy("id").agg(first, F.min(F.struct("at", "batch")).alias("early"))
+    now = held.withColumn("now", F.current_timestamp()).where("first.batch = now OR early.batch = now")
+    opened = {"id": F.col("id"), "ord": F.nullif(F.col("first.ord"), F.lit(LAST)), "valid_from": F.timestamp_micros(F.nullif(F.col("early.at"), F.lit(LAST)))}
+    return now.select(*[opened.get(f.name, F.col(f"first.payload.{f.name}")).alias(f.name) for f in records.schema.fields if f.name != "doc"])
