@@ -24,19 +24,24 @@ class Instant:
     valid: datetime | None = None
     system: datetime | None = None
 
-    def holds(self, df: DataFrame) -> DataFrame:
+    def held(self, columns: list[str]) -> Column:
+        """Whether a row with these columns is in force."""
+        found = F.lit(True)
         if self.valid is not None:
             at = F.lit(self.valid).cast("timestamp")
-            df = df.where(F.col("valid_from") <= at)
-            if "valid_to" in df.columns:
-                df = df.where(F.col("valid_to").isNull() | (at < F.col("valid_to")))
-        if "system_to" in df.columns:
+            found = found & (F.col("valid_from") <= at)
+            if "valid_to" in columns:
+                found = found & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
+        if "system_to" in columns:
             if self.system is None:
-                df = df.where(F.col("system_to").isNull())
+                found = found & F.col("system_to").isNull()
             else:
                 at = F.lit(self.system).cast("timestamp")
-                df = df.where((F.col("system_from") <= at) & (F.col("system_to").isNull() | (at < F.col("system_to"))))
-        return df
+                found = found & (F.col("system_from") <= at) & (F.col("system_to").isNull() | (at < F.col("system_to")))
+        return found
+
+    def holds(self, df: DataFrame) -> DataFrame:
+        return df.where(self.held(df.columns))
 
 
 @dataclass(frozen=True)

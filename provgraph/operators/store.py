@@ -39,6 +39,8 @@ AXES = ("valid_to", "system_from", "system_to")
 BUCKETS = 32
 #: Deltas of a bucket, or their share of the base's bytes (once they are worth it), beyond which it is written anew.
 DELTAS, SHARE, LEAST_BYTES = 8, 0.5, 4 << 20
+#: The number of the write that states a row of a bucket's open versions, 0 for its base.
+STATED = "__stated"
 #: Commits that are tried against other writers.
 ATTEMPTS = 50
 
@@ -72,19 +74,24 @@ def _outcome(columns: list[str], payload: list[str], at: datetime) -> tuple[Colu
 
 
 def _grouped(versions: DataFrame, columns: list[str]) -> DataFrame:
-    """An id's open versions in one row; they are few, one for each time at which what is known of it changed."""
-    return versions.groupBy("id").agg(F.collect_list(F.struct(*columns)).alias("versions"))
+    """An id's open versions in one row; they are few, one for each time at which what is known of it changed. Of rows with a STATED number only those of the last count."""
+    if STATED not in versions.columns:
+        return versions.groupBy("id").agg(F.collect_list(F.struct(*columns)).alias("versions"))
+    every = versions.groupBy("id").agg(F.collect_list(F.struct(STATED, *columns)).alias("every"), F.max(STATED).alias("last"))
+    last = F.filter("every", lambda v: v[STATED] == F.col("last"))
+    return every.select("id", F.transform(last, lambda v: F.struct(*[v[c].alias(c) for c in columns])).alias("versions"))
 
 
 def changes(current: DataFrame | None, batch: DataFrame, at: datetime) -> DataFrame:
     """Versions of the ids that a batch changes: those it closes, and all that are open afterwards. Ids are unique within it.
 
-    Only rows of the batch's ids are moved, once."""
+    Only rows of the batch's ids are moved, once. `current` are open versions; rows
+    that later ones replace may be among them, if STATED numbers tell which are the last."""
     fresh = with_axes(batch, at)
     if current is None:
         return fresh
     columns, payload = fresh.columns, [c for c in batch.columns if c not in ("id", "valid_from", "ord")]
-    touched = current.select(*columns).join(batch.select("id"), "id", "left_semi")
+    touched = current.select(*columns, *[c for c in current.columns if c == STATED]).join(batch.select("id"), "id", "left_semi")
     both = fresh.select("id", F.struct(*columns).alias("fresh")).join(_grouped(touched, columns), "id", "left")
     changed, after = _outcome(columns, payload, at)
     return both.where(changed).select(F.explode(after).alias("v")).select("v.*")
@@ -230,6 +237,19 @@ class Store:
             return delta.select(*columns)
         return base.join(delta.select("id"), "id", "left_anti").select(*columns).unionByName(delta.select(*columns))
 
+    def _stated(self, state: State, table: str, buckets: list[str]) -> DataFrame | None:
+        """Rows of some buckets' bases and deltas as they lie, with the number of their write where there are deltas: `changes` tells the last of an id as it groups them, without a join."""
+        schema = StructType.fromJson(state.tables[table]["schema"])
+        held = [(b, f, i) for b in buckets for i, f in enumerate(state.buckets(table).get(b, []))]
+        base = self._files(table, schema, [(b, f) for b, f, i in held if not i], False)
+        delta = self._files(table, schema, [(b, f) for b, f, i in held if i], False)
+        if delta is None:
+            return base if base is None else base.select(*schema.fieldNames())
+        order = {f["write"]: f["number"] for _, f, i in held if i}
+        number = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])[F.col("write")]
+        later = delta.select(*schema.fieldNames(), number.cast("long").alias(STATED))
+        return later if base is None else base.select(*schema.fieldNames(), F.lit(0).cast("long").alias(STATED)).unionByName(later)
+
     def read(self, table: str, number: int | None = None, history: bool = True) -> DataFrame | None:
         """All versions (or the open ones) as the commit in force, or an earlier one, left them."""
         return self._read(self.state(number), table, history)
@@ -274,12 +294,13 @@ class Store:
             known = StructType.fromJson(state.tables[table]["schema"]).fieldNames() if table in state.tables else None
             if known and known != [*batch.columns, *AXES]:
                 raise ValueError(f"columns of {table} are {known}, not {[*batch.columns, *AXES]}")
-            touched = [str(r[0]) for r in batch.select(self._bucket(state, table)).distinct().collect()]
             held = state.buckets(table)
-            there = [b for b in touched if b in held]
-            current = self._open(state, table, there) if there else None
-            after = changes(current, batch, at)
+            # A table that holds nothing takes all of the batch; which buckets it falls in shows when it is written.
+            touched = [str(r[0]) for r in batch.select(self._bucket(state, table)).distinct().collect()] if held else None
+            there = [b for b in touched or () if b in held]
+            after = changes(self._stated(state, table, there) if there else None, batch, at)
             delta = self._written(table, after, state)
+            touched = list(delta) if touched is None else touched
             worn = [b for b in delta if (files := held.get(b)) and (len(files) > DELTAS or sum(f["bytes"] for f in [*files[1:], delta[b]]) > max(LEAST_BYTES, SHARE * files[0]["bytes"]))]
             found[table] = {"schema": after.schema.jsonValue(), "n": state.tables.get(table, {}).get("n", self.n_buckets), "delta": delta, "worn": worn, "read": touched}
         return found
