@@ -107,7 +107,7 @@ def endpoint_id(kind: str, c: Column) -> Column:
     return F.when(c.isNotNull(), make(c)).otherwise("")
 
 
-def conformed(ir: DataFrame, kind: Kind) -> DataFrame:
+def conformed(ir: DataFrame, kind: Kind, given: tuple[str, ...] = ()) -> DataFrame:
     """The evidence table with every column its kind may have, absent ones null; rows whose spec is missing (has_spec false) teach packages only."""
     wanted = dict(COMMON) | {e: ENDPOINTS[e] for e in kind.endpoints} | {"match": "string", "has_spec": "boolean"}
     for name in dict.fromkeys(f"{kind.parts} {kind.props}".split()):
@@ -115,26 +115,31 @@ def conformed(ir: DataFrame, kind: Kind) -> DataFrame:
             wanted[name] = TYPES.get(name, "string")
     if kind.time:
         wanted[kind.time] = "timestamp"
-    return ir.select(*[(F.col(n) if n in ir.columns else F.lit(None)).cast(t).alias(n) for n, t in wanted.items()])
+    return ir.select(*[(F.col(n) if n in ir.columns else F.lit(None)).cast(t).alias(n) for n, t in wanted.items()], *[f"{e}_id" for e in given])
 
 
-def _subject(kind: Kind) -> Column:
+def _subject(kind: Kind, given: tuple[str, ...] = ()) -> Column:
     """Id of the first endpoint that is there; of all versions of a package where the match says so."""
     found = F.lit("")
     for name in reversed(kind.subject):
-        own = endpoint_id(name, F.col(name))
+        own = F.col(f"{name}_id") if name in given else endpoint_id(name, F.col(name))
         if name == "pkg" and kind.name in {"HasSourceAt", "CertifyBad", "CertifyGood", "HasMetadata", "PointOfContact"}:
             own = F.when(F.col("match") == "ALL_VERSIONS", ids.package_name_id(F.col("pkg"))).otherwise(own)
         found = F.when(F.col(name).isNotNull(), own).otherwise(found)
     return found
 
 
-def evidence(ir: DataFrame, kind_name: str, guard: Guard) -> DataFrame:
-    """`ir` with the derived ids, texts, valid time and the evidence id of each row."""
+def _is_stated(endpoints: tuple[str, ...], ir: DataFrame) -> Column:
+    """Whether a row has one of some endpoints: an id is never empty, so it needn't be made to tell."""
+    return reduce(lambda x, y: x | y, [F.col(n).isNotNull() for n in endpoints if n in ir.columns], F.lit(False))
+
+
+def evidence(ir: DataFrame, kind_name: str, guard: Guard, given: tuple[str, ...] = ()) -> DataFrame:
+    """`ir` with the derived ids, texts, valid time and the evidence id of each row; ids of `given` endpoints are columns of `ir`."""
     kind = KINDS[kind_name]
-    df = conformed(ir, kind).where(F.coalesce("has_spec", F.lit(True)))
-    made = {"subject": _subject(kind)}
-    made["object"] = endpoint_id(kind.object, F.col(kind.object)) if kind.object else F.lit("")
+    df = conformed(ir, kind, given).where(F.coalesce("has_spec", F.lit(True)))
+    made = {"subject": _subject(kind, given)}
+    made["object"] = F.col(f"{kind.object}_id") if kind.object in given else endpoint_id(kind.object, F.col(kind.object)) if kind.object else F.lit("")
     if kind.members:
         made["member_ids"] = sorted_ids(F.array(*[endpoint_id(m, F.col(m)) for m in kind.members]))
     if "builder" in kind.endpoints:
@@ -257,14 +262,25 @@ class EvidenceGraph:
         rows = reduce(DataFrame.unionByName, [edge_rows(self.tables[n], n, self.guard, label) for n in stating])
         return rows.groupBy("src", "dst").agg(F.min("valid_from").alias("valid_from"))
 
-    def pairs_of(self, kind_name: str) -> DataFrame:
-        """(subject, object, valid_from) of a kind's rows: two edges at once, without the evidence node between them."""
-        kind = KINDS[kind_name]
-        return evidence(self.tables[kind.name], kind.name, self.guard).select("subject", "object", F.col("vf").alias("valid_from")).where("subject <> '' AND object <> ''")
+    def pairs_of(self, kind_name: str, among: DataFrame | None = None) -> DataFrame:
+        """(subject, object, valid_from) of a kind's rows: two edges at once, without the evidence node between them.
+
+        With `among` (one column of ids) only rows whose object is one of them. Where a table states the id of
+        an endpoint (`dep_pkg_id` beside `dep_pkg`), that is taken: the lens makes it once for each
+        package, and not for each row that names it.
+        """
+        kind, ir = KINDS[kind_name], self.tables[kind_name]
+        given = tuple(e for e in kind.endpoints if f"{e}_id" in ir.columns)
+        if among is not None:
+            to = F.col(f"{kind.object}_id") if kind.object in given else endpoint_id(kind.object, F.col(kind.object))
+            ir = ir.withColumn("__object", to).join(among.toDF("__object"), "__object", "left_semi")
+        ir = ir.where(_is_stated(kind.subject, ir) & _is_stated((kind.object,), ir))
+        return evidence(ir, kind.name, self.guard, given).select("subject", "object", F.col("vf").alias("valid_from"))
 
     def subjects_of(self, kind_name: str) -> DataFrame:
         """(subject, valid_from) of a kind's rows."""
-        return evidence(self.tables[kind_name], kind_name, self.guard).select("subject", F.col("vf").alias("valid_from")).where("subject <> ''")
+        ir = self.tables[kind_name]
+        return evidence(ir.where(_is_stated(KINDS[kind_name].subject, ir)), kind_name, self.guard).select("subject", F.col("vf").alias("valid_from"))
 
     def nodes_of(self, label: str) -> DataFrame:
         """(label, id, valid_from) of one label, each id once."""

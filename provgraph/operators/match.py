@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provgraph.operators.assemble import EvidenceGraph, Graph
+from provgraph.shared import kept
 
 
 @dataclass(frozen=True)
@@ -178,18 +179,18 @@ def blast_radius(graph: Graph | EvidenceGraph, only: Column | None = None, insta
 def _blast_radius_of_evidence(graph: EvidenceGraph, only: Column | None, instant: Instant) -> DataFrame:
     """The same where both ends of a hop stand in one evidence row: a pair holds at an instant if any of its rows does.
 
-    The bad packages are counted first. Few of them go to every task, so that
-    the dependencies are cut down where they are read; the last hops are
-    semi-joins against the products that are left.
+    The bad packages are stored and counted first; few of them go to every task.
+    Dependencies are cut down to theirs, and to products with an SBOM, before each
+    is multiplied by the vulnerabilities of its packages.
     """
     seeds = instant.holds(graph.pairs_of("CertifyVuln")).select(F.col("object").alias("id"), F.col("subject").alias("bad"))
-    bad = (seeds if only is None else seeds.where(only)).select(F.col("id").alias("vulnerability"), "bad").distinct()
-    depends = instant.holds(graph.pairs_of("IsDependency")).select(F.col("object").alias("bad"), F.col("subject").alias("product"))
+    bad, _ = kept((seeds if only is None else seeds.where(only)).select(F.col("id").alias("vulnerability"), "bad").distinct(), "bad")
     few = bad.limit(FEW + 1).count() <= FEW
-    product = depends.join(F.broadcast(bad) if few else bad, "bad").select("vulnerability", "product").distinct()
+    depends = instant.holds(graph.pairs_of("IsDependency", among=bad.select("bad").distinct())).select(F.col("object").alias("bad"), F.col("subject").alias("product"))
     occurs = instant.holds(graph.pairs_of("IsOccurrence")).select(F.col("subject").alias("product"), F.col("object").alias("artifact"))
     held = instant.holds(graph.subjects_of("HasSBOM")).select(F.col("subject").alias("artifact"))
-    return product.join(occurs.join(held, "artifact", "left_semi").select("product"), "product", "left_semi")
+    product = depends.join(occurs.join(held, "artifact", "left_semi").select("product"), "product", "left_semi")
+    return product.join(F.broadcast(bad) if few else bad, "bad").select("vulnerability", "product").distinct()
 
 
 def overlapping(df: DataFrame, start: datetime, end: datetime, closed: bool = False) -> DataFrame:
