@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -55,23 +56,33 @@ HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
 HASH_MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Items that are hashed or gathered at once.
 GATHERED = 1 << 20
+#: Bytes whose running sums are taken at once: they stay in a core's cache.
+SUMMED = 1 << 15
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of HASH_BASE and of its inverse."""
+    up, down = np.full(n, HASH_BASE), np.full(n, np.uint64(pow(int(HASH_BASE), -1, 1 << 64)))
+    up[:1] = down[:1] = 1
+    return np.multiply.accumulate(up, out=up), np.multiply.accumulate(down, out=down)
+
+
+@functools.cache
+def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(SUMMED)
 
 
 def span_keys(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of codes[begin:end] of ascending spans: differences of running sums, taken over parts, moved to a common power."""
     keys = np.empty(len(begins), np.uint64)
     first = 0
-    up = down = np.ones(1, np.uint64)
+    up, down = _usual_powers()
     while first < len(begins):
         low = begins[first]
-        last = max(first + 1, int(np.searchsorted(ends, low + GATHERED, side="right")))
+        last = max(first + 1, int(np.searchsorted(ends, low + SUMMED, side="right")))
         part = codes[low : ends[last - 1]].astype(np.uint64) + np.uint64(1)
         if len(up) < len(part):
-            up = np.full(max(len(part), min(GATHERED, len(codes))), HASH_BASE)
-            down = np.full(len(up), np.uint64(pow(int(HASH_BASE), -1, 1 << 64)))
-            up[0] = down[0] = 1
-            np.multiply.accumulate(up, out=up)
-            np.multiply.accumulate(down, out=down)
+            up, down = _powers(len(part))
         run = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(part * up[: len(part)], out=run[1:])
         s, e = begins[first:last] - low, ends[first:last] - low

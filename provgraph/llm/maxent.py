@@ -78,22 +78,34 @@ def words_in(texts: list[str]) -> Words:
     codes = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
     codes = codes + (codes - np.uint8(65) < 26) * np.uint8(32)
     blank = np.concatenate([[True], (codes == 32) | (codes - np.uint8(9) < 5)])
-    begins = np.flatnonzero(blank[:-1] & ~blank[1:])
-    ends = np.flatnonzero(~blank[:-1] & blank[1:])
+    # Every text ends with a blank, so that beginnings and ends take turns.
+    begins, ends = np.flatnonzero(blank[:-1] != blank[1:]).reshape(-1, 2).T.copy()
     offsets = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
     keys = np.maximum(span_keys(codes, begins, ends), np.uint64(1))
     # The last two characters: back from the end to the second byte that starts one.
-    lead = np.maximum.accumulate(np.where((codes & 0xC0) != 0x80, np.arange(len(codes), dtype=np.int64), 0))
-    one = lead[ends - 1]
-    two = np.where(one > begins, lead[np.maximum(one - 1, 0)], begins)
-    ending = np.zeros(len(ends), np.uint64)
-    for back in range(1, 9):
-        at = ends - back
-        ending = np.where(at >= two, (ending ^ codes[np.maximum(at, 0)]) * np.uint64(0x100000001B3), ending)
+    one = _started(codes, ends - 1)
+    two = np.where(one > begins, _started(codes, np.maximum(one - 1, 0)), begins)
+    ending = codes[ends - 1] * np.uint64(0x100000001B3)
+    back = 2
+    rest = np.flatnonzero(ends - back >= two)
+    while len(rest):
+        at = ends[rest] - back
+        ending[rest] = (ending[rest] ^ codes[at]) * np.uint64(0x100000001B3)
+        back += 1
+        rest = rest[at > two[rest]]
     groups = 1 + HEADS + (_stirred(ending) % np.uint64(ENDINGS)).view(np.int64)
     return Words(keys, groups * PARTS + (keys % np.uint64(PARTS)).view(np.int64), np.diff(np.searchsorted(begins, offsets)))
 
 
+def _started(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the characters begin that these bytes belong to."""
+    rest = np.flatnonzero((codes[at] & 0xC0) == 0x80)
+    while len(rest):
+        at[rest] -= 1
+        rest = rest[(codes[at[rest]] & 0xC0) == 0x80]
+    return at
+
+
 def _stirred(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
@@ -183,7 +195,8 @@ def raw_scores(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
     part = np.empty_like(z)
     for f in feats[1:]:
         z += np.take(weights, f, axis=0, out=part, mode="clip")
-    return np.minimum(z, np.float32(80), out=z)
+    # The largest is found sooner than all are compared and written, and hardly ever is too large.
+    return np.minimum(z, np.float32(80), out=z) if z.size and not z.max() <= 80 else z
 
 
 def chosen_logs(weights: np.ndarray, feats: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -198,16 +211,31 @@ def chosen_logs(weights: np.ndarray, feats: np.ndarray, target: np.ndarray) -> n
     return out
 
 
-def drawn_classes(mass: np.ndarray, draws: np.random.Generator) -> np.ndarray:
-    """A class for each row, by the row's masses: first a group of GROUP classes, then one of its classes."""
-    n, rows = len(mass), np.arange(len(mass))
-    groups = mass.reshape(n, -1, GROUP)
-    before = np.cumsum(groups @ np.ones(GROUP, np.float32), axis=1)
-    at = draws.random(n, np.float32) * before[:, -1]
-    group = np.minimum((before <= at[:, None]).sum(1), groups.shape[1] - 1)
-    inner = np.cumsum(groups[rows, group], axis=1)
-    at = draws.random(n, np.float32) * inner[:, -1]
-    return group * GROUP + np.minimum((inner <= at[:, None]).sum(1), GROUP - 1)
+def drawn_classes(mass: np.ndarray, draws: np.random.Generator, times: int = 1) -> np.ndarray:
+    """`times` classes for each row, one after the other, by the row's masses: first a group of GROUP classes, then one of its classes."""
+    n, classes = mass.shape
+    at = draws.random((2 * times, n), np.float32)
+    # Places run along the second axis from here on, so that sums and comparisons go over long rows.
+    before = _running((mass.reshape(-1, GROUP) @ np.ones(GROUP, np.float32)).reshape(n, -1))
+    at[::2] *= before[-1]
+    group = _places(before[:, None], at[::2])
+    firsts = np.arange(n) * (classes // GROUP) + group
+    inner = _running(np.take(mass.reshape(-1, GROUP), firsts.ravel(), axis=0)).reshape(GROUP, times, n)
+    at[1::2] *= inner[-1]
+    return (group * GROUP + _places(inner, at[1::2])).ravel()
+
+
+def _running(sizes: np.ndarray) -> np.ndarray:
+    """Running sums of each row, turned to columns."""
+    sums = np.ascontiguousarray(sizes.T)
+    for k in range(1, len(sums)):
+        sums[k] += sums[k - 1]
+    return sums
+
+
+def _places(sums: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many of the running sums but the last lie at or below each value."""
+    return np.add.reduce((sums[:-1] <= at).view(np.uint8), axis=0, dtype=np.uint8).astype(np.int64)
 
 
 class Descent:
@@ -226,22 +254,24 @@ class Descent:
 
     def over(self, feats: np.ndarray, target: np.ndarray) -> None:
         flat, classes = self.weights.reshape(-1), self.weights.shape[1]
+        sums = self.cells.view(np.float32)
         ones = np.ones(classes, np.float32)
         for i in range(0, len(target), STEP):
             f, y = feats[:, i : i + STEP], target[i : i + STEP]
+            n = len(y)
             mass = raw_scores(self.weights, f)
             np.exp(mass, out=mass)
-            cells, parts = [y], [mass[np.arange(len(y)), y] / (mass @ ones + np.float32(1e-30)) - 1]
-            for _ in range(DRAWS):
-                cells.append(drawn_classes(mass, self.draws))
-                parts.append((cells[-1] != y).astype(np.float32) / DRAWS)
-            at = (f[1:, None, :] * classes + np.stack(cells)).ravel()
-            np.add.at(self.cells, at, np.tile(np.stack(parts).astype(np.complex64).ravel(), len(f) - 1))
+            cells, parts = np.empty((1 + DRAWS, n), np.int64), np.empty((1 + DRAWS, n), np.float32)
+            cells[0], cells[1:] = y, drawn_classes(mass, self.draws, DRAWS).reshape(DRAWS, n)
+            parts[0] = mass.ravel()[np.arange(n) * classes + y] / (mass @ ones + np.float32(1e-30)) - 1
+            np.multiply(cells[1:] != y, np.float32(1 / DRAWS), out=parts[1:])
+            at = (f[1:, None, :] * classes + cells).ravel()
+            np.add.at(sums, 2 * at, np.tile(parts.ravel(), len(f) - 1))
             # Equal cells have equal sums, so that it doesn't matter which of them is written last.
-            found = self.cells[at]
+            found = self.cells.take(at)
             gradient = found.real
             square = found.imag + gradient * gradient
-            flat[at] -= np.float32(RATE) * gradient / np.sqrt(square)
+            flat[at] = flat.take(at) - np.float32(RATE) * gradient / np.sqrt(square)
             found.real, found.imag = 0, square
             self.cells[at] = found
 
