@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from provgraph.llm.common import map_texts, span_keys, stored, text_of
+from provgraph.llm.common import map_texts, removed, span_keys, stored, stored_at, text_of
 
 #: Words that travel with the tasks.
 FREQUENT = 200_000
@@ -311,7 +311,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, heads: np.ndarray, starts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of both softmaxes after ROUNDS rounds, each over the texts whose `fold` is its number; `starts` are the weights before."""
+    """Weights of both softmaxes after ROUNDS rounds, each over the texts whose `fold` is its number; `starts` are the weights before and are overwritten."""
     spark = docs.sparkSession
     rows = len(starts[0])
     for k in range(ROUNDS):
@@ -346,14 +346,14 @@ def train(docs: DataFrame, heads: np.ndarray, starts: tuple[np.ndarray, np.ndarr
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "change"])
 
         sent = docs.where(F.col("fold") == k).select("text").mapInArrow(run, "block int, change binary")
-        sums = sent.repartition("block").mapInArrow(add, "block int, change binary").collect()
-        after = [w.copy() for w in starts]
-        for r in sums:
+        # The driver holds the weights once and takes the sums part by part; tasks have what was broadcast before.
+        sums, path = stored_at(sent.repartition("block").mapInArrow(add, "block int, change binary"), "changes")
+        for r in sums.toLocalIterator():
             i, first = divmod(r["block"], rows)
             change = np.frombuffer(r["change"], np.float32).reshape(BLOCK, -1)
-            after[i][first : first + BLOCK] += change[:, :-1] / np.maximum(change[:, -1:], 1)
-        starts = tuple(after)
+            starts[i][first : first + BLOCK] += change[:, :-1] / np.maximum(change[:, -1:], 1)
         start.destroy()
+        removed(spark, path)
     return starts
 
 

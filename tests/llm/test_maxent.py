@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from provgraph.llm import maxent
+from provgraph.llm import common, maxent
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -157,3 +157,15 @@ def test_words_keep_their_keys_anywhere_in_a_text():
     alone = maxent.words_in(few)
     assert words.sizes.tolist() == [30_000, 10_000] and len(set(alone.keys.tolist())) == len(few)
     assert (words.keys == alone.keys[order]).all() and (words.leaves == alone.leaves[order]).all()
+
+
+def test_changes_reach_the_driver_part_by_part(spark, monkeypatch):
+    kind = type(spark.range(0))
+    whole = []
+    monkeypatch.setattr(kind, "collect", lambda self, collect=kind.collect: whole.append(self.columns) or collect(self))
+    docs = spark.createDataFrame([(k, f"some words of text {k}") for k in range(9)], "fold int, text string").withColumn("fold", F.col("fold") % maxent.ROUNDS)
+    starts = tuple(np.zeros((1 << maxent.LEAST_BITS, n), np.float32) for n in (maxent.CLASSES, maxent.PARTS))
+    weights = maxent.train(docs, np.zeros(0, np.uint64), starts)
+    assert all(np.isfinite(w).all() and w.any() for w in weights)
+    assert not any("change" in columns for columns in whole)
+    assert not any("changes-" in path for path in common._STORED)
