@@ -49,6 +49,19 @@ def evidence_id(kind: str, *parts: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), hash_parts(*parts))
 
 
+def packed(id_: Column) -> Column:
+    """An id as bytes, with a hash at its end in half the room; `unpacked` gives the same text again."""
+    head = F.substring(id_, F.lit(1), F.length(id_) - 64)
+    return F.when(id_.rlike("[0-9a-f]{64}$"), F.concat(F.lit(b"\x01"), head.cast("binary"), F.unhex(F.right(id_, F.lit(64))))).otherwise(F.concat(F.lit(b"\x00"), id_.cast("binary")))
+
+
+def unpacked(bytes_: Column) -> Column:
+    length = F.octet_length(bytes_)
+    text_ = lambda begin, size: F.substring(bytes_, begin, size)
+    hashed = F.concat(text_(F.lit(2), length - 33).cast("string"), F.lower(F.hex(text_(length - 31, F.lit(32)))))
+    return F.when(text_(F.lit(1), F.lit(1)) == F.lit(b"\x01"), hashed).otherwise(text_(F.lit(2), length - 1).cast("string"))
+
+
 def edge_id(src: Column, label: Column, dst: Column) -> Column:
     return F.concat_ws("|", escape_edge(src), escape_edge(label), escape_edge(dst))
 

@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from provgraph import shared
+
 AXES = ("valid_to", "system_from", "system_to")
 #: Buckets of a new table.
 BUCKETS = 32
@@ -278,7 +280,7 @@ class Store:
         dealt = rows.withColumns({"bucket": self._bucket(state, table), "kind": F.when(F.col("system_to").isNull(), "open").otherwise("closed")})
         # In order of labels, which pattern queries prune on.
         order = ["label"] if "label" in rows.columns else ["labels"] if "labels" in rows.columns else []
-        dealt.hint("rebalance", "bucket").sortWithinPartitions("bucket", "kind", *order, "id").write.partitionBy("bucket", "kind").parquet(folder)
+        dealt.hint("rebalance", "bucket").sortWithinPartitions("bucket", "kind", *order, "id").write.option("compression", shared.COMPRESSION).partitionBy("bucket", "kind").parquet(folder)
         found = {}
         for b in self._listed(folder):
             if b.getPath().getName().startswith("bucket="):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -9,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
+#: Of files between jobs and of the store: ids are mostly hexadecimal, of which snappy saves nothing and this half.
+COMPRESSION = "zstd"
 
 
 def folder(spark: SparkSession) -> str:
@@ -26,7 +29,7 @@ def kept(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """A table written to the shared folder and read again, so that later jobs neither repeat its work nor see it change; and its path, for `removed`."""
     spark = df.sparkSession
     path = os.path.join(folder(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -36,6 +39,12 @@ def removed(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def swept(spark: SparkSession) -> None:
+    """Let go of what jobs that are done have shuffled: Spark removes these files when the driver collects garbage, which on its own it may not do before the disk is full."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def made(spark: SparkSession, path: str) -> str:
     """The path, as a folder that is there."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
