@@ -22,6 +22,8 @@ from provgraph.operators.kinds import DERIVED, KINDS, TYPES, Kind
 
 #: Ordinals: phase (0 for the packages' own pass), then the row's item (below 2^48), then the place among its records.
 PHASE, PLACE = 1 << 58, 1 << 10
+#: Begins the names of columns that follow from an evidence's id.
+BY = "by_"
 LABELS = {"src": "SrcName", "artifact": "Artifact", "builder": "Builder", "vulnerability": "Vulnerability", "license": "License"}
 
 
@@ -115,7 +117,11 @@ def conformed(ir: DataFrame, kind: Kind, given: tuple[str, ...] = ()) -> DataFra
             wanted[name] = TYPES.get(name, "string")
     if kind.time:
         wanted[kind.time] = "timestamp"
-    return ir.select(*[(F.col(n) if n in ir.columns else F.lit(None)).cast(t).alias(n) for n, t in wanted.items()], *[f"{e}_id" for e in given])
+    return ir.select(*[(F.col(n) if n in ir.columns else F.lit(None)).cast(t).alias(n) for n, t in wanted.items()], *[f"{e}_id" for e in given], *_by(ir))
+
+
+def _by(ir: DataFrame) -> list[str]:
+    return [c for c in ir.columns if c.startswith(BY)]
 
 
 def _subject(kind: Kind, given: tuple[str, ...] = ()) -> Column:
@@ -244,6 +250,20 @@ def edge_rows(ir: DataFrame, kind_name: str, guard: Guard, label: str) -> DataFr
     return rows.where("src <> '' AND dst <> ''")
 
 
+class Tables(dict):
+    """Evidence tables by kind, with what their maker knows of them.
+
+    A column whose name begins with BY follows from the evidence's id: rows of one
+    id agree on it. Where rows already lie by such columns, they are united with no
+    further shuffle. `packages` has, for some kinds, fewer rows that name the same
+    packages, at the same earliest times and least items.
+    """
+
+    def __init__(self, tables: dict[str, DataFrame], packages: dict[str, DataFrame] | None = None):
+        super().__init__(tables)
+        self.packages = packages or {}
+
+
 class EvidenceGraph:
     """A graph read off evidence tables label by label, for pattern queries: no record is built that a pattern doesn't ask for.
 
@@ -296,9 +316,10 @@ class EvidenceGraph:
 
 
 def once_by_id(ir: DataFrame, kind: Kind, guard: Guard, *columns: str) -> DataFrame:
-    """(id, columns that follow from it, valid_from, ord): each evidence id once. Its hash is shuffled as bytes, half of its text."""
-    rows = evidence(ir, kind.name, guard).select(F.unhex(F.substring("id", len(kind.name) + 2, 64)).alias("hash"), *columns, F.col("vf").alias("valid_from"), _ordinal(kind.phase, F.lit(0)).alias("ord"))
-    once = rows.groupBy("hash", *columns).agg(F.min("valid_from").alias("valid_from"), F.min("ord").alias("ord"))
+    """(id, columns that follow from it, valid_from, ord): each evidence id once. Its hash is shuffled as bytes, half of its text, and not at all where rows lie by columns that follow from it."""
+    by = _by(ir)
+    rows = evidence(ir, kind.name, guard).select(*by, F.unhex(F.substring("id", len(kind.name) + 2, 64)).alias("hash"), *columns, F.col("vf").alias("valid_from"), _ordinal(kind.phase, F.lit(0)).alias("ord"))
+    once = rows.groupBy(*by, "hash", *columns).agg(F.min("valid_from").alias("valid_from"), F.min("ord").alias("ord"))
     return once.select(F.concat(F.lit(f"{kind.name}:"), F.lower(F.hex("hash"))).alias("id"), *columns, "valid_from", "ord")
 
 
@@ -310,7 +331,7 @@ def package_versions(tables: dict[str, DataFrame], guard: Guard, prepass: bool =
     """
     found = []
     for name, ir in tables.items():
-        kind = KINDS[name]
+        kind, ir = KINDS[name], getattr(tables, "packages", {}).get(name, ir)
         places = {e: i for i, e in enumerate(kind.endpoints) if e.endswith("pkg")}
         if not places:
             continue
